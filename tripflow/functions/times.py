@@ -17,13 +17,18 @@ WALL_CLOCK = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 ISO_OFFSET = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}[+-]\d{4}$"
 
 
-def _epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def ntz_to_epoch(ntz: Column) -> Column:
+    """Seconds from the epoch to a zone-less timestamp read as UTC.
 
+    Built from calendar fields: differences of timestamps go through the
+    session zone.
+    """
+    days = F.unix_date(ntz.cast("date")).cast("bigint")
+    return days * 86_400 + F.hour(ntz) * 3600 + F.minute(ntz) * 60 + F.second(ntz)
 
-def ntz_to_epoch(ntz) -> Column:
-    """Seconds from the epoch to a zone-less timestamp read as UTC."""
-    return F.timestamp_diff("SECOND", _epoch_ntz(), ntz)
+
+def epoch_to_ntz(epoch: Column) -> Column:
+    return F.timestamp_add("SECOND", epoch, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def wall_clock_to_epoch(text: Column, tz: Column | str) -> Column:
@@ -45,9 +50,8 @@ def iso_to_epoch(text: Column) -> Column:
 def epoch_to_iso(epoch: Column, tz: Column | str) -> Column:
     """Epoch seconds -> ``yyyy-MM-dd'T'HH:mm:ss+hhmm`` in zone ``tz``."""
     tz = F.lit(tz) if isinstance(tz, str) else tz
-    utc = F.timestamp_add("SECOND", epoch, _epoch_ntz())
-    local = F.convert_timezone(F.lit("UTC"), tz, utc)
-    offset = F.timestamp_diff("SECOND", utc, local)
+    local = F.convert_timezone(F.lit("UTC"), tz, epoch_to_ntz(epoch))
+    offset = ntz_to_epoch(local) - epoch
     minutes = F.floor(F.abs(offset) / 60)
     return F.concat(
         F.replace(local.cast("string"), F.lit(" "), F.lit("T")),

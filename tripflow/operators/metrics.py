@@ -45,12 +45,13 @@ def trip_legs(
 ) -> Column:
     """Array of per-segment figures, in trip order.
 
-    ``seg_len`` and ``speed`` belong to the segment. ``gap_len`` and
-    ``gap_secs`` belong to the way from the previous segment's end to this
-    start, and are 0 and NULL where those positions meet. ``near`` tells whether
-    the great circle of either passes the reference point. ``compat=True``
-    compares the segment's cross-track distance with its sign, so that anything
-    to the left counts as near.
+    ``seg_len`` and ``speed`` belong to the segment; ``gap_len`` belongs to the
+    way from the previous segment's end to this start and is 0 where those
+    positions meet. ``fault`` names what is wrong with the leg: first the gap
+    (only looked at where positions do not meet), then the speed. ``near`` tells
+    whether the great circle of either part passes the reference point.
+    ``compat=True`` compares the segment's cross-track distance with its sign,
+    so that anything to the left counts as near.
     """
     segments = F.col(segments) if isinstance(segments, str) else segments
 
@@ -69,11 +70,16 @@ def trip_legs(
             near = ((off_seg if compat else F.abs(off_seg)) <= ref.range_km) | (
                 apart & (F.abs(off_gap) <= ref.range_km)
             )
+        speed = geo.speed_per_hour(seg_len, s["start_ts"], s["end_ts"])
+        gap_secs = s["start_ts"] - prev["end_ts"]
         return F.struct(
             seg_len.alias("seg_len"),
-            geo.speed_per_hour(seg_len, s["start_ts"], s["end_ts"]).alias("speed"),
+            speed.alias("speed"),
             F.when(apart, geo.distance(*gap, unit, compat)).otherwise(F.lit(0.0)).alias("gap_len"),
-            F.when(apart, s["start_ts"] - prev["end_ts"]).alias("gap_secs"),
+            F.when(apart & (gap_secs < 0), "out_of_sequence")
+            .when(apart & (gap_secs > MAX_GAP), "long_gap")
+            .when(speed > MAX_SPEED, "too_fast")
+            .alias("fault"),
             near.alias("near"),
         )
 
@@ -100,26 +106,22 @@ def trip_metrics(
 ) -> DataFrame:
     """Add ``start_ts, end_ts, distance, reject_reason`` to trips.
 
-    ``reject_reason`` is NULL for a valid trip, otherwise the first that holds
-    of ``too_fast`` (a segment above 200 units per hour), ``out_of_sequence``
-    (a segment starts before the previous one ended, at another place),
-    ``long_gap`` (more than ten minutes between such segments), ``too_long``
-    (six hours or more) and ``not_near``. ``distance`` is NULL for a rejected
-    trip. With ``straight`` only the length changes; the checks still look at
-    every segment.
+    ``reject_reason`` is NULL for a valid trip. Otherwise it is the first leg's
+    fault, ``out_of_sequence`` (a segment starts before the previous one ended,
+    at another place), ``long_gap`` (more than ten minutes between such
+    segments) or ``too_fast`` (a segment above 200 units per hour), else
+    ``too_long`` (six hours or more), else ``not_near``. ``distance`` is NULL for
+    a rejected trip. With ``straight`` only the length changes; the checks still
+    look at every segment.
     """
     if ref is not None:
         ref.check(compat)
-    any_leg = lambda test: F.exists("_legs", test)
     length = straight_length(unit, compat) if straight else travelled_length()
-    reason = (
-        F.when(any_leg(lambda x: x["speed"] > MAX_SPEED), "too_fast")
-        .when(any_leg(lambda x: F.coalesce(x["gap_secs"] < 0, F.lit(False))), "out_of_sequence")
-        .when(any_leg(lambda x: F.coalesce(x["gap_secs"] > MAX_GAP, F.lit(False))), "long_gap")
-        .when(F.col("end_ts") - F.col("start_ts") >= MAX_DURATION, "too_long")
-    )
+    faults = F.filter(F.transform("_legs", lambda x: x["fault"]), lambda f: f.isNotNull())
+    too_long = F.col("end_ts") - F.col("start_ts") >= MAX_DURATION
+    reason = F.coalesce(F.get(faults, F.lit(0)), F.when(too_long, "too_long"))
     if ref is not None:
-        reason = reason.when(~any_leg(lambda x: x["near"]), "not_near")
+        reason = F.coalesce(reason, F.when(~F.exists("_legs", lambda x: x["near"]), "not_near"))
     return (
         trips.withColumn("_legs", trip_legs("segments", ref, unit, compat))
         .withColumn("start_ts", first_segment()["start_ts"])
