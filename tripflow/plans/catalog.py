@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions import geo
-from tripflow.functions.times import epoch_to_iso, epoch_to_ntz
+from tripflow.functions.times import epoch_to_wall_clock
 from tripflow.operators import bounds, clean, fares, histogram, metrics, trips, zones
 from tripflow.sources import raw_segments, trip_lines
 from tripflow.sources.event_segments import read_event_segments
@@ -70,8 +70,7 @@ def raw_lines(segments: DataFrame, tz: str = HOME_TZ) -> DataFrame:
     """Segments -> quoted raw lines, some of them damaged in different ways."""
 
     def clock(c: str) -> Column:
-        local = F.convert_timezone(F.lit("UTC"), F.lit(tz), epoch_to_ntz(F.col(c)))
-        return F.concat(F.lit("'"), local.cast("string"), F.lit("'"))
+        return F.concat(F.lit("'"), epoch_to_wall_clock(F.col(c), tz), F.lit("'"))
 
     def quoted(c: str) -> Column:
         return F.concat(F.lit("'"), F.col(c), F.lit("'"))
@@ -224,19 +223,19 @@ def decode_trip_lines(spark, sf_dir):
     epoch_line = trip_lines.trip_line(trip_lines.COMPLETE, trip_lines.EPOCH)
     iso_line = trip_lines.trip_line(trip_lines.COMPLETE, trip_lines.ISO, HOME_TZ)
     whole = F.when(kind % 2 == 1, iso_line).otherwise(epoch_line)
-    first_time = trips.first_segment()["start_ts"].cast("string")
-    line = (
-        F.when(kind == 2, F.replace(whole, F.concat(F.lit(" "), first_time, F.lit(" ")),
-                                    F.concat(F.lit(" "), first_time, F.lit(".75 "))))
-        .when(kind == 4, F.concat(whole, F.lit(" 7")))  # seven fields
-        .when(kind == 5, F.concat(whole, F.lit(";x")))  # one field
-        .when(kind == 6, F.concat(whole, F.lit(";")))
-        .when(kind == 7, F.concat(whole, F.lit(";2024-01-01T00:00:00+0000 1.0 abc 2024-01-01T00:01:00+0000 1.0 2.0")))
-        .when(kind == 8, F.concat(whole, F.lit(";2024-01-01T00:00:00+0000 1.0 2.0 2024-01-01T00:01:00+0000 1.0 2.0")))
-        .when(kind == 9, F.concat(whole, F.lit(";2024-01-01T00:01:00+0000 1.0 2.0 2024-01-01T00:01:00+0000 1.0 2.0")))
-        .when(kind == 10, F.concat(whole, F.lit(";1 90.0 2.0 2 1.0 2.0")))
-        .otherwise(whole)
+    fraction = F.when(kind == 2, F.lit(r"^(\d+ \d+) ")).otherwise(F.lit("^$"))
+    whole = F.regexp_replace(whole, fraction, F.lit("$1.75 "))
+    suffix = (
+        F.when(kind == 4, " 7")  # seven fields
+        .when(kind == 5, ";x")  # one field
+        .when(kind == 6, ";")  # harmless
+        .when(kind == 7, ";2024-01-01T00:00:00+0000 1.0 abc 2024-01-01T00:01:00+0000 1.0 2.0")
+        .when(kind == 8, ";2024-01-01T00:00:00+0000 1.0 2.0 2024-01-01T00:01:00+0000 1.0 2.0")
+        .when(kind == 9, ";2024-01-01T00:01:00+0000 1.0 2.0 2024-01-01T00:01:00+0000 1.0 2.0")
+        .when(kind == 10, ";1 90.0 2.0 2 1.0 2.0")
+        .otherwise("")
     )
+    line = F.concat(whole, suffix)
     lines = _rounded_trips(spark, sf_dir).select(line.alias("value"))
     decoded = trips.trip_segments(trip_lines.decode_trips(lines))
     return decoded.select("vehicle_id", "pos", *trips.trip_fold.SEGMENT_FIELDS)

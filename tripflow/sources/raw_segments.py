@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.project import select_once
 from tripflow.functions.times import wall_clock_to_epoch
 from tripflow.operators.zones import assign_timezone
 
@@ -34,27 +35,25 @@ def split_fields(lines: DataFrame, text: str = "value") -> DataFrame:
     whatever the file layout or the number of task attempts.
     """
     line = F.btrim(F.replace(F.col(text), F.lit("'"), F.lit("")), F.lit(" \t\r\n\f"))
-    f = F.col("_f")
-    has_id = "seg_id" in lines.columns
-    return (
-        lines.select(
-            *(["seg_id"] if has_id else [F.xxhash64(text).alias("seg_id")]),
-            F.split(F.regexp_replace(line, ",+$", ""), ",").alias("_f"),
-        )
-        .where(F.size("_f") >= 9)
-        .select(
-            "seg_id",
-            f[0].try_cast("bigint").alias("vehicle_id"),
-            f[1].alias("start_local"),
-            f[2].try_cast("double").alias("start_lat"),
-            f[3].try_cast("double").alias("start_lon"),
-            f[4].alias("start_status"),
-            f[5].alias("end_local"),
-            f[6].try_cast("double").alias("end_lat"),
-            f[7].try_cast("double").alias("end_lon"),
-            f[8].alias("end_status"),
-        )
+    seg_id = F.col("seg_id") if "seg_id" in lines.columns else F.xxhash64(text)
+    fields = lines.select(
+        seg_id.alias("seg_id"), F.split(F.regexp_replace(line, ",+$", ""), ",").alias("_f")
     )
+    field = lambda i: F.get("_f", F.lit(i))
+    return select_once(
+        fields,
+        F.size("_f").alias("n_fields"),
+        field(0).try_cast("bigint").alias("vehicle_id"),
+        field(1).alias("start_local"),
+        field(2).try_cast("double").alias("start_lat"),
+        field(3).try_cast("double").alias("start_lon"),
+        field(4).alias("start_status"),
+        field(5).alias("end_local"),
+        field(6).try_cast("double").alias("end_lat"),
+        field(7).try_cast("double").alias("end_lon"),
+        field(8).alias("end_status"),
+        keep=("seg_id",),
+    ).where(F.col("n_fields") >= 9)
 
 
 def parse_raw(
@@ -75,8 +74,10 @@ def parse_raw(
     if zones is not None:
         fields = assign_timezone(fields, zones, "start_lat", "start_lon")
         tz = F.col("tz")
-    return (
-        fields.withColumn("start_ts", wall_clock_to_epoch(F.col("start_local"), tz))
-        .withColumn("end_ts", wall_clock_to_epoch(F.col("end_local"), tz))
-        .select(*SEGMENT_COLUMNS)
+    timed = select_once(
+        fields,
+        wall_clock_to_epoch(F.col("start_local"), tz).alias("start_ts"),
+        wall_clock_to_epoch(F.col("end_local"), tz).alias("end_ts"),
+        keep=tuple(c for c in fields.columns if c in SEGMENT_COLUMNS),
     )
+    return timed.select(*SEGMENT_COLUMNS)

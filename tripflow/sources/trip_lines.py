@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.project import select_once
 from tripflow.functions.times import epoch_to_iso, iso_to_epoch
 from tripflow.operators.trips import SEGMENT_STRUCT, first_segment, last_segment
 
@@ -88,9 +89,9 @@ def decode_trips(lines: DataFrame, text: str = "value") -> DataFrame:
         F.split(F.regexp_replace("body", ";+$", ""), ";"),
         lambda s: F.split(F.regexp_replace(s, " +$", ""), " "),
     )
-    first = F.col("_parts")[0]
     number = lambda t: t.try_cast("double")
     field = lambda p, i: F.get(p, F.lit(i))
+    first = F.get("_parts", F.lit(0))
     epochs = number(field(first, 0)).isNotNull() & number(field(first, 3)).isNotNull()
 
     def time(t: Column) -> Column:
@@ -118,15 +119,14 @@ def decode_trips(lines: DataFrame, text: str = "value") -> DataFrame:
             F.lit(False),
         )
 
-    return (
-        split_trip_lines(lines, text)
-        .where(F.col("vehicle_id").isNotNull() & F.col("body").isNotNull())
-        .withColumn("_parts", parts)
-        .where(F.forall("_parts", lambda p: F.size(p) == 6))
-        .withColumn("_epochs", epochs)
-        .select("vehicle_id", F.transform("_parts", segment).cast(f"array<{SEGMENT_STRUCT}>").alias("segments"))
-        .where(F.forall("segments", valid))
+    split = select_once(split_trip_lines(lines, text), parts.alias("_parts"), keep=("vehicle_id",))
+    six = split.where(F.col("vehicle_id").isNotNull() & F.forall("_parts", lambda p: F.size(p) == 6))
+    typed = select_once(
+        six.withColumn("_epochs", epochs),
+        F.transform("_parts", segment).cast(f"array<{SEGMENT_STRUCT}>").alias("segments"),
+        keep=("vehicle_id",),
     )
+    return typed.where(F.forall("segments", valid))
 
 
 def read_trip_lines(spark: SparkSession, path: str) -> DataFrame:
