@@ -43,14 +43,54 @@ def position_fixes(events: DataFrame) -> DataFrame:
     )
 
 
-def segments_from_events(events: DataFrame) -> DataFrame:
-    """events -> segments, before any validity filter."""
-    order = Window.partitionBy("vehicle_id").orderBy("event_id")
-    paired = position_fixes(events).select(
+def following_fixes(fixes: DataFrame, split_rows: int = 5_000_000) -> DataFrame:
+    """Add ``next_fix`` and ``second_fix``, the vehicle's two fixes that follow.
+
+    A vehicle with more than ``split_rows`` fixes is cut into slices of its
+    event ids, so that no task has to sort all of them. The last two fixes of a
+    slice then look into the next slices through ``heads``, one row per slice.
+    There are at most ``rows / split_rows`` such vehicles and about twice as many
+    slices, which bounds both broadcasts.
+    """
+    ids = F.max("event_id") - F.min("event_id") + 1
+    hot = (
+        fixes.groupBy("vehicle_id")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("event_id").alias("first_id"),
+            F.ceil(ids * F.lit(float(split_rows)) / F.count("*")).alias("slice_ids"),
+        )
+        .where(F.col("n") > split_rows)
+        .drop("n")
+    )
+    in_slice = Window.partitionBy("vehicle_id", "slice").orderBy("event_id")
+    paired = (
+        fixes.join(F.broadcast(hot), "vehicle_id", "left")
+        .withColumn("slice", F.floor((F.col("event_id") - F.col("first_id")) / F.col("slice_ids")))
+        .select(
+            "vehicle_id", "event_id", "slice", "fix",
+            F.lead("fix", 1).over(in_slice).alias("next_fix"),
+            F.lead("fix", 2).over(in_slice).alias("second_fix"),
+            F.row_number().over(in_slice).alias("rank"),
+        )
+    )
+    by_slice = Window.partitionBy("vehicle_id").orderBy("slice")
+    heads = paired.where(F.col("slice").isNotNull() & (F.col("rank") == 1)).select(
+        "vehicle_id", "slice",
+        F.lead("fix", 1).over(by_slice).alias("next_1"),
+        F.coalesce(F.lead("next_fix", 1).over(by_slice), F.lead("fix", 2).over(by_slice)).alias("next_2"),
+    )
+    last = F.col("next_fix").isNull()
+    return paired.join(F.broadcast(heads), ["vehicle_id", "slice"], "left").select(
         "vehicle_id", "event_id", "fix",
-        F.lead("fix", 1).over(order).alias("next_fix"),
-        F.lead("fix", 2).over(order).alias("second_fix"),
+        F.coalesce("next_fix", "next_1").alias("next_fix"),
+        F.coalesce("second_fix", F.when(last, F.col("next_2")).otherwise(F.col("next_1"))).alias("second_fix"),
     )
+
+
+def segments_from_events(events: DataFrame, split_rows: int = 5_000_000) -> DataFrame:
+    """events -> segments, before any validity filter."""
+    paired = following_fixes(position_fixes(events), split_rows)
     signal = F.col("event_id") % LOST_SIGNAL_EVERY != LOST_SIGNAL_AT
     consolidated = F.col("event_id") % CONSOLIDATED_EVERY == 0
     ends = F.array(
