@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions import geo
+from tripflow.functions.project import select_once
 from tripflow.operators.trips import first_segment, last_segment
 
 # Length units per hour, seconds, seconds.
@@ -122,14 +123,20 @@ def trip_metrics(
     reason = F.coalesce(F.get(faults, F.lit(0)), F.when(too_long, "too_long"))
     if ref is not None:
         reason = F.coalesce(reason, F.when(~F.exists("_legs", lambda x: x["near"]), "not_near"))
-    return (
-        trips.withColumn("_legs", trip_legs("segments", ref, unit, compat))
-        .withColumn("start_ts", first_segment()["start_ts"])
-        .withColumn("end_ts", last_segment()["end_ts"])
-        .withColumn("reject_reason", reason)
-        .withColumn("distance", F.when(F.col("reject_reason").isNull(), length))
-        .drop("_legs")
+    # Callers filter on the reason and compute with the length; both, and the
+    # legs under them, are evaluated once per trip.
+    others = tuple(trips.columns)
+    legged = select_once(
+        trips,
+        first_segment()["start_ts"].alias("start_ts"),
+        last_segment()["end_ts"].alias("end_ts"),
+        trip_legs("segments", ref, unit, compat).alias("_legs"),
+        keep=others,
     )
+    judged = select_once(
+        legged, reason.alias("reject_reason"), length.alias("distance"), keep=(*others, "start_ts", "end_ts")
+    )
+    return judged.withColumn("distance", F.when(F.col("reject_reason").isNull(), F.col("distance")))
 
 
 def valid_trips(

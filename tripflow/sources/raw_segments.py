@@ -37,7 +37,7 @@ def split_fields(lines: DataFrame, text: str = "value") -> DataFrame:
     line = F.btrim(F.replace(F.col(text), F.lit("'"), F.lit("")), F.lit(" \t\r\n\f"))
     seg_id = F.col("seg_id") if "seg_id" in lines.columns else F.xxhash64(text)
     fields = lines.select(
-        seg_id.alias("seg_id"), F.split(F.regexp_replace(line, ",+$", ""), ",").alias("_f")
+        seg_id.alias("seg_id"), F.split(F.rtrim(line, F.lit(",")), ",").alias("_f")
     )
     field = lambda i: F.get("_f", F.lit(i))
     return select_once(

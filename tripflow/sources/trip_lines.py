@@ -86,8 +86,8 @@ def decode_trips(lines: DataFrame, text: str = "value") -> DataFrame:
     not end after it starts.
     """
     parts = F.transform(
-        F.split(F.regexp_replace("body", ";+$", ""), ";"),
-        lambda s: F.split(F.regexp_replace(s, " +$", ""), " "),
+        F.split(F.rtrim("body", F.lit(";")), ";"),
+        lambda s: F.split(F.rtrim(s), " "),
     )
     number = lambda t: t.try_cast("double")
     field = lambda p, i: F.get(p, F.lit(i))
