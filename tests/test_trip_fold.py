@@ -124,3 +124,19 @@ def test_slices_settle_and_leave_little_over():
     assert len(rest) < 0.3 * len(rows)
     certain = fold_trips(cut, 1000)
     assert len(certain) > 0.5 * len(expected(rows))
+
+
+def test_kernel_travels_without_the_package(tmp_path):
+    """Workers on other nodes do not have the package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tripflow.operators import trips
+
+    file = tmp_path / "kernel"
+    file.write_bytes(cloudpickle.dumps((trips.trip_fold.to_trips, trips.trip_fold.to_leftovers)))
+    code = f"import pickle; a, b = pickle.load(open({str(file)!r}, 'rb')); print(list(a(iter([]))), list(b(iter([]))))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "[] []", done.stderr

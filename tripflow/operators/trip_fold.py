@@ -164,6 +164,14 @@ class Run:
             leftovers.extend(self.loose)
 
 
+def to_trips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return fold(batches, want_leftovers=False)
+
+
+def to_leftovers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return fold(batches, want_leftovers=True)
+
+
 def fold(batches: Iterator[pa.RecordBatch], want_leftovers: bool) -> Iterator[pa.RecordBatch]:
     """Rows -> trips, or (for slices) rows -> rows left over."""
     held, run, key = None, None, None

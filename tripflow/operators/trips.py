@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tripflow.operators import trip_fold
 
-# Executors need only this one module; shipping it inside the closure spares
-# callers from installing the package on every node.
+# The only module that runs inside Python workers. It travels with the task, so
+# the package need not be installed on every node.
 cloudpickle.register_pickle_by_value(trip_fold)
 
 SEGMENT_STRUCT = (
@@ -67,7 +67,7 @@ def build_trips(
         ) * F.col("slice_seconds")
         cut = rows.join(slices, "vehicle_id", "left").withColumn("chunk_start", chunk)
         hot = rows.join(slices, "vehicle_id").withColumn("chunk_start", chunk)
-        around_cuts = _sorted_runs(hot, num_partitions).mapInArrow(_leftover_rows, ROW_SCHEMA)
+        around_cuts = _sorted_runs(hot, num_partitions).mapInArrow(trip_fold.to_leftovers, ROW_SCHEMA)
         around_cuts = around_cuts.withColumn("chunk_start", F.lit(None).cast("bigint"))
         trips = _fold_trips(cut, num_partitions).unionByName(_fold_trips(around_cuts, num_partitions))
     if max_trip_length is not None and max_trip_length > 0:
@@ -140,15 +140,7 @@ def _sorted_runs(rows: DataFrame, num_partitions: int | None) -> DataFrame:
 
 
 def _fold_trips(rows: DataFrame, num_partitions: int | None) -> DataFrame:
-    return _sorted_runs(rows, num_partitions).mapInArrow(_trips, TRIP_SCHEMA)
-
-
-def _trips(batches):
-    return trip_fold.fold(batches, want_leftovers=False)
-
-
-def _leftover_rows(batches):
-    return trip_fold.fold(batches, want_leftovers=True)
+    return _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.to_trips, TRIP_SCHEMA)
 
 
 def number_trips(trips: DataFrame) -> DataFrame:
