@@ -27,12 +27,15 @@ def central_angle(lat1, lon1, lat2, lon2, compat: bool = False) -> Column:
     latitude are taken to be the same point.
     """
     lat1, lon1, lat2, lon2 = map(_col, (lat1, lon1, lat2, lon2))
+    # Squares by pow, and a closing asin rather than atan2, so that no part is
+    # written twice: array lambdas have no common subexpression elimination.
     half_dlat = F.sin(F.radians(lat2 - lat1) / 2)
     half_dlon = F.sin(F.radians(lon2 - lon1) / 2)
-    h = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
+    h = F.pow(half_dlat, F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
+        half_dlon, F.lit(2.0)
+    )
     # Rounding can push h past 1 for antipodal points.
-    h = F.least(h, F.lit(1.0))
-    angle = F.lit(2.0) * F.atan2(F.sqrt(h), F.sqrt(F.lit(1.0) - h))
+    angle = F.lit(2.0) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
     if compat:
         return F.when(lat1 == lat2, F.lit(0.0)).otherwise(angle)
     return angle

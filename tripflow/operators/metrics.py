@@ -56,35 +56,47 @@ def trip_legs(
     """
     segments = F.col(segments) if isinstance(segments, str) else segments
 
-    def leg(s: Column, i: Column) -> Column:
-        prev = F.get(segments, i - 1)
-        apart = prev.isNotNull() & (
-            (prev["end_lat"] != s["start_lat"]) | (prev["end_lon"] != s["start_lon"])
-        )
-        gap = (prev["end_lat"], prev["end_lon"], s["start_lat"], s["start_lon"])
+    # Three passes over the array; each names what the next one uses several
+    # times, because a lambda body evaluates every mention again.
+    def pair(s: Column, i: Column) -> Column:
+        return F.struct(s.alias("s"), F.get(segments, i - 1).alias("p"))
+
+    def measure(x: Column) -> Column:
+        s, p = x["s"], x["p"]
+        # NULL for the first leg, which has no previous segment.
+        apart = (p["end_lat"] != s["start_lat"]) | (p["end_lon"] != s["start_lon"])
+        gap = (p["end_lat"], p["end_lon"], s["start_lat"], s["start_lon"])
         seg = (s["start_lat"], s["start_lon"], s["end_lat"], s["end_lon"])
-        seg_len = geo.distance(*seg, unit, compat)
         near = F.lit(True)
         if ref is not None:
             off_seg = geo.cross_track(*seg, ref.lat, ref.lon, unit, compat)
             off_gap = geo.cross_track(*gap, ref.lat, ref.lon, unit, compat)
-            near = ((off_seg if compat else F.abs(off_seg)) <= ref.range_km) | (
-                apart & (F.abs(off_gap) <= ref.range_km)
-            )
-        speed = geo.speed_per_hour(seg_len, s["start_ts"], s["end_ts"])
-        gap_secs = s["start_ts"] - prev["end_ts"]
+            near = ((off_seg if compat else F.abs(off_seg)) <= ref.range_km) | F.when(
+                apart, F.abs(off_gap) <= ref.range_km
+            ).otherwise(False)
+        return F.struct(
+            geo.distance(*seg, unit, compat).alias("seg_len"),
+            s["start_ts"].alias("start_ts"),
+            s["end_ts"].alias("end_ts"),
+            F.when(apart, geo.distance(*gap, unit, compat)).otherwise(0.0).alias("gap_len"),
+            F.when(apart, s["start_ts"] - p["end_ts"]).alias("gap_secs"),
+            near.alias("near"),
+        )
+
+    def judge(m: Column) -> Column:
+        speed = geo.speed_per_hour(m["seg_len"], m["start_ts"], m["end_ts"])
         return F.struct(
-            seg_len.alias("seg_len"),
+            m["seg_len"].alias("seg_len"),
             speed.alias("speed"),
-            F.when(apart, geo.distance(*gap, unit, compat)).otherwise(F.lit(0.0)).alias("gap_len"),
-            F.when(apart & (gap_secs < 0), "out_of_sequence")
-            .when(apart & (gap_secs > MAX_GAP), "long_gap")
+            m["gap_len"].alias("gap_len"),
+            F.when(m["gap_secs"] < 0, "out_of_sequence")
+            .when(m["gap_secs"] > MAX_GAP, "long_gap")
             .when(speed > MAX_SPEED, "too_fast")
             .alias("fault"),
-            near.alias("near"),
+            m["near"].alias("near"),
         )
 
-    return F.transform(segments, leg)
+    return F.transform(F.transform(F.transform(segments, pair), measure), judge)
 
 
 def travelled_length(legs: Column | str = "_legs") -> Column:
