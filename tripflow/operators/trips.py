@@ -62,11 +62,11 @@ def build_trips(
         trips = _fold_trips(rows.withColumn("chunk_start", F.lit(None).cast("bigint")), num_partitions)
     else:
         slices = F.broadcast(hot_vehicle_slices(rows, split_rows))
-        chunk = F.col("first_ts") + F.floor(
-            (F.col("start_ts") - F.col("first_ts")) / F.col("slice_seconds")
-        ) * F.col("slice_seconds")
+        since = F.col("start_ts") - F.col("first_ts")
+        chunk = F.col("first_ts") + F.floor(since / F.col("slice_seconds")) * F.col("slice_seconds")
+        # NULL for vehicles that are not cut.
         cut = rows.join(slices, "vehicle_id", "left").withColumn("chunk_start", chunk)
-        hot = rows.join(slices, "vehicle_id").withColumn("chunk_start", chunk)
+        hot = cut.where(F.col("chunk_start").isNotNull())
         around_cuts = _sorted_runs(hot, num_partitions).mapInArrow(trip_fold.to_leftovers, ROW_SCHEMA)
         around_cuts = around_cuts.withColumn("chunk_start", F.lit(None).cast("bigint"))
         trips = _fold_trips(cut, num_partitions).unionByName(_fold_trips(around_cuts, num_partitions))
