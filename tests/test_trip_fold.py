@@ -29,21 +29,25 @@ def batches(rows, size):
     ])
 
 
+def trip_ids(batch):
+    trips = zip(batch.column("vehicle_id").to_pylist(), batch.column("segments").to_pylist())
+    return [(v, [int(s["start_lat"]) for s in segs]) for v, segs in trips if segs is not None]
+
+
 def fold_trips(rows, size):
-    out = []
-    for b in tf.fold(batches(rows, size), want_leftovers=False):
-        for v, segs in zip(b.column("vehicle_id").to_pylist(), b.column("segments").to_pylist()):
-            out.append((v, [int(s["start_lat"]) for s in segs]))
-    return out
+    return [t for b in tf.fold_vehicles(batches(rows, size)) for t in trip_ids(b)]
 
 
-def fold_leftovers(rows, size):
-    out = []
-    for b in tf.fold(batches(rows, size), want_leftovers=True):
+def fold_slices(rows, size):
+    """Certain trips, and the rows left over."""
+    certain, rest = [], []
+    for b in tf.fold_slices(batches(rows, size)):
+        certain += trip_ids(b)
         for r in b.to_pylist():
-            pair = next(p for p, k in KIND.items() if k == r["kind"])
-            out.append((r["vehicle_id"], None, r["start_ts"], r["end_ts"], pair, r["seg_id"]))
-    return out
+            if r["segments"] is None:
+                pair = next(p for p, k in KIND.items() if k == r["kind"])
+                rest.append((r["vehicle_id"], None, r["start_ts"], r["end_ts"], pair, r["seg_id"]))
+    return certain, rest
 
 
 def usable(rows):
@@ -110,8 +114,8 @@ def test_time_slices_give_the_same_trips(shape, seed):
     for seconds in (900, 14_400, 50_000):
         cut = sliced(rows, seconds)
         for size in (89, 100_000):
-            rest = fold_leftovers(cut, size)
-            assert sorted(fold_trips(cut, size) + fold_trips(rest, size)) == want
+            certain, rest = fold_slices(cut, size)
+            assert sorted(certain + fold_trips(rest, size)) == want
 
 
 def test_slices_settle_and_leave_little_over():
@@ -120,9 +124,8 @@ def test_slices_settle_and_leave_little_over():
     rng = random.Random(5)
     rows = usable(random_rows(rng, n, span, (2, 6, 2), [lambda r: r.randrange(1, 120)], vehicles=1))
     cut = sliced(rows, 14_400)
-    rest = fold_leftovers(cut, 1000)
+    certain, rest = fold_slices(cut, 1000)
     assert len(rest) < 0.3 * len(rows)
-    certain = fold_trips(cut, 1000)
     assert len(certain) > 0.5 * len(expected(rows))
 
 
@@ -136,7 +139,7 @@ def test_kernel_travels_without_the_package(tmp_path):
     from tripflow.operators import trips
 
     file = tmp_path / "kernel"
-    file.write_bytes(cloudpickle.dumps((trips.trip_fold.to_trips, trips.trip_fold.to_leftovers)))
+    file.write_bytes(cloudpickle.dumps((trips.trip_fold.fold_vehicles, trips.trip_fold.finish_slices)))
     code = f"import pickle; a, b = pickle.load(open({str(file)!r}, 'rb')); print(list(a(iter([]))), list(b(iter([]))))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.stdout.strip() == "[] []", done.stderr

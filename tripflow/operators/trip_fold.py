@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Row kinds: the meter goes on, stays on, goes off.
 METER_ON, METERED, METER_OFF = 0, 1, 2
@@ -36,6 +37,7 @@ SPLIT_GAP = 300  # a pause this long between metered segments starts a new trip
 MAX_METERED = 3600  # a longer metered segment ends the trip
 
 SEGMENT_FIELDS = ["start_ts", "start_lat", "start_lon", "end_ts", "end_lat", "end_lon"]
+ROW_COLUMNS = ["vehicle_id", "chunk_start", "kind", *SEGMENT_FIELDS, "seg_id"]
 
 
 class StartStates:
@@ -164,45 +166,91 @@ class Run:
             leftovers.extend(self.loose)
 
 
-def to_trips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return fold(batches, want_leftovers=False)
+class Folder:
+    """Folds consecutive batches; rows of the unfinished run wait in ``held``."""
 
+    def __init__(self):
+        self.held: pa.RecordBatch | None = None
+        self.run: Run | None = None
+        self.key: tuple | None = None
 
-def to_leftovers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return fold(batches, want_leftovers=True)
-
-
-def fold(batches: Iterator[pa.RecordBatch], want_leftovers: bool) -> Iterator[pa.RecordBatch]:
-    """Rows -> trips, or (for slices) rows -> rows left over."""
-    held, run, key = None, None, None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        base = 0 if held is None else held.num_rows
-        rows = batch if held is None else pa.concat_batches([held, batch])
+    def push(self, batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[list[int]], list[int]]:
+        """Returns rows, and the finished trips and left-over rows as indices into them."""
         trips: list[list[int]] = []
         leftovers: list[int] = []
+        base = 0 if self.held is None else self.held.num_rows
+        rows = batch if self.held is None else pa.concat_batches([self.held, batch])
         kinds, starts, ends = (
             batch.column(c).to_numpy().tolist() for c in ("kind", "start_ts", "end_ts")
         )
         for lo, hi in _run_bounds(batch):
-            this = (batch.column("vehicle_id")[lo].as_py(), batch.column("chunk_start")[lo].as_py())
-            if this != key:
-                if run is not None:
-                    run.finish(leftovers)
-                run, key = Run(this[1]), this
-            run.feed(kinds, starts, ends, lo, hi, base, trips, leftovers)
-        if want_leftovers:
+            key = (batch.column("vehicle_id")[lo].as_py(), batch.column("chunk_start")[lo].as_py())
+            if key != self.key:
+                if self.run is not None:
+                    self.run.finish(leftovers)
+                self.run, self.key = Run(key[1]), key
+            self.run.feed(kinds, starts, ends, lo, hi, base, trips, leftovers)
+        self._hold(rows)
+        return rows, trips, leftovers
+
+    def close(self) -> pa.RecordBatch | None:
+        """End of input: the last run's left-over rows."""
+        leftovers: list[int] = []
+        if self.run is not None:
+            self.run.finish(leftovers)
+        return self.held.take(pa.array(leftovers, pa.int64())) if leftovers else None
+
+    def _hold(self, rows: pa.RecordBatch) -> None:
+        """Keep the open run's rows for the next batch and renumber them."""
+        lists = [self.run.trip, self.run.loose, *self.run.ready]
+        ids = sorted({i for part in lists for i in part})
+        place = {i: n for n, i in enumerate(ids)}
+        for part in lists:
+            part[:] = [place[i] for i in part]
+        self.held = rows.take(pa.array(ids, pa.int64()))
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def fold_vehicles(batches: Batches) -> Batches:
+    """Rows of whole vehicles -> trips."""
+    folder = Folder()
+    for batch in batches:
+        if batch.num_rows:
+            rows, trips, _ = folder.push(batch)
+            if trips:
+                yield _trip_batch(rows, trips).select(["vehicle_id", "segments"])
+
+
+def fold_slices(batches: Batches) -> Batches:
+    """Rows of time slices -> certain trips, and left-over rows without a slice."""
+    folder = Folder()
+    for batch in batches:
+        if batch.num_rows:
+            rows, trips, leftovers = folder.push(batch)
+            if trips:
+                yield _trip_batch(rows, trips)
             if leftovers:
-                yield rows.take(pa.array(leftovers, pa.int64()))
-        elif trips:
-            yield _trip_batch(rows, trips)
-        held = _keep(rows, run, want_leftovers)
-    if run is not None and want_leftovers:
-        leftovers = []
-        run.finish(leftovers)
-        if leftovers:
-            yield held.take(pa.array(leftovers, pa.int64()))
+                yield _loose_batch(rows.take(pa.array(leftovers, pa.int64())))
+    rest = folder.close()
+    if rest is not None:
+        yield _loose_batch(rest)
+
+
+def finish_slices(batches: Batches) -> Batches:
+    """Output of ``fold_slices``, sorted again -> all trips."""
+    folder = Folder()
+    for batch in batches:
+        done = batch.column("segments").is_valid()
+        finished = batch.filter(done)
+        if finished.num_rows:
+            yield finished.select(["vehicle_id", "segments"])
+        loose = batch.filter(pc.invert(done))
+        if loose.num_rows:
+            rows, trips, _ = folder.push(loose.select(ROW_COLUMNS))
+            if trips:
+                yield _trip_batch(rows, trips).select(["vehicle_id", "segments"])
 
 
 def _run_bounds(batch: pa.RecordBatch) -> list[tuple[int, int]]:
@@ -214,32 +262,26 @@ def _run_bounds(batch: pa.RecordBatch) -> list[tuple[int, int]]:
 
 
 def _trip_batch(rows: pa.RecordBatch, trips: list[list[int]]) -> pa.RecordBatch:
-    lengths = np.fromiter(map(len, trips), np.int32, len(trips))
+    """One row per trip; of the row columns only vehicle and slice are set."""
     offsets = np.zeros(len(trips) + 1, np.int32)
-    np.cumsum(lengths, out=offsets[1:])
+    np.cumsum([len(trip) for trip in trips], out=offsets[1:])
     picked = rows.take(pa.array([i for trip in trips for i in trip], pa.int64()))
     segments = pa.StructArray.from_arrays(
         [picked.column(c) for c in SEGMENT_FIELDS], names=SEGMENT_FIELDS
     )
-    vehicle = picked.column("vehicle_id").take(pa.array(offsets[:-1]))
-    return pa.RecordBatch.from_arrays(
-        [vehicle, pa.ListArray.from_arrays(pa.array(offsets), segments)],
-        names=["vehicle_id", "segments"],
-    )
-
-
-def _keep(rows: pa.RecordBatch, run: Run, want_leftovers: bool) -> pa.RecordBatch:
-    """Carry the open run's rows to the next batch and renumber them."""
-    if want_leftovers:
-        run.ready.clear()  # only the rows themselves are wanted
-        lists = [run.loose]
-        run.trip = []
-    else:
-        run.loose = []
-        lists = [run.trip, *run.ready]
-    ids = [i for part in lists for i in part]
-    n = 0
-    for part in lists:
-        part[:] = range(n, n + len(part))
-        n += len(part)
-    return rows.take(pa.array(ids, pa.int64()))
+    first = picked.take(pa.array(offsets[:-1]))
+    columns = {
+        c: first.column(c) if c in ("vehicle_id", "chunk_start") else pa.nulls(len(trips), rows.schema.field(c).type)
+        for c in ROW_COLUMNS
+    }
+    columns["segments"] = pa.ListArray.from_arrays(pa.array(offsets), segments)
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _loose_batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Left-over rows, no longer in a slice and without segments."""
+    columns = {c: rows.column(c) for c in ROW_COLUMNS}
+    columns["chunk_start"] = pa.nulls(rows.num_rows, pa.int64())
+    segment = pa.struct([(c, rows.schema.field(c).type) for c in SEGMENT_FIELDS])
+    columns["segments"] = pa.nulls(rows.num_rows, pa.list_(segment))
+    return pa.RecordBatch.from_pydict(columns)

@@ -17,11 +17,11 @@ SEGMENT_STRUCT = (
     "end_ts:bigint,end_lat:double,end_lon:double>"
 )
 TRIP_SCHEMA = f"vehicle_id bigint, segments array<{SEGMENT_STRUCT}>"
-ROW_COLUMNS = ["vehicle_id", "chunk_start", "kind", *trip_fold.SEGMENT_FIELDS, "seg_id"]
 ROW_SCHEMA = (
     "vehicle_id bigint, chunk_start bigint, kind tinyint, start_ts bigint, start_lat double, "
     "start_lon double, end_ts bigint, end_lat double, end_lon double, seg_id bigint"
 )
+SLICE_SCHEMA = f"{ROW_SCHEMA}, segments array<{SEGMENT_STRUCT}>"
 FOLD_ORDER = ["vehicle_id", "chunk_start", "start_ts", "end_ts", "seg_id"]
 
 DAY = 86_400
@@ -59,17 +59,16 @@ def build_trips(
     """
     rows = _fold_input(segments)
     if split_rows is None:
-        trips = _fold_trips(rows.withColumn("chunk_start", F.lit(None).cast("bigint")), num_partitions)
+        trips = _fold_vehicles(rows.withColumn("chunk_start", F.lit(None).cast("bigint")), num_partitions)
     else:
         slices = F.broadcast(hot_vehicle_slices(rows, split_rows))
         since = F.col("start_ts") - F.col("first_ts")
         chunk = F.col("first_ts") + F.floor(since / F.col("slice_seconds")) * F.col("slice_seconds")
         # NULL for vehicles that are not cut.
         cut = rows.join(slices, "vehicle_id", "left").withColumn("chunk_start", chunk)
-        hot = cut.where(F.col("chunk_start").isNotNull())
-        around_cuts = _sorted_runs(hot, num_partitions).mapInArrow(trip_fold.to_leftovers, ROW_SCHEMA)
-        around_cuts = around_cuts.withColumn("chunk_start", F.lit(None).cast("bigint"))
-        trips = _fold_trips(cut, num_partitions).unionByName(_fold_trips(around_cuts, num_partitions))
+        whole = _fold_vehicles(cut.where(F.col("chunk_start").isNull()), num_partitions)
+        sliced = _fold_slices(cut.where(F.col("chunk_start").isNotNull()), num_partitions)
+        trips = whole.unionByName(sliced)
     if max_trip_length is not None and max_trip_length > 0:
         trips = limit_trip_length(trips, max_trip_length)
     return trips
@@ -136,11 +135,23 @@ def _fold_input(segments: DataFrame) -> DataFrame:
 def _sorted_runs(rows: DataFrame, num_partitions: int | None) -> DataFrame:
     keys = ["vehicle_id", "chunk_start"]
     parts = rows.repartition(num_partitions, *keys) if num_partitions else rows.repartition(*keys)
-    return parts.sortWithinPartitions(*FOLD_ORDER).select(*ROW_COLUMNS)
+    return parts.sortWithinPartitions(*FOLD_ORDER)
 
 
-def _fold_trips(rows: DataFrame, num_partitions: int | None) -> DataFrame:
-    return _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.to_trips, TRIP_SCHEMA)
+def _fold_vehicles(rows: DataFrame, num_partitions: int | None) -> DataFrame:
+    rows = rows.select(*trip_fold.ROW_COLUMNS)
+    return _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_vehicles, TRIP_SCHEMA)
+
+
+def _fold_slices(rows: DataFrame, num_partitions: int | None) -> DataFrame:
+    """Slices in parallel, then each vehicle's left-over rows.
+
+    Certain trips pass through the second shuffle under their slice's key, so
+    they stay spread out; only left-over rows gather by vehicle.
+    """
+    rows = rows.select(*trip_fold.ROW_COLUMNS)
+    certain = _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_slices, SLICE_SCHEMA)
+    return _sorted_runs(certain, num_partitions).mapInArrow(trip_fold.finish_slices, TRIP_SCHEMA)
 
 
 def number_trips(trips: DataFrame) -> DataFrame:
