@@ -113,6 +113,10 @@ def test_iso_output_in_each_trips_zone(spark, raw_path, tmp_path):
     jobs.trip_builder(spark, raw_path, a, "complete", "iso", zones=zones)
     jobs.trip_builder(spark, raw_path, b, "complete", "iso", tz=catalog.HOME_TZ)
     assert sorted(read(spark, a)) == sorted(read(spark, b))
+    c, d = str(tmp_path / "fares-zones"), str(tmp_path / "fares-tz")
+    jobs.trip_fares(spark, a, c, time_format="iso", zones=zones)
+    jobs.trip_fares(spark, a, d, time_format="iso", tz=catalog.HOME_TZ, num_partitions=3)
+    assert len(read(spark, c)) > 50 and sorted(read(spark, c)) == sorted(read(spark, d))
 
 
 def test_fixture_counts(spark):

@@ -68,8 +68,11 @@ def cross_track(
 
 
 def speed_per_hour(length, start_ts, end_ts) -> Column:
-    """Average speed, length units per hour, for a leg timed in epoch seconds."""
-    return _col(length) * 3600.0 / (_col(end_ts) - _col(start_ts))
+    """Average speed, length units per hour, for a leg timed in epoch seconds.
+
+    NULL for a leg that takes no time.
+    """
+    return F.try_divide(_col(length) * 3600.0, _col(end_ts) - _col(start_ts))
 
 
 def _col(c) -> Column:

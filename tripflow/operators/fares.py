@@ -25,15 +25,17 @@ def fares(
     ref: ReferencePoint | None = None,
     straight: bool = False,
     compat: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Valid trips -> ``start_ts, end_ts, distance, cost, vehicle_id``.
 
-    With ``ref`` only trips that pass near it. No shuffle.
+    With ``ref`` only trips that pass near it. ``keep`` names further columns
+    of the trips to carry along. No shuffle.
     """
     if start_charge < 0 or per_km <= 0:
         raise ValueError("start_charge must be >= 0 and per_km > 0")
     return valid_trips(trips, straight, ref, "K", compat).select(
-        "start_ts", "end_ts", "distance", fare("distance", start_charge, per_km).alias("cost"), "vehicle_id"
+        "start_ts", "end_ts", "distance", fare("distance", start_charge, per_km).alias("cost"), "vehicle_id", *keep
     )
 
 

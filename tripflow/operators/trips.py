@@ -108,8 +108,9 @@ def hot_vehicle_slices(rows: DataFrame, split_rows: int) -> DataFrame:
 def _fold_input(segments: DataFrame) -> DataFrame:
     """The columns the fold reads, without rows that cannot change anything.
 
-    Positions matter only for metered segments; blank ones compress away in
-    the shuffle.
+    Segments that take no time are left out as well: that a segment lasts at
+    least a second is what bounds the size of a trip. Positions matter only for
+    metered segments; blank ones compress away in the shuffle.
     """
     status = F.concat("start_status", "end_status")
     kind = (
@@ -123,8 +124,8 @@ def _fold_input(segments: DataFrame) -> DataFrame:
     position = lambda c: F.when(metered, F.col(c)).alias(c)
     return (
         segments.withColumn("kind", kind)
-        .where(F.col("kind").isNotNull())
-        .where((F.col("kind") != trip_fold.METER_ON) | seconds.between(0, trip_fold.MAX_METER_ON))
+        .where(F.col("vehicle_id").isNotNull() & F.col("kind").isNotNull() & (seconds > 0))
+        .where((F.col("kind") != trip_fold.METER_ON) | (seconds <= trip_fold.MAX_METER_ON))
         .select(
             "vehicle_id", "kind", "start_ts", position("start_lat"), position("start_lon"),
             "end_ts", position("end_lat"), position("end_lon"), "seg_id",

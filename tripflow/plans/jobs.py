@@ -71,15 +71,22 @@ def trip_fares(
     straight: bool = False,
     time_format: str = lines.EPOCH,
     tz: str | None = None,
+    zones: DataFrame | None = None,
     num_partitions: int | None = None,
     compat: bool = False,
 ) -> None:
-    """Trip lines -> fare lines in time order."""
+    """Trip lines -> fare lines in time order.
+
+    ISO times are given in ``tz``, or in the zone of the trip's first position.
+    """
     lines.check_paths(input_path, output_path)
     _check_partitions(num_partitions)
     trips = lines.read_trip_lines(spark, input_path)
-    table = order_fares(fares(trips, start_charge, per_km, ref, straight, compat), num_partitions)
-    lines.write_lines(lines.encode_fares(table, time_format, tz), output_path)
+    keep: tuple[str, ...] = ()
+    if time_format == lines.ISO and zones is not None:
+        trips, tz, keep = _with_trip_zone(trips, zones), F.col("tz"), ("tz",)
+    table = fares(trips, start_charge, per_km, ref, straight, compat, keep)
+    lines.write_lines(lines.encode_fares(order_fares(table, num_partitions), time_format, tz), output_path)
 
 
 def trip_histogram(
