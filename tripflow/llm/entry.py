@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.llm.language_id import op2_language_hyperdimensional
 from tripflow.llm.pii import op1_pii_skip_chain
+from tripflow.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii_skip_chain,
+        op2_language_hyperdimensional,
+        op7_token_counts,
     )
 }
 
