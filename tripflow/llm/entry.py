@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.llm.decontaminate import op4_decontaminate_prefix_join
 from tripflow.llm.language_id import op2_language_hyperdimensional
 from tripflow.llm.pii import op1_pii_skip_chain
+from tripflow.llm.quality import op5_quality_subword
 from tripflow.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_pii_skip_chain,
         op2_language_hyperdimensional,
+        op4_decontaminate_prefix_join,
+        op5_quality_subword,
         op7_token_counts,
     )
 }
