@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripflow.llm.decontaminate import op4_decontaminate_prefix_join
 from tripflow.llm.language_id import op2_language_hyperdimensional
+from tripflow.llm.license_scan import ORACLE as LICENSE_SQL
+from tripflow.llm.license_scan import op3_license_digests
+from tripflow.llm.line_dedup import ORACLE as LINE_SQL
+from tripflow.llm.line_dedup import op10_line_templates
 from tripflow.llm.pii import op1_pii_skip_chain
 from tripflow.llm.quality import op5_quality_subword
 from tripflow.llm.token_counts import op7_token_counts
@@ -17,10 +21,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_pii_skip_chain,
         op2_language_hyperdimensional,
+        op3_license_digests,
         op4_decontaminate_prefix_join,
         op5_quality_subword,
         op7_token_counts,
+        op10_line_templates,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_license_digests": LICENSE_SQL,
+    "op10_line_templates": LINE_SQL,
+}
