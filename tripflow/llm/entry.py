@@ -12,9 +12,12 @@ from tripflow.llm.license_scan import ORACLE as LICENSE_SQL
 from tripflow.llm.license_scan import op3_license_digests
 from tripflow.llm.line_dedup import ORACLE as LINE_SQL
 from tripflow.llm.line_dedup import op10_line_templates
+from tripflow.llm.ngram_join import op6_ngram_jaccard_join
 from tripflow.llm.pii import op1_pii_skip_chain
 from tripflow.llm.quality import op5_quality_subword
 from tripflow.llm.token_counts import op7_token_counts
+from tripflow.llm.topk import ORACLE as TOPK_SQL
+from tripflow.llm.topk import op9_topk_uniform_threshold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -24,12 +27,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_license_digests,
         op4_decontaminate_prefix_join,
         op5_quality_subword,
+        op6_ngram_jaccard_join,
         op7_token_counts,
+        op9_topk_uniform_threshold,
         op10_line_templates,
     )
 }
 
 ORACLE: dict[str, str] = {
     "op3_license_digests": LICENSE_SQL,
+    "op9_topk_uniform_threshold": TOPK_SQL,
     "op10_line_templates": LINE_SQL,
 }
