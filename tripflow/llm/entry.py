@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripflow.llm.byte_bpe import op8_byte_bpe
 from tripflow.llm.decontaminate import op4_decontaminate_prefix_join
 from tripflow.llm.language_id import op2_language_hyperdimensional
 from tripflow.llm.license_scan import ORACLE as LICENSE_SQL
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_quality_subword,
         op6_ngram_jaccard_join,
         op7_token_counts,
+        op8_byte_bpe,
         op9_topk_uniform_threshold,
         op10_line_templates,
     )

@@ -11,10 +11,10 @@ line is its own template.
 A template recurs if it stands in several documents. It stays in the document
 with the smallest id and is dropped everywhere else.
 
-Lines travel as (document, line number, digests), not as text; only lines of
-leaves with several distinct lines are read again for the places. Nothing is
-gathered by leaf: places are counted by (leaf, place, token), and equal lines are
-one before that.
+Lines travel as (document, line number, digests), not as text. Only lines of
+leaves with several distinct lines are read again, found by a bit map of fixed
+size. Nothing is gathered by leaf: places are counted by (leaf, place, token), and
+equal lines are one before that.
 
 Defined cases: null text counts as empty and stays null; lines without a token
 are kept; documents are told apart by id, a null id is one of its own before all
@@ -25,64 +25,138 @@ by ``drop_lines`` and ignored by the query.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import re
+
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.llm import base
 
 DEPTH, LEAST, SHARE = 3, 10, 0.8
 NO_ID = -(1 << 63)
+#: Bits of the map of leaves, 8 MB.
+MOST_BITS = 1 << 26
 # white space without the line end
-GAPS = "[\\t\\x0B\\f\\r ]{2,}|[\\t\\x0B\\f\\r]"
-VARIABLE = "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
+GAPS = str.maketrans("\t\v\f\r", "    ")
+DIGIT = re.compile("[0-9]")
+
+
+def tokens_of(line: str) -> list[str]:
+    """Tokens of a line, those with a digit masked."""
+    tokens = line.translate(GAPS).split(" ") if not line.isprintable() else line.split(" ")
+    if "" in tokens:
+        tokens = [t for t in tokens if t]
+    if DIGIT.search(line):
+        tokens = ["<*>" if DIGIT.search(t) else t for t in tokens]
+    return tokens
+
+
+def digest(text: str) -> bytes:
+    return hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
 
 
-def digest(c: Column) -> Column:
-    return F.unhex(F.md5(c))
+def leaf_of(tokens: list[str]) -> bytes:
+    return digest(f"{len(tokens)} " + " ".join(tokens[:DEPTH]))
 
 
-def masked(line: Column) -> Column:
-    return F.regexp_replace(F.trim(F.regexp_replace(line, GAPS, " ")), VARIABLE, "<*>")
+def leaf_bit(leaf: bytes, bits: int) -> int:
+    return int.from_bytes(leaf[:4], "big") & (bits - 1)
+
+
+LINES = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("text_hash", T.LongType()),
+    T.StructField("place", T.IntegerType()),
+    T.StructField("n", T.IntegerType()),
+    T.StructField("leaf", T.BinaryType()),
+    T.StructField("line", T.BinaryType()),
+])
+TEXTS = T.StructType([
+    T.StructField("leaf", T.BinaryType()),
+    T.StructField("line", T.BinaryType()),
+    T.StructField("n", T.IntegerType()),
+    T.StructField("masked", T.StringType()),
+])
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(id, text digest, place, masked line, leaf, template digest, tokens) of every line with a token."""
-    split = docs.select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
-        F.xxhash64("text").alias("text_hash"),
-        F.posexplode(F.split("text", "\n")).alias("place", "line"),
-    )
-    mask = split.select("id", "text_hash", "place", masked(F.col("line")).alias("masked")).where("masked <> ''")
-    n = F.length("masked") - F.length(F.translate("masked", " ", "")) + 1
-    return mask.select(
-        "*",
-        n.alias("n"),
-        digest(F.concat_ws(" ", n, F.substring_index("masked", " ", DEPTH))).alias("leaf"),
-        digest(F.col("masked")).alias("line"),
-    )
+    """(id, text digest, place, tokens, leaf, digest) of every line with a token."""
+
+    def work(batches):
+        for ids, hashes, texts in batches:
+            for a in range(0, len(ids), 500):
+                rows = []
+                for i, h, text in zip(ids[a : a + 500], hashes[a : a + 500], texts[a : a + 500], strict=True):
+                    for place, line in enumerate(text.split("\n") if text else ()):
+                        tokens = tokens_of(line)
+                        if tokens:
+                            rows.append((i, h, place, len(tokens), leaf_of(tokens), digest(" ".join(tokens))))
+                yield rows
+
+    own = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"), F.xxhash64("text").alias("h"), "text")
+    return base.map_texts(own, work, LINES)
+
+
+def bit_map(leaves: DataFrame) -> np.ndarray:
+    """Bits of the leaves in ``leaves``: at most MOST_BITS / 64 rows come to the driver."""
+    count, bits = leaves.count(), 1 << 16
+    while bits < min(MOST_BITS, 16 * count):
+        bits *= 2
+    at = f"(conv(hex(substring(leaf, 1, 4)), 16, 10) % {bits}L)"
+    words = leaves.select(F.expr(f"cast({at} as bigint)").alias("at")).groupBy(F.expr("shiftright(at, 6)").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at & 63L as int)))").alias("mask")
+    ).toArrow()
+    held = np.zeros(bits // 64, dtype=np.int64)
+    held[words["word"].to_numpy()] = words["mask"].to_numpy()
+    return np.unpackbits(held.view(np.uint8), bitorder="little").astype(bool)
+
+
+def texts_of(docs: DataFrame, held: np.ndarray, least: int) -> DataFrame:
+    """(leaf, line, n, masked line) of the distinct lines whose leaf's bit is set, and ``least`` tokens or more."""
+    packed = np.packbits(held)
+
+    def work(batches):
+        marked = np.unpackbits(packed).astype(bool)
+        seen: set[bytes] = set()
+        for (texts,) in batches:
+            for a in range(0, len(texts), 500):
+                rows = []
+                for text in texts[a : a + 500]:
+                    for line in text.split("\n") if text else ():
+                        if line.count(" ") + 1 < least and line.isprintable():
+                            continue
+                        tokens = tokens_of(line)
+                        if len(tokens) >= least and marked[leaf_bit(leaf := leaf_of(tokens), len(marked))]:
+                            masked = " ".join(tokens)
+                            if (d := digest(masked)) not in seen:
+                                if len(seen) > 200_000:
+                                    seen.clear()
+                                seen.add(d)
+                                rows.append((leaf, d, len(tokens), masked))
+                yield rows
+
+    return base.map_texts(docs.select("text"), work, TEXTS).dropDuplicates(["leaf", "line"])
 
 
 def templates(docs: DataFrame, lines: DataFrame, least: int, share: float) -> DataFrame:
-    """(line, first, last): lines whose template recurs, with the smallest and largest id of the template."""
-    own = lines.groupBy("leaf", "line", "n").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    several = (
+    """(line, first): lines whose template recurs, with the smallest id of the template."""
+    own = base.keep(lines.groupBy("leaf", "line", "n").agg(F.min("id").alias("first"), F.max("id").alias("last")))
+    several = base.keep(
         own.where(F.col("n") >= least).groupBy("leaf").agg(F.min("line").alias("a"), F.max("line").alias("b"))
         .where("a <> b").select("leaf")
     )
-    distinct = (
-        lines_of(docs).where(F.col("n") >= least).join(several, "leaf")
-        .groupBy("leaf", "line", "n").agg(F.first("masked").alias("masked"))
-    )
-    tokens = distinct.select("leaf", "line", "n", F.posexplode(F.split("masked", " ")).alias("place", "token"))
+    distinct = base.keep(texts_of(docs, bit_map(several), least).join(several, "leaf", "left_semi"))
+    tokens = distinct.select("leaf", F.posexplode(F.split("masked", " ")).alias("place", "token"))
     common = (
         tokens.groupBy("leaf", "place", "token").agg(F.count("*").alias("c"))
-        .groupBy("leaf", "place").agg(F.min(F.struct((-F.col("c")).alias("c"), "token"))["token"].alias("common"))
-    )
-    near = (
-        tokens.join(common, ["leaf", "place"])
-        .groupBy("leaf", "line", "n").agg(F.sum((F.col("token") == F.col("common")).cast("int")).alias("same"))
-        .where(F.col("same") >= F.ceil(F.col("n") * share - 1e-9)).select("leaf", "line")
+        .groupBy("leaf", "place").agg(F.min(F.struct((-F.col("c")).alias("c"), "token"))["token"].alias("token"))
+        .groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", "token")))["token"].alias("common"))
     )
+    same = F.size(F.filter(F.zip_with(F.split("masked", " "), "common", lambda a, b: a == b), lambda x: x))
+    near = distinct.join(common, "leaf").where(same >= F.ceil(F.col("n") * share - 1e-9)).select("leaf", "line")
     grouped = own.join(near.withColumn("near", F.lit(True)), ["leaf", "line"], "left")
     # a template is a leaf's or, for any other line, the line itself
     name = F.when(F.col("near"), F.col("leaf")).otherwise(F.col("line"))
@@ -95,7 +169,7 @@ def templates(docs: DataFrame, lines: DataFrame, least: int, share: float) -> Da
 
 def drop_lines(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
     """``docs`` with struct column OUT: number of lines, of dropped lines, and the text that stays."""
-    lines = base.keep(lines_of(docs).select("id", "text_hash", "place", "n", "leaf", "line"))
+    lines = base.keep(lines_of(docs))
     gone = (
         lines.join(templates(docs, lines, least, share), "line").where(F.col("id") != F.col("first"))
         .groupBy("id", "text_hash").agg(F.collect_set("place").alias("gone"))
