@@ -1,11 +1,11 @@
-"""Sampled position statistics and the outlier filter built on them."""
+"""Position statistics and the outlier filter built on them."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default sampling step, and band half-width in standard deviations.
+# Sampling step of the compatible mode, and band half-width in standard deviations.
 SAMPLE_EVERY = 1000
 DEVIATIONS = 20.0
 
@@ -19,14 +19,14 @@ def systematic_sample(segments: DataFrame, every: int = SAMPLE_EVERY) -> DataFra
 
 
 def geo_stats(
-    segments: DataFrame, sample_every: int = SAMPLE_EVERY, split_key: Column | None = None
+    segments: DataFrame, sample_every: int | None = None, split_key: Column | None = None
 ) -> DataFrame:
-    """Count, mean and sample variance of sampled positions.
+    """Count, mean and sample variance of positions, of all rows or of a systematic sample.
 
     Start and end positions both count. One row, or with ``split_key`` one row
     per key. Partial aggregation leaves one row per task and key to shuffle.
     """
-    sample = systematic_sample(segments, sample_every)
+    sample = segments if sample_every is None else systematic_sample(segments, sample_every)
     keys = []
     if split_key is not None:
         sample = sample.withColumn("split_key", split_key)
@@ -63,7 +63,7 @@ def pooled_geo_stats(stats: DataFrame) -> DataFrame:
 
 
 def geo_bounds(stats: DataFrame, k: float = DEVIATIONS) -> DataFrame:
-    """Mean +- ``k`` standard deviations; the whole world when nothing was sampled."""
+    """Mean +- ``k`` standard deviations; the whole world when there are no positions."""
 
     def limit(axis: str, sign: int, world: float) -> Column:
         edge = F.col(f"{axis}_mean") + F.sqrt(f"{axis}_var") * F.lit(sign * float(k))
@@ -80,13 +80,15 @@ def geo_bounds(stats: DataFrame, k: float = DEVIATIONS) -> DataFrame:
 def outlier_filter(
     segments: DataFrame,
     k: float = DEVIATIONS,
-    sample_every: int = SAMPLE_EVERY,
+    sample_every: int | None = None,
     compat_split_key: Column | None = None,
 ) -> DataFrame:
     """Keep segments whose start and end lie within the bounds.
 
-    The bounds reach the scan as one scalar subquery, so there is no join.
-    With ``compat_split_key`` the statistics are taken per key and pooled.
+    The bounds follow from every row, whatever their number; ``sample_every``
+    takes them from a sample instead, which on small input can be too narrow to
+    hold the rows it was not taken from. They reach the scan as one scalar
+    subquery, so there is no join. With ``compat_split_key`` the statistics are taken per key and pooled.
     """
     stats = geo_stats(segments, sample_every, compat_split_key)
     if compat_split_key is not None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.project import select_once
@@ -39,6 +39,27 @@ def fares(
     )
 
 
+FARE_ORDER = ["start_ts", "end_ts", "vehicle_id", "distance"]
+
+
+def number_fares(df: DataFrame, seconds: int = 3600) -> DataFrame:
+    """Add ``ordinal``, the fare's place from 1 in the order of ``order_fares``.
+
+    Numbered within ``seconds`` of start time and shifted by the fares of earlier
+    periods, so that only the counts of the periods meet in one task.
+    """
+    dated = df.withColumn("_period", F.floor(F.col("start_ts") / seconds))
+    earlier = Window.orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
+    before = dated.groupBy("_period").agg(F.count("*").alias("_n")).select(
+        "_period", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    place = F.row_number().over(Window.partitionBy("_period").orderBy(*FARE_ORDER))
+    return (
+        dated.withColumn("_place", place).join(before, "_period")
+        .select(*df.columns, (F.col("_before") + F.col("_place")).alias("ordinal"))
+    )
+
+
 def order_fares(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Global order by start and end time.
 
@@ -50,7 +71,7 @@ def order_fares(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     building and measuring, run a second time for the sample; the narrow fare
     rows are hash-shuffled before, so that the sample reads shuffle files.
     """
-    order = ["start_ts", "end_ts", "vehicle_id", "distance"]
+    order = FARE_ORDER
     spread = df.repartition("vehicle_id", "start_ts", "end_ts")
     if not num_partitions:
         return spread.orderBy(*order)

@@ -10,6 +10,18 @@ def _cell(degrees) -> Column:
     return F.floor(degrees).cast("int")
 
 
+#: Box parts, one for each zone and cell it touches, up to which the cell table is broadcast.
+BROADCAST_PARTS = 200_000
+#: Copies of the cell table beyond that bound, over which the rows of a cell are spread.
+SALTS = 32
+
+
+def cell_parts(zones: DataFrame) -> int:
+    """Box parts of the cell table: what its size is in proportion to. One pass over the zones."""
+    parts = (_cell("lat_max") - _cell("lat_min") + 1) * (_cell("lon_max") - _cell("lon_min") + 1)
+    return zones.agg(F.sum(parts.cast("bigint")).alias("n")).first()["n"] or 0
+
+
 def zone_cells(zones: DataFrame) -> DataFrame:
     """One row per one-degree cell, with the zone boxes that touch it.
 
@@ -25,24 +37,38 @@ def zone_cells(zones: DataFrame) -> DataFrame:
 
 
 def assign_timezone(
-    df: DataFrame, zones: DataFrame, lat: str = "start_lat", lon: str = "start_lon"
+    df: DataFrame,
+    zones: DataFrame,
+    lat: str = "start_lat",
+    lon: str = "start_lon",
+    broadcast_parts: int = BROADCAST_PARTS,
 ) -> DataFrame:
     """Add ``tz``: the zone whose box contains the position, or NULL.
 
     ``zones(tz, lat_min, lat_max, lon_min, lon_max)`` has closed boxes; where
     boxes overlap the alphabetically first zone wins. The range test is turned
     into an equi-join on one-degree cells, so there is one hash probe per row
-    instead of one comparison per zone, and a row is never multiplied. The
-    join carries no broadcast hint: Spark broadcasts the cell table when its
-    measured size is below ``spark.sql.autoBroadcastJoinThreshold`` and
-    otherwise shuffles, where AQE splits a cell that holds most of the rows.
+    instead of one comparison per zone, and a row is never multiplied.
+
+    The zone table is measured first. Up to ``broadcast_parts`` box parts (about
+    60 bytes each) its cells are broadcast, and the rows of ``df`` stay where
+    they are. Beyond that both sides are shuffled, with the cells copied
+    ``SALTS`` times and the rows of a cell spread over the copies, since all
+    rows of a city may fall into one cell.
     """
     inside = lambda z: (
         F.col(lat).between(z["lat_min"], z["lat_max"]) & F.col(lon).between(z["lon_min"], z["lon_max"])
     )
     keyed = df.withColumn("_lat_cell", _safe_cell(lat)).withColumn("_lon_cell", _safe_cell(lon))
+    cells, on = zone_cells(zones), ["_lat_cell", "_lon_cell"]
+    if cell_parts(zones) <= broadcast_parts:
+        cells = F.broadcast(cells)
+    else:
+        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64(lat, lon), F.lit(SALTS)))
+        cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+        on = [*on, "_salt"]
     return (
-        keyed.join(zone_cells(zones), ["_lat_cell", "_lon_cell"], "left")
+        keyed.join(cells, on, "left")
         .withColumn("tz", F.get(F.filter("_boxes", inside), F.lit(0))["tz"])
         .select(*df.columns, "tz")
     )

@@ -27,6 +27,8 @@ FAR_POINT = (37.62131, -122.37896)
 SAMPLE_EVERY, BOUND_DEVIATIONS = 10, 3.0
 MAX_TRIP_SECONDS = 600
 BAND_WIDTH, MAX_DISTANCE = 0.5, 5.0
+# A fleet of long segments around a change to summer time.
+SLOW = {"origin": 1_710_028_800, "squeeze": 10}
 ZONES = [
     ("America/Los_Angeles", 37.70, 37.705, -122.40, -122.39),
     ("America/Denver", 37.704, 37.72, -122.40, -122.396),
@@ -46,28 +48,39 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 POSITIONS = ("start_lat", "start_lon", "end_lat", "end_lon")
 
 
-def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_event_segments(spark, sf_dir)
+def _segments(spark: SparkSession, sf_dir: str, **fleet) -> DataFrame:
+    return read_event_segments(spark, sf_dir, **fleet)
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean(_segments(spark, sf_dir))
+def _clean(spark: SparkSession, sf_dir: str, **fleet) -> DataFrame:
+    return clean.clean(_segments(spark, sf_dir, **fleet))
 
 
-def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips.build_trips(_clean(spark, sf_dir))
+def _trips(spark: SparkSession, sf_dir: str, **fleet) -> DataFrame:
+    return trips.build_trips(_clean(spark, sf_dir, **fleet))
 
 
-def _rounded_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _rounded_trips(spark: SparkSession, sf_dir: str, **fleet) -> DataFrame:
     """Trips with positions rounded, for text forms."""
     one = lambda s: F.struct(
         *[(r6(s[c]) if c in POSITIONS else s[c]).alias(c) for c in trips.trip_fold.SEGMENT_FIELDS]
     )
-    return _trips(spark, sf_dir).withColumn("segments", F.transform("segments", one))
+    return _trips(spark, sf_dir, **fleet).withColumn("segments", F.transform("segments", one))
 
 
-def raw_lines(segments: DataFrame, tz: str = HOME_TZ) -> DataFrame:
-    """Segments -> quoted raw lines, some of them damaged in different ways."""
+def _edge_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips whose last segment is late, or lasts six hours longer, or goes 222 km on, by the start time."""
+    kind = F.pmod(trips.first_segment()["start_ts"], F.lit(4))
+    end = trips.last_segment()
+    late, longer = F.when(kind == 1, 1000).otherwise(0), F.when(kind == 2, 21600).when(kind == 3, 7200).otherwise(0)
+    moved = end.withField("start_ts", end["start_ts"] + late).withField("end_ts", end["end_ts"] + late + longer)
+    moved = moved.withField("end_lat", end["end_lat"] + F.when(kind == 3, 2.0).otherwise(0.0))
+    before = F.slice("segments", F.lit(1), F.size("segments") - 1)
+    return _trips(spark, sf_dir).withColumn("segments", F.concat(before, F.array(moved)))
+
+
+def raw_lines(segments: DataFrame, tz: str = HOME_TZ, damaged: bool = True) -> DataFrame:
+    """Segments -> quoted raw lines, if wanted some of them damaged in different ways."""
 
     def clock(c: str) -> Column:
         return F.concat(F.lit("'"), epoch_to_wall_clock(F.col(c), tz), F.lit("'"))
@@ -75,7 +88,7 @@ def raw_lines(segments: DataFrame, tz: str = HOME_TZ) -> DataFrame:
     def quoted(c: str) -> Column:
         return F.concat(F.lit("'"), F.col(c), F.lit("'"))
 
-    damage = F.pmod("seg_id", F.lit(11))
+    damage = F.pmod("seg_id", F.lit(11)) if damaged else F.lit(-1)
     vehicle = F.col("vehicle_id").cast("string")
     start = [
         F.when(damage == 4, F.concat(F.lit("x"), vehicle)).otherwise(vehicle),
@@ -101,6 +114,11 @@ def parse_raw_segments(spark, sf_dir):
     return rounded(parsed, *POSITIONS)
 
 
+def parse_raw_segments_slow(spark, sf_dir):
+    parsed = raw_segments.parse_raw(raw_lines(_segments(spark, sf_dir, **SLOW), damaged=False), tz=HOME_TZ)
+    return rounded(parsed, *POSITIONS)
+
+
 def status_transition_filter(spark, sf_dir):
     kept = clean.status_transition_filter(_segments(spark, sf_dir))
     return kept.select("seg_id", "vehicle_id", "start_status", "end_status")
@@ -169,12 +187,12 @@ def pooled_geo_stats(spark, sf_dir):
 
 
 def outlier_filter(spark, sf_dir):
-    kept = bounds.outlier_filter(_clean(spark, sf_dir), BOUND_DEVIATIONS, SAMPLE_EVERY)
+    kept = bounds.outlier_filter(_clean(spark, sf_dir), BOUND_DEVIATIONS)
     return kept.select("seg_id", "vehicle_id")
 
 
 def outlier_filter_pooled(spark, sf_dir):
-    kept = bounds.outlier_filter(_clean(spark, sf_dir), BOUND_DEVIATIONS, SAMPLE_EVERY, _split_key())
+    kept = bounds.outlier_filter(_clean(spark, sf_dir), BOUND_DEVIATIONS, compat_split_key=_split_key())
     return kept.select("seg_id", "vehicle_id")
 
 
@@ -183,6 +201,18 @@ def build_trips(spark, sf_dir):
     return rounded(rows, *POSITIONS)
 
 
+def build_trips_slow(spark, sf_dir):
+    """Trips with segments and pauses of hours."""
+    rows = trips.trip_segments(trips.number_trips(_trips(spark, sf_dir, **SLOW)))
+    return rounded(rows, *POSITIONS)
+
+
+def build_trips_sliced(spark, sf_dir):
+    """The same trips with every vehicle of more than 40 rows cut into slices."""
+    built = trips.build_trips(_clean(spark, sf_dir), split_rows=40)
+    return rounded(trips.trip_segments(trips.number_trips(built)), *POSITIONS)
+
+
 def trip_counts(spark, sf_dir):
     return trips.trip_counts(_trips(spark, sf_dir))
 
@@ -217,6 +247,12 @@ def format_trip_times_compat(spark, sf_dir):
     )
 
 
+def format_trip_times_slow(spark, sf_dir):
+    """Times on both sides of the change to summer time."""
+    table = _rounded_trips(spark, sf_dir, **SLOW)
+    return trip_lines.encode_trips(table, trip_lines.COMPLETE, trip_lines.ISO, HOME_TZ)
+
+
 def decode_trip_lines(spark, sf_dir):
     """Decode epoch and ISO lines, some of them damaged in different ways."""
     kind = F.pmod(trips.first_segment()["start_ts"], F.lit(12))
@@ -235,7 +271,7 @@ def decode_trip_lines(spark, sf_dir):
         .when(kind == 10, ";1 90.0 2.0 2 1.0 2.0")
         .otherwise("")
     )
-    line = F.concat(whole, suffix)
+    line = F.concat(F.when(kind == 1, "x").otherwise(""), whole, suffix)  # also an id that is no number
     lines = _rounded_trips(spark, sf_dir).select(line.alias("value"))
     decoded = trips.trip_segments(trip_lines.decode_trips(lines))
     return decoded.select("vehicle_id", "pos", *trips.trip_fold.SEGMENT_FIELDS)
@@ -262,6 +298,18 @@ def trip_quality(spark, sf_dir):
     )
 
 
+def trip_quality_edges(spark, sf_dir):
+    """Trips with gaps of more than ten minutes, of six hours, and of more than 200 km."""
+    measured = metrics.trip_metrics(_edge_trips(spark, sf_dir))
+    return measured.select(
+        "vehicle_id", "start_ts", "end_ts", F.size("segments").alias("n_segments"), "reject_reason"
+    )
+
+
+def distance_histogram_edges(spark, sf_dir):
+    return histogram.distance_histogram(_edge_trips(spark, sf_dir), BAND_WIDTH, MAX_DISTANCE)
+
+
 def _lengths(spark, sf_dir, **options):
     valid = metrics.valid_trips(_trips(spark, sf_dir), **options)
     return rounded(valid, "distance").select("vehicle_id", "start_ts", "end_ts", "distance")
@@ -297,7 +345,18 @@ def trip_fares_near_straight(spark, sf_dir):
 
 
 def trip_fares_ordered(spark, sf_dir):
-    return fares.order_fares(trip_fares(spark, sf_dir))
+    """Fares in order; the number each has is its place."""
+    return fares.order_fares(fares.number_fares(trip_fares(spark, sf_dir)))
+
+
+def encode_fares(spark, sf_dir):
+    return trip_lines.encode_fares(trip_fares(spark, sf_dir), trip_lines.ISO, HOME_TZ)
+
+
+def encode_histogram(spark, sf_dir):
+    """The histogram's lines, with the band each belongs to for the order."""
+    table = distance_histogram(spark, sf_dir)
+    return table.select("band", trip_lines.histogram_line().alias("value"))
 
 
 def _histogram(spark, sf_dir, **options):
@@ -351,8 +410,8 @@ _ENDS = ("start_lat", "start_lon", "end_lat", "end_lon")
 
 def raw_lines_to_fares(spark, sf_dir):
     """All jobs chained: raw text, cleaning, outliers, trips, trip text, fares."""
-    parsed = raw_segments.parse_raw(raw_lines(_segments(spark, sf_dir)), tz=HOME_TZ)
-    inside = bounds.outlier_filter(clean.clean(parsed), bounds.DEVIATIONS, SAMPLE_EVERY)
+    parsed = raw_segments.parse_raw(raw_lines(_segments(spark, sf_dir), damaged=False), tz=HOME_TZ)
+    inside = bounds.outlier_filter(clean.clean(parsed))
     lines = trip_lines.encode_trips(trips.build_trips(inside), trip_lines.COMPLETE)
     table = fares.fares(trip_lines.decode_trips(lines), ref=REFERENCE)
     return fares.order_fares(rounded(table, "distance", "cost"))
@@ -361,14 +420,14 @@ def raw_lines_to_fares(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        parse_raw_segments, status_transition_filter, coordinate_filter, movement_filter,
+        parse_raw_segments, parse_raw_segments_slow, status_transition_filter, coordinate_filter, movement_filter,
         assign_timezone, geo_stats, geo_stats_by_split, pooled_geo_stats, outlier_filter,
-        outlier_filter_pooled, build_trips, trip_counts, max_trip_length, trip_summary,
+        outlier_filter_pooled, build_trips, build_trips_slow, build_trips_sliced, trip_counts, max_trip_length, trip_summary,
         encode_trips_complete, encode_trips_summary, format_trip_times,
-        format_trip_times_compat, decode_trip_lines, segment_speed, trip_quality, trip_length,
+        format_trip_times_compat, format_trip_times_slow, decode_trip_lines, segment_speed, trip_quality, trip_quality_edges, trip_length,
         trip_length_miles, trip_length_straight, trips_near_point, trips_near_point_compat,
-        trip_fares, trip_fares_near_straight, trip_fares_ordered, distance_histogram,
-        distance_histogram_straight, distance_histogram_compat, geo_distance,
+        trip_fares, trip_fares_near_straight, trip_fares_ordered, encode_fares, distance_histogram, encode_histogram,
+        distance_histogram_edges, distance_histogram_straight, distance_histogram_compat, geo_distance,
         geo_distance_compat, geo_bearing, geo_cross_track, raw_lines_to_fares,
     )
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.operators.bounds import outlier_filter
+from tripflow.operators.bounds import SAMPLE_EVERY, outlier_filter
 from tripflow.operators.clean import clean
 from tripflow.operators.fares import CHARGE_PER_KM, START_CHARGE, fares, order_fares
 from tripflow.operators.histogram import distance_histogram
@@ -50,11 +50,12 @@ def trip_builder(
     num_partitions: int | None = None,
     compat: bool = False,
 ) -> None:
-    """Raw segment lines -> trip lines."""
+    """Raw segment lines -> trip lines. ``compat=True`` takes the outlier bounds from a sample."""
     lines.check_paths(input_path, output_path)
     _check_partitions(num_partitions)
     longest = parse_trip_length(max_trip_length, compat) if max_trip_length else None
-    segments = outlier_filter(clean(parse_raw(read_raw(spark, input_path), tz, zones)))
+    parsed = clean(parse_raw(read_raw(spark, input_path), tz, zones))
+    segments = outlier_filter(parsed, sample_every=SAMPLE_EVERY if compat else None)
     trips = build_trips(segments, longest, num_partitions)
     if time_format == lines.ISO and zones is not None:
         trips, tz = _with_trip_zone(trips, zones), F.col("tz")

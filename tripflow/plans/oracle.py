@@ -16,6 +16,7 @@ from tripflow.plans.catalog import (
     MAX_TRIP_SECONDS,
     REFERENCE,
     SAMPLE_EVERY,
+    SLOW,
     ZONES,
 )
 
@@ -60,10 +61,11 @@ def cross_track_sql(a_lat, a_lon, b_lat, b_lon, point, unit="K", compat=False) -
 
 # --- common table expressions -----------------------------------------------
 
-SEGMENTS = """
+def segments_sql(origin: int = 1704067200, squeeze: int = 300) -> str:
+    return f"""
 fixes AS (
   SELECT user_id AS vehicle_id, event_id,
-    1704067200 + CAST(floor((CAST(floor(epoch(ts)) AS BIGINT) - 1704067200) / 300.0) AS BIGINT) AS t,
+    {origin} + CAST(floor((CAST(floor(epoch(ts)) AS BIGINT) - 1704067200) / {squeeze}.0) AS BIGINT) AS t,
     CAST(37.70 AS DOUBLE) + value * CAST(0.0001 AS DOUBLE) AS lat,
     CAST(-122.40 AS DOUBLE)
       + CAST(json_extract_string(props, '$.k') AS DOUBLE) * CAST(0.0001 AS DOUBLE) AS lon,
@@ -78,8 +80,11 @@ pairs AS (
   FROM fixes WINDOW w AS (PARTITION BY vehicle_id ORDER BY event_id)),
 seg AS (
   SELECT 2 * event_id AS seg_id, vehicle_id, t AS start_ts, lat AS start_lat, lon AS start_lon,
-    status AS start_status, t1 AS end_ts, lat1 AS end_lat, lon1 AS end_lon, status1 AS end_status
-  FROM pairs WHERE event_id % 7 <> 3 AND t1 IS NOT NULL
+    status AS start_status,
+    CASE WHEN event_id % 7 = 3 THEN t1 - CAST(floor((t1 - t) / 2) AS BIGINT) ELSE t1 END AS end_ts,
+    CASE WHEN event_id % 7 = 3 THEN lat + (lat1 - lat) / 3 ELSE lat1 END AS end_lat,
+    CASE WHEN event_id % 7 = 3 THEN lon + (lon1 - lon) / 3 ELSE lon1 END AS end_lon, status1 AS end_status
+  FROM pairs WHERE t1 IS NOT NULL
   UNION ALL
   SELECT 2 * event_id + 1, vehicle_id, t, lat, lon, status, t2, lat2, lon2, status2
   FROM pairs WHERE event_id % 10 = 0 AND t2 IS NOT NULL)"""
@@ -182,8 +187,8 @@ judged AS (
   FROM trips)"""
 
 
-def with_(select: str, *ctes: str) -> str:
-    return "WITH RECURSIVE " + ",\n".join((SEGMENTS.strip(), *ctes)) + "\n" + select
+def with_(select: str, *ctes: str, fleet: dict | None = None) -> str:
+    return "WITH RECURSIVE " + ",\n".join((segments_sql(**(fleet or {})).strip(), *ctes)) + "\n" + select
 
 
 TRIPS = (CLEAN, trips_sql())
@@ -209,11 +214,14 @@ ZONE_ROWS = ", ".join(
     f"('{tz}', {dbl(a)}, {dbl(b)}, {dbl(c)}, {dbl(d)})" for tz, a, b, c, d in ZONES
 )
 
-STATS = f"""
+
+
+def stats_sql(rows: str = "TRUE") -> str:
+    return f"""
 points AS (
-  SELECT vehicle_id % 4 AS split_key, start_lat AS lat, start_lon AS lon FROM clean WHERE seg_id % {SAMPLE_EVERY} = 0
+  SELECT vehicle_id % 4 AS split_key, start_lat AS lat, start_lon AS lon FROM clean WHERE {rows}
   UNION ALL
-  SELECT vehicle_id % 4, end_lat, end_lon FROM clean WHERE seg_id % {SAMPLE_EVERY} = 0),
+  SELECT vehicle_id % 4, end_lat, end_lon FROM clean WHERE {rows}),
 stats AS (
   SELECT count(*) AS n, avg(lat) AS lat_mean, avg(lon) AS lon_mean,
     var_samp(lat) AS lat_var, var_samp(lon) AS lon_var FROM points),
@@ -225,6 +233,9 @@ pooled AS (
     sum(lat_var * n) / sum(n - 1) AS lat_var, sum(lon_var * n) / sum(n - 1) AS lon_var
   FROM split_stats)"""
 
+
+SAMPLED, STATS = stats_sql(f"seg_id % {SAMPLE_EVERY} = 0"), stats_sql()
+
 STATS_COLUMNS = (
     "n, round(lat_mean, 9) AS lat_mean, round(lon_mean, 9) AS lon_mean, "
     "round(lat_var, 12) AS lat_var, round(lon_var, 12) AS lon_var"
@@ -248,15 +259,17 @@ def seg_text(start: str, end: str) -> str:
 
 
 def iso(epoch: str) -> str:
-    # The derived times all fall in one winter night: eight hours behind UTC.
-    return f"strftime(make_timestamp(({epoch} - 28800) * 1000000), '%Y-%m-%dT%H:%M:%S') || '-0800'"
+    # Eight hours behind UTC, and seven from the change to summer time on 10 March 2024.
+    summer = f"{epoch} >= 1710064800"
+    local = f"make_timestamp(({epoch} - CASE WHEN {summer} THEN 25200 ELSE 28800 END) * 1000000)"
+    return f"(strftime({local}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN {summer} THEN '-0700' ELSE '-0800' END)"
 
 
-def complete_sql(start: str, end: str) -> str:
+def complete_sql(start: str, end: str, fleet: dict | None = None) -> str:
     return with_(
         f"""SELECT vehicle_id || ' ' || string_agg({seg_text(start, end)}, ';' ORDER BY pos) AS value
 FROM tseg6 GROUP BY vehicle_id, trip_seq""",
-        *TRIPS, TSEG6,
+        *TRIPS, TSEG6, fleet=fleet,
     )
 
 
@@ -290,7 +303,7 @@ FROM judged WHERE reject_reason IS NULL""",
     )
 
 
-def histogram_sql(distance: str = "distance", compat: bool = False) -> str:
+def histogram_sql(distance: str = "distance", compat: bool = False, extra: str = "", source: str = "tseg") -> str:
     n = round(MAX_DISTANCE / BAND_WIDTH) + 1
     top = "distance > " if compat else "distance >= "
     return with_(
@@ -304,10 +317,23 @@ LEFT JOIN (SELECT {distance} AS distance FROM judged WHERE reject_reason IS NULL
   ON distance <> 0 AND distance <= 200 AND CASE WHEN b.band = {n - 1} THEN {top}{dbl(MAX_DISTANCE)}
     ELSE distance >= b.band * {dbl(BAND_WIDTH)} AND distance < (b.band + 1) * {dbl(BAND_WIDTH)} END
 GROUP BY b.band""",
-        *TRIPS, metrics_sql(compat=compat),
+        *TRIPS, *([extra] if extra else []), metrics_sql(compat=compat, source=source),
     )
 
 
+EDGES = """
+kinds AS (
+  SELECT *, min(start_ts) FILTER (pos = 0) OVER (PARTITION BY vehicle_id, trip_seq) % 4 AS kind,
+    pos = max(pos) OVER (PARTITION BY vehicle_id, trip_seq) AS is_last FROM tseg),
+edges AS (
+  SELECT * REPLACE (
+    start_ts + CASE WHEN is_last AND kind = 1 THEN 1000 ELSE 0 END AS start_ts,
+    end_ts + CASE WHEN NOT is_last THEN 0 WHEN kind = 1 THEN 1000 WHEN kind = 2 THEN 21600
+      WHEN kind = 3 THEN 7200 ELSE 0 END AS end_ts,
+    end_lat + CASE WHEN is_last AND kind = 3 THEN CAST(2 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS end_lat)
+  FROM kinds)"""
+
+
 STRAIGHT = distance_sql(*ENDS)
 
 
@@ -318,6 +344,7 @@ def geo_sql(**columns: str) -> str:
 
 ORACLE: dict[str, str] = {
     "parse_raw_segments": with_("SELECT * FROM parsed", PARSED),
+    "parse_raw_segments_slow": with_(f"SELECT * REPLACE ({positions6()}) FROM seg", fleet=SLOW),
     "status_transition_filter": with_(
         """SELECT seg_id, vehicle_id, start_status, end_status FROM seg
 WHERE (start_status, end_status) IN (('E', 'M'), ('M', 'M'), ('M', 'E'))"""
@@ -347,9 +374,9 @@ WHERE (start_lat <> end_lat OR start_lon <> end_lon) AND end_ts > start_ts"""
 GROUP BY s.seg_id""",
         f"zones(tz, lat_min, lat_max, lon_min, lon_max) AS (VALUES {ZONE_ROWS})",
     ),
-    "geo_stats": with_(f"SELECT {STATS_COLUMNS} FROM stats", CLEAN, STATS),
-    "geo_stats_by_split": with_(f"SELECT split_key, {STATS_COLUMNS} FROM split_stats", CLEAN, STATS),
-    "pooled_geo_stats": with_(f"SELECT {STATS_COLUMNS} FROM pooled", CLEAN, STATS),
+    "geo_stats": with_(f"SELECT {STATS_COLUMNS} FROM stats", CLEAN, SAMPLED),
+    "geo_stats_by_split": with_(f"SELECT split_key, {STATS_COLUMNS} FROM split_stats", CLEAN, SAMPLED),
+    "pooled_geo_stats": with_(f"SELECT {STATS_COLUMNS} FROM pooled", CLEAN, SAMPLED),
     "outlier_filter": with_(
         f"SELECT seg_id, vehicle_id FROM clean WHERE {outliers_sql('stats')}", CLEAN, STATS
     ),
@@ -360,6 +387,14 @@ GROUP BY s.seg_id""",
         "SELECT vehicle_id, trip_seq, pos, start_ts, start_lat, start_lon, end_ts, end_lat, end_lon FROM tseg6",
         *TRIPS, TSEG6,
     ),
+    "build_trips_slow": with_(
+        "SELECT vehicle_id, trip_seq, pos, start_ts, start_lat, start_lon, end_ts, end_lat, end_lon FROM tseg6",
+        *TRIPS, TSEG6, fleet=SLOW,
+    ),
+    "build_trips_sliced": with_(
+        "SELECT vehicle_id, trip_seq, pos, start_ts, start_lat, start_lon, end_ts, end_lat, end_lon FROM tseg6",
+        *TRIPS, TSEG6,
+    ),
     "trip_counts": with_(
         "SELECT vehicle_id, count(DISTINCT trip_seq) AS trips FROM tseg GROUP BY vehicle_id", *TRIPS
     ),
@@ -381,8 +416,10 @@ FROM tseg6 GROUP BY vehicle_id, trip_seq""",
     "encode_trips_summary": summary_sql("start_ts", "end_ts"),
     "format_trip_times": complete_sql(iso("start_ts"), iso("end_ts")),
     "format_trip_times_compat": summary_sql(iso("start_ts"), iso("last_start_ts")),
+    "format_trip_times_slow": complete_sql(iso("start_ts"), iso("end_ts"), SLOW),
     "decode_trip_lines": with_(
-        """SELECT vehicle_id, pos, start_ts, start_lat, start_lon, end_ts, end_lat, end_lon FROM (
+        """SELECT CASE WHEN kind = 1 THEN 'x' ELSE '' END || vehicle_id AS vehicle_id, pos, start_ts, start_lat, start_lon,
+  end_ts, end_lat, end_lon FROM (
   SELECT *, min(start_ts) FILTER (pos = 0) OVER (PARTITION BY vehicle_id, trip_seq) % 12 AS kind FROM tseg6)
 WHERE kind IN (0, 1, 2, 3, 6, 11)""",
         *TRIPS, TSEG6,
@@ -397,6 +434,11 @@ FROM legs""",
 FROM judged""",
         *TRIPS, metrics_sql(),
     ),
+    "trip_quality_edges": with_(
+        """SELECT vehicle_id, start_ts, end_ts, CAST(n_segments AS INTEGER) AS n_segments, reject_reason FROM judged""",
+        *TRIPS, EDGES, metrics_sql(source="edges"),
+    ),
+    "distance_histogram_edges": histogram_sql(extra=EDGES, source="edges"),
     "trip_length": lengths_sql(),
     "trip_length_miles": lengths_sql(unit="M"),
     "trip_length_straight": lengths_sql(STRAIGHT),
@@ -404,7 +446,11 @@ FROM judged""",
     "trips_near_point_compat": lengths_sql(**NEAR, compat=True),
     "trip_fares": fares_sql(),
     "trip_fares_near_straight": fares_sql(STRAIGHT, 4.0, 2.25, **NEAR),
-    "trip_fares_ordered": fares_sql() + "\nORDER BY start_ts, end_ts, vehicle_id, distance",
+    "trip_fares_ordered": f"""SELECT *, row_number() OVER (ORDER BY start_ts, end_ts, vehicle_id, distance) AS ordinal
+FROM ({fares_sql()})""",
+    "encode_fares": f"""SELECT {iso('start_ts')} || ' ' || {iso('end_ts')} || ' ' || distance || ' ' || cost || ' ' || vehicle_id AS value
+FROM ({fares_sql()})""",
+    "encode_histogram": f"SELECT band, label || chr(9) || trips AS value FROM ({histogram_sql()})",
     "distance_histogram": histogram_sql(),
     "distance_histogram_straight": histogram_sql(STRAIGHT),
     "distance_histogram_compat": histogram_sql(compat=True),
@@ -420,10 +466,10 @@ FROM judged""",
     ),
     "raw_lines_to_fares": with_(
         """SELECT start_ts, end_ts, round(distance, 6) AS distance,
-  round(CAST(3.5 AS DOUBLE) + distance * CAST(1.71 AS DOUBLE), 6) AS cost, vehicle_id
+  round(CAST(3.5 AS DOUBLE) + distance * CAST(1.71 AS DOUBLE), 6) AS cost, CAST(vehicle_id AS VARCHAR) AS vehicle_id
 FROM judged WHERE reject_reason IS NULL""",
-        PARSED,
-        f"clean AS (SELECT * FROM parsed WHERE vehicle_id IS NOT NULL AND {VALID})",
+        f"parsed AS (SELECT * REPLACE ({positions6()}) FROM seg)",
+        f"clean AS (SELECT * FROM parsed WHERE {VALID})",
         STATS,
         f"kept AS (SELECT * FROM clean WHERE {outliers_sql('stats', 20.0)})",
         trips_sql("kept"),

@@ -3,9 +3,9 @@
 ``events(event_id, ts, user_id, event_type, value, props)`` becomes a fleet: a
 user is a vehicle, an event is a position fix, and consecutive fixes of a user
 bound a segment. Every event is a fix. Two kinds of segment follow from a fix:
-one to the next fix, missing where the tracker lost its signal (which leaves
-gaps), and at some fixes a consolidated one to the fix after the next (which
-overlaps its parts).
+one to the next fix, which stops on the way where the tracker lost
+its signal (which leaves gaps), and at some fixes a consolidated one to the fix
+after the next (which overlaps its parts).
 """
 
 from __future__ import annotations
@@ -24,8 +24,11 @@ LOST_SIGNAL_EVERY, LOST_SIGNAL_AT = 7, 3
 CONSOLIDATED_EVERY = 10
 
 
-def position_fixes(events: DataFrame) -> DataFrame:
-    """events -> ``vehicle_id, event_id, fix(t, lat, lon, status)``."""
+def position_fixes(events: DataFrame, origin: int = ORIGIN_EPOCH, squeeze: int = TIME_SQUEEZE) -> DataFrame:
+    """events -> ``vehicle_id, event_id, fix(t, lat, lon, status)``.
+
+    Times run from ``origin``, ``squeeze`` times as fast as the events'.
+    """
     if dict(events.dtypes)["ts"] == "timestamp_ntz":
         epoch: Column = ntz_to_epoch(F.col("ts"))
     else:
@@ -35,7 +38,7 @@ def position_fixes(events: DataFrame) -> DataFrame:
         F.col("user_id").alias("vehicle_id"),
         "event_id",
         F.struct(
-            (F.lit(ORIGIN_EPOCH) + F.floor((epoch - ORIGIN_EPOCH) / TIME_SQUEEZE)).alias("t"),
+            (F.lit(origin) + F.floor((epoch - ORIGIN_EPOCH) / squeeze)).alias("t"),
             (F.lit(LAT_ORIGIN) + F.col("value") * F.lit(STEP)).alias("lat"),
             (F.lit(LON_ORIGIN) + k * F.lit(STEP)).alias("lon"),
             F.when(F.col("event_type").isin(*EMPTY_EVENTS), "E").otherwise("M").alias("status"),
@@ -91,13 +94,23 @@ def following_fixes(fixes: DataFrame, split_rows: int = 5_000_000) -> DataFrame:
     )
 
 
-def segments_from_events(events: DataFrame, split_rows: int = 5_000_000) -> DataFrame:
+def segments_from_events(
+    events: DataFrame, split_rows: int = 5_000_000, origin: int = ORIGIN_EPOCH, squeeze: int = TIME_SQUEEZE
+) -> DataFrame:
     """events -> segments, before any validity filter."""
-    paired = following_fixes(position_fixes(events), split_rows)
-    signal = F.col("event_id") % LOST_SIGNAL_EVERY != LOST_SIGNAL_AT
+    paired = following_fixes(position_fixes(events, origin, squeeze), split_rows)
+    lost = F.col("event_id") % LOST_SIGNAL_EVERY == LOST_SIGNAL_AT
+    to = F.col("next_fix")
+    part = F.struct(
+        (to["t"] - F.floor((to["t"] - F.col("fix.t")) / 2)).alias("t"),
+        (F.col("fix.lat") + (to["lat"] - F.col("fix.lat")) / 3).alias("lat"),
+        (F.col("fix.lon") + (to["lon"] - F.col("fix.lon")) / 3).alias("lon"),
+        to["status"].alias("status"),
+    )
+    reached = F.when(to.isNotNull(), F.when(lost, part).otherwise(to))
     consolidated = F.col("event_id") % CONSOLIDATED_EVERY == 0
     ends = F.array(
-        F.struct((F.col("event_id") * 2).alias("seg_id"), F.when(signal, F.col("next_fix")).alias("to")),
+        F.struct((F.col("event_id") * 2).alias("seg_id"), reached.alias("to")),
         F.struct((F.col("event_id") * 2 + 1).alias("seg_id"), F.when(consolidated, F.col("second_fix")).alias("to")),
     )
     return (
@@ -118,5 +131,5 @@ def segments_from_events(events: DataFrame, split_rows: int = 5_000_000) -> Data
     )
 
 
-def read_event_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+def read_event_segments(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return segments_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), **options)

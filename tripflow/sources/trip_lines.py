@@ -71,13 +71,13 @@ def encode_trips(
 
 
 def split_trip_lines(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Lines -> ``vehicle_id`` and the rest of the line, at the first space."""
-    parts = F.split(F.col(text), " ", 2)
-    return lines.select(parts[0].try_cast("bigint").alias("vehicle_id"), F.get(parts, F.lit(1)).alias("body"))
+    """Lines -> ``vehicle_id`` as text and the rest of the line, at the first space."""
+    parts = select_once(lines, F.split(F.col(text), " ", 2).alias("_line"))
+    return parts.select(F.get("_line", F.lit(0)).alias("vehicle_id"), F.get("_line", F.lit(1)).alias("body"))
 
 
 def decode_trips(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Trip lines -> ``trips(vehicle_id, segments)``.
+    """Trip lines -> ``trips(vehicle_id, segments)``, with the id as the text it is.
 
     The first segment decides whether the line's times are epochs (a fraction
     is cut off) or ISO text. A line is dropped as a whole when any segment does
@@ -120,7 +120,7 @@ def decode_trips(lines: DataFrame, text: str = "value") -> DataFrame:
         )
 
     split = select_once(split_trip_lines(lines, text), parts.alias("_parts"), keep=("vehicle_id",))
-    six = split.where(F.col("vehicle_id").isNotNull() & F.forall("_parts", lambda p: F.size(p) == 6))
+    six = split.where(F.forall("_parts", lambda p: F.size(p) == 6))
     typed = select_once(
         six.withColumn("_epochs", epochs),
         F.transform("_parts", segment).cast(f"array<{SEGMENT_STRUCT}>").alias("segments"),
@@ -147,9 +147,14 @@ def encode_fares(
     )
 
 
+def histogram_line() -> Column:
+    """``label<TAB>trips``."""
+    return F.concat_ws("\t", "label", F.col("trips").cast("string"))
+
+
 def encode_histogram(histogram: DataFrame) -> DataFrame:
     """Histogram -> lines ``label<TAB>trips``."""
-    return histogram.select(F.concat_ws("\t", "label", F.col("trips").cast("string")).alias("value"))
+    return histogram.select(histogram_line().alias("value"))
 
 
 def check_paths(input_path: str, output_path: str) -> None:
