@@ -37,6 +37,7 @@ SPLIT_GAP = 300  # a pause this long between metered segments starts a new trip
 MAX_METERED = 3600  # a longer metered segment ends the trip
 
 SEGMENT_FIELDS = ["start_ts", "start_lat", "start_lon", "end_ts", "end_lat", "end_lon"]
+TRIP_COLUMNS = ["vehicle_id", "trip_seq", "segments"]
 ROW_COLUMNS = ["vehicle_id", "chunk_start", "kind", *SEGMENT_FIELDS, "seg_id"]
 
 
@@ -107,6 +108,7 @@ class Run:
         self.trip: list[int] = []
         self.ready: list[list[int]] = []  # trips waiting for a certain trip end
         self.loose: list[int] = []  # rows since the last certain trip end
+        self.count = 0  # trips of a whole history so far
 
     def feed(self, kinds, starts, ends, lo, hi, base, trips, leftovers):
         """Process rows lo..hi of the batch; row i is kept as number base + i."""
@@ -174,9 +176,14 @@ class Folder:
         self.run: Run | None = None
         self.key: tuple | None = None
 
-    def push(self, batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[list[int]], list[int]]:
-        """Returns rows, and the finished trips and left-over rows as indices into them."""
+    def push(self, batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[list[int]], list[int | None], list[int]]:
+        """Returns rows, and the finished trips and left-over rows as indices into them.
+
+        Beside the trips stand their numbers, 1, 2, ... in a whole history and
+        None in a slice.
+        """
         trips: list[list[int]] = []
+        numbers: list[int | None] = []
         leftovers: list[int] = []
         base = 0 if self.held is None else self.held.num_rows
         rows = batch if self.held is None else pa.concat_batches([self.held, batch])
@@ -190,8 +197,14 @@ class Folder:
                     self.run.finish(leftovers)
                 self.run, self.key = Run(key[1]), key
             self.run.feed(kinds, starts, ends, lo, hi, base, trips, leftovers)
+            new = len(trips) - len(numbers)
+            if self.run.whole:
+                numbers.extend(range(self.run.count + 1, self.run.count + new + 1))
+                self.run.count += new
+            else:
+                numbers.extend([None] * new)
         self._hold(rows)
-        return rows, trips, leftovers
+        return rows, trips, numbers, leftovers
 
     def close(self) -> pa.RecordBatch | None:
         """End of input: the last run's left-over rows."""
@@ -218,19 +231,19 @@ def fold_vehicles(batches: Batches) -> Batches:
     folder = Folder()
     for batch in batches:
         if batch.num_rows:
-            rows, trips, _ = folder.push(batch)
+            rows, trips, numbers, _ = folder.push(batch)
             if trips:
-                yield _trip_batch(rows, trips).select(["vehicle_id", "segments"])
+                yield _trip_batch(rows, trips, numbers).select(TRIP_COLUMNS)
 
 
 def fold_slices(batches: Batches) -> Batches:
-    """Rows of time slices -> certain trips, and left-over rows without a slice."""
+    """Rows of time slices and of whole vehicles -> certain trips, and left-over rows without a slice."""
     folder = Folder()
     for batch in batches:
         if batch.num_rows:
-            rows, trips, leftovers = folder.push(batch)
+            rows, trips, numbers, leftovers = folder.push(batch)
             if trips:
-                yield _trip_batch(rows, trips)
+                yield _trip_batch(rows, trips, numbers)
             if leftovers:
                 yield _loose_batch(rows.take(pa.array(leftovers, pa.int64())))
     rest = folder.close()
@@ -245,12 +258,13 @@ def finish_slices(batches: Batches) -> Batches:
         done = batch.column("segments").is_valid()
         finished = batch.filter(done)
         if finished.num_rows:
-            yield finished.select(["vehicle_id", "segments"])
+            yield finished.select(TRIP_COLUMNS)
         loose = batch.filter(pc.invert(done))
         if loose.num_rows:
-            rows, trips, _ = folder.push(loose.select(ROW_COLUMNS))
+            rows, trips, _, _ = folder.push(loose.select(ROW_COLUMNS))
             if trips:
-                yield _trip_batch(rows, trips).select(["vehicle_id", "segments"])
+                # these are some of the vehicle's trips only, so their numbers are not known here
+                yield _trip_batch(rows, trips, [None] * len(trips)).select(TRIP_COLUMNS)
 
 
 def _run_bounds(batch: pa.RecordBatch) -> list[tuple[int, int]]:
@@ -261,7 +275,7 @@ def _run_bounds(batch: pa.RecordBatch) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], edges[1:]))
 
 
-def _trip_batch(rows: pa.RecordBatch, trips: list[list[int]]) -> pa.RecordBatch:
+def _trip_batch(rows: pa.RecordBatch, trips: list[list[int]], numbers: list[int | None]) -> pa.RecordBatch:
     """One row per trip; of the row columns only vehicle and slice are set."""
     offsets = np.zeros(len(trips) + 1, np.int32)
     np.cumsum([len(trip) for trip in trips], out=offsets[1:])
@@ -274,6 +288,7 @@ def _trip_batch(rows: pa.RecordBatch, trips: list[list[int]]) -> pa.RecordBatch:
         c: first.column(c) if c in ("vehicle_id", "chunk_start") else pa.nulls(len(trips), rows.schema.field(c).type)
         for c in ROW_COLUMNS
     }
+    columns["trip_seq"] = pa.array(numbers, pa.int32())
     columns["segments"] = pa.ListArray.from_arrays(pa.array(offsets), segments)
     return pa.RecordBatch.from_pydict(columns)
 
@@ -282,6 +297,7 @@ def _loose_batch(rows: pa.RecordBatch) -> pa.RecordBatch:
     """Left-over rows, no longer in a slice and without segments."""
     columns = {c: rows.column(c) for c in ROW_COLUMNS}
     columns["chunk_start"] = pa.nulls(rows.num_rows, pa.int64())
+    columns["trip_seq"] = pa.nulls(rows.num_rows, pa.int32())
     segment = pa.struct([(c, rows.schema.field(c).type) for c in SEGMENT_FIELDS])
     columns["segments"] = pa.nulls(rows.num_rows, pa.list_(segment))
     return pa.RecordBatch.from_pydict(columns)

@@ -21,10 +21,12 @@ ROW_SCHEMA = (
     "vehicle_id bigint, chunk_start bigint, kind tinyint, start_ts bigint, start_lat double, "
     "start_lon double, end_ts bigint, end_lat double, end_lon double, seg_id bigint"
 )
-SLICE_SCHEMA = f"{ROW_SCHEMA}, segments array<{SEGMENT_STRUCT}>"
+FOLDED_SCHEMA = f"vehicle_id bigint, trip_seq int, segments array<{SEGMENT_STRUCT}>"
+SLICE_SCHEMA = f"{ROW_SCHEMA}, trip_seq int, segments array<{SEGMENT_STRUCT}>"
 FOLD_ORDER = ["vehicle_id", "chunk_start", "start_ts", "end_ts", "seg_id"]
 
 DAY = 86_400
+FIRST_CHUNK = -(1 << 60)  # of rows before a cut vehicle's first cut
 
 
 def first_segment() -> Column:
@@ -40,6 +42,8 @@ def build_trips(
     max_trip_length: int | None = None,
     num_partitions: int | None = None,
     split_rows: int | None = 5_000_000,
+    hot: list | None = None,
+    number: bool = False,
 ) -> DataFrame:
     """Clean segments -> ``trips(vehicle_id, segments)``, one row per trip.
 
@@ -48,27 +52,36 @@ def build_trips(
     do not overlap, so a trip has at most about one segment per second.
 
     A vehicle with more than ``split_rows`` rows is cut into time slices that
-    are folded in parallel; only the rows around the cuts go through a second,
-    per-vehicle fold (see ``trip_fold``). Which vehicles are cut, and where,
-    never changes the result. ``split_rows=None`` skips the counting pass, for
-    input known to have no such vehicle.
+    are folded in parallel, in one stream with the vehicles that are not cut;
+    only the rows around the cuts go through a second, per-vehicle fold (see
+    ``trip_fold``). Which vehicles are cut, and where, never changes the result.
+    The vehicles are counted first, in a pass over a hashed share of the rows,
+    unless ``hot`` has them (see ``survey``) or ``split_rows`` is None.
 
     ``num_partitions`` fixes the number of shuffle partitions; left out, AQE
     sizes them. Trips longer than ``max_trip_length`` seconds are dropped when
-    it is positive.
+    it is positive. ``number=True`` adds ``trip_seq``, counted before that: it
+    comes out of the fold, but for the vehicles that are cut.
     """
     rows = _fold_input(segments)
     if split_rows is None:
+        hot = []
+    elif hot is None:
+        hot = hot_vehicle_slices(rows, split_rows).collect()  # see there for the bound
+    if not hot:
         trips = _fold_vehicles(rows.withColumn("chunk_start", F.lit(None).cast("bigint")), num_partitions)
+        numbered = trips
     else:
-        slices = F.broadcast(hot_vehicle_slices(rows, split_rows))
-        since = F.col("start_ts") - F.col("first_ts")
-        chunk = F.col("first_ts") + F.floor(since / F.col("slice_seconds")) * F.col("slice_seconds")
-        # NULL for vehicles that are not cut.
-        cut = rows.join(slices, "vehicle_id", "left").withColumn("chunk_start", chunk)
-        whole = _fold_vehicles(cut.where(F.col("chunk_start").isNull()), num_partitions)
-        sliced = _fold_slices(cut.where(F.col("chunk_start").isNotNull()), num_partitions)
-        trips = whole.unionByName(sliced)
+        cuts = segments.sparkSession.createDataFrame([tuple(r) for r in hot], "vehicle_id bigint, cuts array<bigint>")
+        before = F.filter("cuts", lambda c: c <= F.col("start_ts"))
+        # NULL for vehicles that are not cut
+        chunk = F.when(F.col("cuts").isNotNull(), F.coalesce(F.try_element_at(before, F.lit(-1)), F.lit(FIRST_CHUNK)))
+        trips = _fold_slices(rows.join(cuts, "vehicle_id", "left").withColumn("chunk_start", chunk), num_partitions)
+        numbered = None
+        if number:
+            done, rest = trips.where("trip_seq is not null"), trips.where("trip_seq is null").drop("trip_seq")
+            numbered = done.unionByName(number_trips(rest))
+    trips = numbered if number else trips.drop("trip_seq")
     if max_trip_length is not None and max_trip_length > 0:
         trips = limit_trip_length(trips, max_trip_length)
     return trips
@@ -80,28 +93,27 @@ def limit_trip_length(trips: DataFrame, seconds: int) -> DataFrame:
 
 
 def hot_vehicle_slices(rows: DataFrame, split_rows: int) -> DataFrame:
-    """Vehicles with more than about ``split_rows`` rows, with their slice length.
+    """Vehicles with more than about ``split_rows`` rows, with the times to cut them at.
 
-    At most ``total rows / split_rows`` vehicles, so with the default a
-    trillion rows give about 200,000 rows of 24 bytes: safe to broadcast. A
-    slice holds about ``split_rows`` rows, and spans at least four times the
-    longest metered segment so that it can settle. Row numbers are estimated
+    Cuts follow the rows, not the clock: rows are counted by minute of their
+    start, and a new slice begins after every ``split_rows`` of them. So there are
+    at most ``total rows / split_rows`` vehicles and twice as many cuts: with the
+    default a trillion rows give about 200,000 of each. Row numbers are estimated
     from a hashed share of the rows; they only decide what runs in parallel.
     """
     every = max(1, min(64, split_rows // 10_000))
     seen = rows.where(F.pmod(F.xxhash64("seg_id"), F.lit(every)) == 0)
-    n = F.count("*") * every
-    span = F.max("start_ts") - F.min("start_ts") + 1
-    seconds = F.ceil(span * F.lit(float(split_rows)) / n).cast("bigint")
+    minutes = seen.groupBy("vehicle_id", F.floor(F.col("start_ts") / 60).alias("minute")).agg((F.count("*") * every).alias("n"))
+    before = Window.partitionBy("vehicle_id").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        seen.groupBy("vehicle_id")
-        .agg(
-            n.alias("n"),
-            F.min("start_ts").alias("first_ts"),
-            F.greatest(seconds, F.lit(4 * trip_fold.MAX_METERED)).alias("slice_seconds"),
+        minutes.select(
+            "vehicle_id", "minute",
+            F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / split_rows).alias("slice"),
+            F.sum("n").over(Window.partitionBy("vehicle_id")).alias("rows"),
         )
-        .where(F.col("n") > split_rows)
-        .select("vehicle_id", "first_ts", "slice_seconds")
+        .where(F.col("rows") > split_rows)
+        .groupBy("vehicle_id", "slice").agg((F.min("minute") * 60).alias("cut"))
+        .groupBy("vehicle_id").agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
     )
 
 
@@ -141,18 +153,18 @@ def _sorted_runs(rows: DataFrame, num_partitions: int | None) -> DataFrame:
 
 def _fold_vehicles(rows: DataFrame, num_partitions: int | None) -> DataFrame:
     rows = rows.select(*trip_fold.ROW_COLUMNS)
-    return _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_vehicles, TRIP_SCHEMA)
+    return _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_vehicles, FOLDED_SCHEMA)
 
 
 def _fold_slices(rows: DataFrame, num_partitions: int | None) -> DataFrame:
-    """Slices in parallel, then each vehicle's left-over rows.
+    """Slices and whole vehicles in parallel, then each cut vehicle's left-over rows.
 
     Certain trips pass through the second shuffle under their slice's key, so
     they stay spread out; only left-over rows gather by vehicle.
     """
     rows = rows.select(*trip_fold.ROW_COLUMNS)
     certain = _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_slices, SLICE_SCHEMA)
-    return _sorted_runs(certain, num_partitions).mapInArrow(trip_fold.finish_slices, TRIP_SCHEMA)
+    return _sorted_runs(certain, num_partitions).mapInArrow(trip_fold.finish_slices, FOLDED_SCHEMA)
 
 
 def number_trips(trips: DataFrame) -> DataFrame:

@@ -197,20 +197,20 @@ def outlier_filter_pooled(spark, sf_dir):
 
 
 def build_trips(spark, sf_dir):
-    rows = trips.trip_segments(trips.number_trips(_trips(spark, sf_dir)))
+    rows = trips.trip_segments(trips.build_trips(_clean(spark, sf_dir), number=True))
     return rounded(rows, *POSITIONS)
 
 
 def build_trips_slow(spark, sf_dir):
     """Trips with segments and pauses of hours."""
-    rows = trips.trip_segments(trips.number_trips(_trips(spark, sf_dir, **SLOW)))
+    rows = trips.trip_segments(trips.build_trips(_clean(spark, sf_dir, **SLOW), number=True))
     return rounded(rows, *POSITIONS)
 
 
 def build_trips_sliced(spark, sf_dir):
     """The same trips with every vehicle of more than 40 rows cut into slices."""
-    built = trips.build_trips(_clean(spark, sf_dir), split_rows=40)
-    return rounded(trips.trip_segments(trips.number_trips(built)), *POSITIONS)
+    built = trips.build_trips(_clean(spark, sf_dir), split_rows=40, number=True)
+    return rounded(trips.trip_segments(built), *POSITIONS)
 
 
 def trip_counts(spark, sf_dir):
