@@ -108,8 +108,8 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], share: float, seed: in
 
 
 BAGS = T.StructType([
-    T.StructField("ids", T.ArrayType(T.IntegerType())),
-    T.StructField("counts", T.ArrayType(T.IntegerType())),
+    T.StructField("ids", T.BinaryType()),
+    T.StructField("counts", T.BinaryType()),
     T.StructField("label", T.IntegerType()),
 ])
 
@@ -130,18 +130,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
             rows = []
             for text, y in zip(texts, ys, strict=True):
                 ids, counts = np.unique(bag(text or ""), return_counts=True)
-                rows.append((ids.astype(np.int32), counts.astype(np.int32), y))
+                rows.append((ids.astype("<i4").tobytes(), counts.astype("<i4").tobytes(), y))
             yield rows
 
     taken = docs.join(sample, "doc_id").select("text", "label")
-    got = base.map_texts(taken, work, BAGS).toArrow().to_pydict()
+    got = sorted(zip(*base.map_texts(taken, work, BAGS).toArrow().to_pydict().values(), strict=True))  # tasks end in any order
     bags = []
-    for ids, counts, y in zip(*got.values(), strict=True):
-        ids, counts = np.array(ids, dtype=np.int64), np.array(counts, dtype=np.float32)
-        bags.append((ids, counts / counts.sum(), y))
+    for ids, counts, y in got:
+        n = np.frombuffer(counts, dtype="<i4").astype(np.float32)
+        bags.append((np.frombuffer(ids, dtype="<i4"), n / n.sum(), y))
     if len({b[2] for b in bags}) < 2:
         return Model(np.zeros(BUCKETS), float(np.log(share[1] / share[0])))
-    bags.sort(key=lambda b: (b[2], len(b[0]), b[0].tolist(), b[1].tolist()))  # whatever order the tasks ended in
     return train(bags, share[1] / (share[0] + share[1]))
 
 
