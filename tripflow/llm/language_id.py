@@ -68,7 +68,7 @@ class Encoder:
         held = letter.copy()
         held[1:] |= letter[:-1]
         kept = np.where(letter, points, GAP)[held]
-        kept = np.concatenate([[GAP], kept] if held[-1] and not letter[-1] else [[GAP], kept, [GAP]]).astype(np.uint64)
+        kept = np.concatenate([[GAP], kept] if not letter[-1] else [[GAP], kept, [GAP]]).astype(np.uint64)
         if len(kept) < self.letters:
             kept = np.concatenate([kept, np.full(self.letters - len(kept), GAP, np.uint64)])
         code = np.zeros(len(kept) - self.letters + 1, dtype=np.uint64)
