@@ -12,9 +12,9 @@ and the number of tokens gained since j. That is a state. A transition reads one
 character and is annotated with the tokens it adds, which may be negative when
 it joins what was two tokens.
 
-States are made when text first reaches them and kept in one table per task;
-a table beyond ``MOST_CELLS`` is dropped and begun anew, which changes nothing
-but time. A character that is in no piece gives its UTF-8 bytes as tokens and
+States and transitions are made when text first reaches them, and kept per task.
+More than ``MOST_STATES`` are dropped and begun anew, which changes nothing but
+time. A character that is in no piece gives its UTF-8 bytes as tokens and
 leads back to the start, and so does every change from other characters to the
 space mark, as no piece holds a space mark after another character.
 """
@@ -24,11 +24,57 @@ from __future__ import annotations
 import numpy as np
 
 SPACE = "▁"
-#: Cells of the transition table, states times characters.
-MOST_CELLS = 12_000_000
+#: States that a task holds, of about 400 bytes each with their transitions.
+MOST_STATES = 400_000
 #: Words up to this length run in step, longer ones alone.
 IN_STEP = 32
 START = (("", "", 0),)
+#: Bits of a character's column in a transition's key.
+BITS = 13
+
+
+class Moves:
+    """Transitions by state and character: an open hash table that is searched for many keys at once."""
+
+    def __init__(self):
+        self.bits, self.held = 16, 0
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.zeros(1 << self.bits, dtype=np.int64)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is, or the free place where it would be."""
+        at = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            there = self.keys[at[left]]
+            left = left[(there != keys[left]) & (there >= 0)]
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+        return at
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys, -1 where there is none."""
+        at = self.places(keys)
+        return np.where(self.keys[at] >= 0, self.values[at], -1)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Put in different new keys, one batch at a time."""
+        while 2 * (self.held + len(keys)) > len(self.keys):
+            old, kept = self.keys[self.keys >= 0], self.values[self.keys >= 0]
+            self.bits += 1
+            self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+            self.values = np.zeros(1 << self.bits, dtype=np.int64)
+            self.put(old, kept)
+        self.put(keys, values)
+        self.held += len(keys)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        while len(keys):
+            at = self.places(keys)
+            own, first = np.unique(at, return_index=True)  # of keys with one free place the first gets it
+            self.keys[own], self.values[own] = keys[first], values[first]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[first] = False
+            keys, values = keys[rest], values[rest]
 
 
 class Transducer:
@@ -37,7 +83,10 @@ class Transducer:
         self.rank = {p: i for i, p in enumerate(ranked)}
         if any(SPACE in p.lstrip(SPACE) for p in ranked):
             raise ValueError("a piece holds the space mark after another character")
-        self.prefix = {p[:k] for p in ranked for k in range(1, len(p))}
+        if len({c for p in ranked for c in p}) > (1 << BITS) - 8:
+            raise ValueError("too many different characters")
+        self.prefix = {x: x for p in ranked for x in (p[:k] for k in range(1, len(p)))}
+        self.piece = {p: p for p in ranked}
         self.letters = {c for p in ranked for c in p}
         self.fits_memo: dict[tuple[str, str], bool] = {}
         self.alone_memo: dict[str, bool] = {}
@@ -83,9 +132,7 @@ class Transducer:
     def reset(self) -> None:
         self.states = [START]
         self.number = {START: 0}
-        width = max(64, 2 * len(self.chars))
-        self.next = np.full((1024, width), -1, dtype=np.int32)
-        self.gain = np.zeros((1024, width), dtype=np.int8)
+        self.moves = Moves()
 
     def character(self, c: str) -> int:
         """Column of a character; those in no piece share one for each length in bytes."""
@@ -99,10 +146,6 @@ class Transducer:
                 if size:
                     self.foreign[size] = k
             self.column[ord(c)] = k
-            if k >= self.next.shape[1]:
-                more = self.next.shape[1]
-                self.next = np.pad(self.next, ((0, 0), (0, more)), constant_values=-1)
-                self.gain = np.pad(self.gain, ((0, 0), (0, more)))
         return k
 
     def follow(self, state: tuple, c: str) -> tuple[tuple, int]:
@@ -117,20 +160,19 @@ class Transducer:
                 break
         if piece is None:
             raise RuntimeError(f"no piece ends here: {state} {c!r}")
-        under_way = [(t + c, last, since + gain) for t, last, since in state if t + c in self.prefix]
-        return (*under_way, ("", piece, 0)), gain
+        begun = [(self.prefix.get(t + c), last, since + gain) for t, last, since in state]
+        return (*(x for x in begun if x[0]), ("", self.piece[piece], 0)), gain
 
     def step(self, s: int, c: str) -> tuple[int, int]:
-        """Transition from state number ``s``, made if it is new."""
-        k = self.character(c)
-        t = int(self.next[s, k])
-        if t < 0:
-            state, gain = self.follow(self.states[s], c)
-            t = self.state_number(state)
-            self.next[s, k] = t
-            self.gain[s, k] = gain
-            return t, gain
-        return t, int(self.gain[s, k])
+        """(state number, tokens added) after a character."""
+        state, gain = self.follow(self.states[s], c)
+        return self.state_number(state), gain
+
+    def make_moves(self, keys: np.ndarray) -> None:
+        """Transitions that are not there yet."""
+        own = np.unique(keys)
+        made = [self.step(k >> BITS, self.chars[k & ((1 << BITS) - 1)]) for k in own.tolist()]
+        self.moves.add(own, np.array([(t << 8) | (gain + 128) for t, gain in made], dtype=np.int64))
 
     # --- running
 
@@ -145,15 +187,13 @@ class Transducer:
             at, code = states[:m, p], codes[:m, p]
             for c in set(code[self.column[code] < 0].tolist()):
                 self.character(chr(c))
-            col = self.column[code]
-            to = self.next[at, col]
-            new = to < 0
-            if new.any():
-                for s, k in set(zip(at[new].tolist(), col[new].tolist(), strict=True)):
-                    self.step(s, self.chars[k])
-                to = self.next[at, col]
-            states[:m, p + 1] = to
-            tokens[:m, p + 1] = tokens[:m, p] + self.gain[at, col]
+            keys = (at.astype(np.int64) << BITS) | self.column[code]
+            to = self.moves.find(keys)
+            if (to < 0).any():
+                self.make_moves(keys[to < 0])
+                to = self.moves.find(keys)
+            states[:m, p + 1] = to >> 8
+            tokens[:m, p + 1] = tokens[:m, p] + (to & 255) - 128
         return states, tokens
 
     def count_words(self, words: list[str], at_once: int = 4096) -> np.ndarray:
@@ -203,11 +243,8 @@ class Transducer:
         if s < 0:
             s = self.number[state] = len(self.states)
             self.states.append(state)
-            if s >= len(self.next):
-                self.next = np.pad(self.next, ((0, len(self.next)), (0, 0)), constant_values=-1)
-                self.gain = np.pad(self.gain, ((0, len(self.gain)), (0, 0)))
         return s
 
     def make_room(self) -> None:
-        if self.next.size > MOST_CELLS:
+        if len(self.states) > MOST_STATES:
             self.reset()
