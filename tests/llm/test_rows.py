@@ -189,7 +189,7 @@ def test_a_small_table_of_states_gives_the_same(pieces, monkeypatch):
     path, model = pieces
     machine = Transducer(token_counts.ranked_pieces(path))
     whole = machine.count_words(words)
-    monkeypatch.setattr(transducer, "MOST_CELLS", 70_000)
+    monkeypatch.setattr(transducer, "MOST_STATES", 300)
     small = Transducer(token_counts.ranked_pieces(path))
     assert (small.count_words(words, at_once=16) == whole).all()
     assert [len(model.encode(w[1:])) for w in words] == whole.tolist()
