@@ -169,14 +169,21 @@ class Run:
 
 
 class Folder:
-    """Folds consecutive batches; rows of the unfinished run wait in ``held``."""
+    """Folds consecutive batches; rows of the unfinished run wait in ``parts``.
+
+    Rows are numbered through all batches. A part holds the rows of one batch
+    that were open when it ended, and their numbers. It is dropped as a whole once
+    all of them are too old, and put together with others only when a trip ends,
+    so the work is in proportion to the rows however long a trip stays open.
+    """
 
     def __init__(self):
-        self.held: pa.RecordBatch | None = None
+        self.parts: list[tuple[np.ndarray, pa.RecordBatch]] = []
+        self.next = 0
         self.run: Run | None = None
         self.key: tuple | None = None
 
-    def push(self, batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[list[int]], list[int | None], list[int]]:
+    def push(self, batch: pa.RecordBatch) -> tuple[pa.RecordBatch | None, list[list[int]], list[int | None], list[int]]:
         """Returns rows, and the finished trips and left-over rows as indices into them.
 
         Beside the trips stand their numbers, 1, 2, ... in a whole history and
@@ -185,8 +192,8 @@ class Folder:
         trips: list[list[int]] = []
         numbers: list[int | None] = []
         leftovers: list[int] = []
-        base = 0 if self.held is None else self.held.num_rows
-        rows = batch if self.held is None else pa.concat_batches([self.held, batch])
+        base = self.next
+        self.next += batch.num_rows
         kinds, starts, ends = (
             batch.column(c).to_numpy().tolist() for c in ("kind", "start_ts", "end_ts")
         )
@@ -203,7 +210,12 @@ class Folder:
                 self.run.count += new
             else:
                 numbers.extend([None] * new)
-        self._hold(rows)
+        self.parts.append((np.arange(base, self.next), batch))
+        rows, place = self._rows([i for trip in trips for i in trip] + leftovers)
+        cuts = np.cumsum([len(trip) for trip in trips]).tolist()
+        trips = [place[a:b] for a, b in zip([0, *cuts], cuts)]
+        leftovers = place[cuts[-1] if cuts else 0 :]
+        self._hold(base, batch)
         return rows, trips, numbers, leftovers
 
     def close(self) -> pa.RecordBatch | None:
@@ -211,16 +223,30 @@ class Folder:
         leftovers: list[int] = []
         if self.run is not None:
             self.run.finish(leftovers)
-        return self.held.take(pa.array(leftovers, pa.int64())) if leftovers else None
-
-    def _hold(self, rows: pa.RecordBatch) -> None:
-        """Keep the open run's rows for the next batch and renumber them."""
-        lists = [self.run.trip, self.run.loose, *self.run.ready]
-        ids = sorted({i for part in lists for i in part})
-        place = {i: n for n, i in enumerate(ids)}
-        for part in lists:
-            part[:] = [place[i] for i in part]
-        self.held = rows.take(pa.array(ids, pa.int64()))
+        rows, place = self._rows(leftovers)
+        return rows.take(pa.array(place, pa.int64())) if leftovers else None
+
+    def _rows(self, wanted: list[int]) -> tuple[pa.RecordBatch | None, list[int]]:
+        """Rows that contain the numbered ones, and where these are."""
+        if not wanted:
+            return None, []
+        low = min(wanted)
+        parts = [part for part in self.parts if part[0][-1] >= low]
+        place = np.searchsorted(np.concatenate([ids for ids, _ in parts]), wanted)
+        return pa.concat_batches([rows for _, rows in parts]), place.tolist()
+
+    def _hold(self, base: int, batch: pa.RecordBatch) -> None:
+        """Keep what is open of the batch, numbered from ``base``, and the parts still needed."""
+        self.parts.pop()
+        oldest, ids = self.next, set()
+        for part in (self.run.trip, self.run.loose, *self.run.ready):
+            if part:  # each ascends
+                oldest = min(oldest, part[0])
+                ids.update(part[bisect_left(part, base) :])
+        self.parts = [part for part in self.parts if part[0][-1] >= oldest]
+        if ids:
+            own = np.array(sorted(ids))
+            self.parts.append((own, batch.take(pa.array(own - base, pa.int64()))))
 
 
 Batches = Iterator[pa.RecordBatch]
