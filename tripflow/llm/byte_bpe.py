@@ -1,13 +1,13 @@
 """Byte-level BPE with Spark's higher-order functions alone.
 
-A text is cut into words by the tokenizer's pattern. A word's bytes are symbols;
-a fold joins, step by step, the adjacent pair of least rank, leftmost first, until
-no pair has a rank. Ranks are a literal in the expression: an array of small maps,
-one for each hash value, since a lookup in one large map would search it from end
-to end. Decoding takes each id's bytes from a literal array and concatenates them.
-
-A byte is written as the character of the same number, so pieces are strings
-with one character a byte; ``decode`` and ``encode`` with ISO-8859-1 convert.
+A text is cut into words by the tokenizer's pattern. A word begins as the ids of its
+bytes, and a fold joins, step by step, the adjacent pair of least rank, leftmost
+first, until no pair has a rank; the rank of a pair is the id of the joined piece.
+After a step only the two pairs beside the new piece are looked up again. Ranks
+are a literal in the expression: flat arrays with a perfect hash over the pairs,
+so that a look-up is two places read and one comparison; a literal map would be
+searched from end to end. Decoding takes each id's bytes from a literal array and
+concatenates them; ISO-8859-1 stands for one byte a character.
 
 The fold is needed once for each distinct word. Words that are in the rank table
 as a whole, and the ``COMMON`` most frequent other words of ``SAMPLE`` documents, those
@@ -17,7 +17,7 @@ bounds the literal and decides time only: every word gives the same ids either w
 There is no shuffle of texts or words.
 
 Words of more than ``LONG`` bytes join all places of the best pair at one step.
-That is the same, since a joined symbol's pairs rank behind the pair itself; it
+That is the same, since a joined piece's pairs rank behind the pair itself; it
 keeps the steps to the number of different pairs instead of the number of bytes.
 
 Defined cases: null is the empty text, without ids, and decodes to nothing;
@@ -38,12 +38,10 @@ from pyspark.sql import functions as F
 from tripflow.llm import base
 
 #: Words with ready ids, and the documents they are counted in.
-COMMON, SAMPLE = 60_000, 3000
-#: Hash values of a literal table, and bytes of a long word.
+COMMON, SAMPLE = 100_000, 4000
+#: Hash values of the table of words, and bytes of a long word.
 BUCKETS, LONG = 1 << 16, 48
 LATIN = "ISO-8859-1"
-# marks around symbols of a long word; outside the 256 characters that stand for bytes
-OPEN, CLOSE = "ā", "Ā"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,67 +63,100 @@ def look_up(table: Column, key: Column) -> Column:
     return F.try_element_at(F.get(table, bucket), key)
 
 
-def latin(word: Column) -> Column:
-    """A word's bytes as characters."""
-    return F.decode(word.cast("binary"), LATIN)
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out, or a literal held, once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def together(*parts: Column) -> Column:
-    """Strings put together; the interpreter is slow at ``concat``."""
-    return F.array_join(F.array(*parts), "")
+#: Two primes whose product is above 2**32, so that a pair is known by its remainders.
+GROUPS, SLOTS = 65_521, 1_048_573
 
 
-def pair_ranks(symbols: Column, ranks: Column) -> Column:
-    """Rank of each symbol with the next one, null where the pair has none."""
-    after = F.slice(symbols, F.lit(2), F.size(symbols))
-    return F.zip_with(symbols, after, lambda a, b: look_up(ranks, F.when(b.isNotNull(), together(a, b))))
+def literal_pairs(ranks: dict[bytes, int]) -> Column:
+    """A literal struct of arrays: ids of bytes, and pairs of ids with the id of the joined piece.
 
+    A pair's number is left * 65536 + right. Its remainder by GROUPS tells a shift,
+    and its remainder by SLOTS, shifted, the slot of the number and the joined id.
+    """
+    if max(ranks.values()) >= 1 << 16:
+        raise ValueError("ids must be below 65536")
+    pairs = {
+        (ranks[t[:k]] << 16) | ranks[t[k:]]: r
+        for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
+    }
+    groups: dict[int, list[int]] = {}
+    for key in pairs:
+        groups.setdefault(key % GROUPS, []).append(key)
+    shift, slots = [0] * GROUPS, [-1] * SLOTS
+    for g, keys in sorted(groups.items(), key=lambda x: (-len(x[1]), x[0])):
+        own = [key % SLOTS for key in keys]
+        d = next(d for d in range(SLOTS) if all(slots[(x + d) % SLOTS] < 0 for x in own))
+        shift[g] = d
+        for x, key in zip(own, keys, strict=True):
+            slots[(x + d) % SLOTS] = (key << 16) | pairs[key]
+    held = {"bytes": [ranks[bytes([b])] for b in range(256)], "shift": shift, "slots": slots}
+    return F.from_json(F.lit(json.dumps(held)), "bytes array<int>, shift array<int>, slots array<bigint>")
 
-def join_first(symbols: Column, at: Column) -> Column:
-    """Symbols with the pair at place ``at`` (from 1) joined."""
-    return F.flatten(F.array(
-        F.slice(symbols, F.lit(1), at - 1),
-        F.array(together(F.get(symbols, at - 1), F.get(symbols, at))),
-        F.slice(symbols, at + 2, F.size(symbols)),
-    ))
 
+def joined(table: Column, left: Column, right: Column) -> Column:
+    """Id of two pieces joined, null where there is none."""
+    key = F.shiftleft(left.cast("long"), 16) + right
+    slot = F.get(table["slots"], F.pmod(F.pmod(key, F.lit(SLOTS)) + F.get(table["shift"], F.pmod(key, F.lit(GROUPS)).cast("int")), F.lit(SLOTS)).cast("int"))
+    return F.when(F.shiftright(slot, 16) == key, slot.bitwiseAND(0xFFFF).cast("int"))
 
-def join_all(symbols: Column, at: Column) -> Column:
-    """Symbols with every place of the pair at ``at`` joined, from the left."""
-    a, b = F.get(symbols, at - 1), F.get(symbols, at)
-    text = together(F.lit(OPEN), F.array_join(symbols, CLOSE + OPEN), F.lit(CLOSE))
-    done = F.replace(
-        text, together(F.lit(OPEN), a, F.lit(CLOSE + OPEN), b, F.lit(CLOSE)), together(F.lit(OPEN), a, b, F.lit(CLOSE))
-    )
-    inner = F.substring(done, F.lit(2), F.length(done) - 2)
-    return F.split(inner, CLOSE + OPEN)
 
+def pair_ranks(ids: Column, table: Column) -> Column:
+    """Rank of each piece with the next one; null where the pair has none, and at the end."""
+    return F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), lambda a, b: joined(table, a, b))
 
-def fold(word: Column, ranks: Column, join) -> Column:
-    """Symbols of a word (one character a byte) after all merges."""
 
-    def step(state: Column, _: Column) -> Column:
-        return F.when(state["at"].isNull(), state).otherwise(bound(join(state["symbols"], state["at"]), ranked))
+def best_place(ranks: Column) -> Column:
+    """The first place, from 1, of the least rank; null if there is none."""
+    return F.array_position(ranks, F.array_min(ranks)).cast("int")
 
-    def ranked(symbols: Column) -> Column:
-        at = bound(pair_ranks(symbols, ranks), lambda r: F.array_position(r, F.array_min(r)).cast("int"))
-        return F.struct(symbols.alias("symbols"), at.alias("at"))
 
-    steps = F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1)))
-    return F.aggregate(steps, bound(F.split(word, ""), ranked), step, lambda s: s["symbols"])
+def join_first(state: Column, table: Column) -> Column:
+    """The state with the pair at its best place joined."""
+    ids, ranks, at = state["ids"], state["ranks"], state["at"]
+    new = F.get(ranks, at - 1)
+    rest = F.slice(ranks, at + 2, F.size(ranks))
+    right = F.array(joined(table, new, F.get(ids, at + 1)))
+    beside = F.when(
+        at > 1,
+        F.flatten(F.array(F.slice(ranks, F.lit(1), at - 2), F.array(joined(table, F.get(ids, at - 2), new)), right, rest)),
+    ).otherwise(F.flatten(F.array(right, rest)))
+    after = F.flatten(F.array(F.slice(ids, F.lit(1), at - 1), F.array(new), F.slice(ids, at + 2, F.size(ids))))
+    return bound(beside, lambda r: F.struct(after.alias("ids"), r.alias("ranks"), best_place(r).alias("at")))
 
 
-def bound(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out, or a literal held, once."""
-    return F.get(F.transform(F.array(value), body), 0)
+def join_all(state: Column, table: Column) -> Column:
+    """The state with every place of the best pair joined, from the left."""
+    ids, ranks, at = state["ids"], state["ranks"], state["at"]
+    text = F.concat(F.lit("<"), F.array_join(ids, "><"), F.lit(">"))
+    pair = F.concat(F.lit("<"), F.get(ids, at - 1).cast("string"), F.lit("><"), F.get(ids, at).cast("string"), F.lit(">"))
+    done = F.replace(text, pair, F.concat(F.lit("<"), F.get(ranks, at - 1).cast("string"), F.lit(">")))
+    after = F.split(F.substring(done, F.lit(2), F.length(done) - 2), "><").cast("array<int>")
+    return bound(after, lambda x: begin(x, table))
+
+
+def begin(ids: Column, table: Column) -> Column:
+    return bound(pair_ranks(ids, table), lambda r: F.struct(ids.alias("ids"), r.alias("ranks"), best_place(r).alias("at")))
+
+
+def fold(ids: Column, table: Column, join) -> Column:
+    """Ids of a word's bytes after all merges."""
+    steps = F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1)))
+    step = lambda state, _: F.when(state["at"].isNull(), state).otherwise(join(state, table))
+    return F.aggregate(steps, begin(ids, table), step, lambda state: state["ids"])
 
 
-def folded_ids(word: Column, ranks: Column) -> Column:
+def folded_ids(word: Column, table: Column) -> Column:
     """Ids of a word by the fold."""
-    pieces = bound(latin(word), lambda w: F.when(
-        F.length(w) <= LONG, fold(w, ranks, join_first)
-    ).otherwise(fold(w, ranks, join_all)))
-    return F.transform(pieces, lambda piece: look_up(ranks, piece))
+    letters = F.split(F.decode(word.cast("binary"), LATIN), "")
+    start = F.transform(letters, lambda c: F.get(table["bytes"], F.ascii(c)))
+    return bound(start, lambda ids: F.when(
+        F.size(ids) <= LONG, fold(ids, table, join_first)
+    ).otherwise(fold(ids, table, join_all)))
 
 
 def words_of(text: Column, pattern: str) -> Column:
@@ -155,7 +186,7 @@ def common_words(df: DataFrame, ranks: dict[bytes, int], table: Column, pattern:
 def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "text") -> DataFrame:
     """``df`` with array column OUT: the ids of every text."""
     ranks = read_ranks(rank_path)
-    table = literal_table({p.decode(LATIN): r for p, r in ranks.items()}, "int")
+    table = literal_pairs(ranks)
     ready = literal_table(common_words(df, ranks, table, pattern, column), "array<int>")
     words = words_of(base.text_of(df, column), pattern)
     coded = bound(ready, lambda r: bound(table, lambda t: F.transform(
