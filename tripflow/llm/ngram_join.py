@@ -19,7 +19,9 @@ and no link between different groups is lost.
 
 Rarity: prefixes by number alone are counted first; shingles that stand in many
 of them go to the end of the order. At most ``FREQUENT`` such shingles, the most
-frequent, travel to the tasks; any choice of them gives the same links.
+frequent, travel to the tasks; any choice of them gives the same links. Then the
+prefixes of that order are counted, and shingles of one set only are left out of
+the lists, by a bit map of fixed size.
 
 Set numbers, lists and links stay in Spark tables. Shingles of sets that are in
 a list with others are made a second time from the texts, when their number is
@@ -51,8 +53,10 @@ PERCENT = 80
 FREQUENT, LEAST_COUNT = 300_000, 16
 #: Entries of an index list that go to one task; longer lists are salted.
 LIST = 50_000
-#: Bits of the map of set numbers, 8 MB.
-MOST_BITS = 1 << 26
+#: Bits of the map of set numbers, 8 MB, and the power of two of bits in the map of shared shingles.
+MOST_BITS, MAP_BITS = 1 << 26, 26
+#: Shingles that are counted in one task.
+PART = 1_000_000
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -141,18 +145,53 @@ def pieces(rows, size: int = 4000):
         yield held
 
 
-def frequent(docs: DataFrame, percent: int, most: int) -> Order:
-    """The order: shingles that many prefixes hold, counted over all documents."""
+BLOBS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("blob", T.BinaryType())])
+
+
+def counted_in_parts(docs: DataFrame, bits: int, prefix, reduced, fields: list[T.StructField]) -> DataFrame:
+    """Counts of the shingles ``prefix(set)`` over all documents, worked out part by part.
+
+    A part holds the shingles that begin with the same ``bits`` bits: 2**bits is
+    chosen so that a part is about ``PART`` shingles. Tasks count first and ship
+    (shingle, count) as bytes, without the weight of rows; a shingle of very many
+    sets is one entry for every 20,000 of them. ``reduced`` makes columns of a
+    part's number, shingles and counts.
+    """
 
     def work(batches):
-        for part in pieces(fresh_sets(batches, Shingler()), 20_000):
-            s, n = np.unique(np.concatenate([x[: prefix_length(len(x), percent)] for _, x in part]), return_counts=True)
-            yield signed(s), n
+        for sets in pieces(fresh_sets(batches, Shingler()), 20_000):
+            x, n = np.unique(np.concatenate([prefix(x) for _, x in sets]), return_counts=True)
+            cuts = np.searchsorted(x, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+            cuts = np.append(cuts, len(x))
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                own = slice(cuts[k], cuts[k + 1])
+                yield [k], [x[own].tobytes() + n[own].astype("<u4").tobytes()]
+
+    def reduce(part: pa.Table) -> pa.Table:
+        blobs = part["blob"].to_pylist()
+        x = np.concatenate([np.frombuffer(b, "<u8", len(b) // 12) for b in blobs])
+        n = np.concatenate([np.frombuffer(b, "<u4", len(b) // 12, 8 * (len(b) // 12)) for b in blobs])
+        at = np.argsort(x, kind="stable")
+        x, n = x[at], n[at].astype(np.int64)
+        first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+        columns = reduced(part["part"][0].as_py(), x[first], np.add.reduceat(n, first))
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
 
-    counts = map_arrays(docs.select("text"), work, [long("shingle"), long("n")])
-    many = base.keep(
-        counts.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
-    )
+    kind = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in fields])
+    blobs = map_arrays(docs.select("text"), work, list(BLOBS))
+    return blobs.groupBy("part").applyInArrow(reduce, T.StructType(fields))
+
+
+def frequent(docs: DataFrame, bits: int, percent: int, most: int) -> Order:
+    """The order: shingles that many prefixes hold, counted over all documents."""
+    low = LEAST_COUNT
+
+    def reduced(_: int, x: np.ndarray, n: np.ndarray):
+        return signed(x[n >= low]), n[n >= low]
+
+    many = base.keep(counted_in_parts(
+        docs, bits, lambda x: x[: prefix_length(len(x), percent)], reduced, [long("shingle"), long("n")]
+    ))
     sizes = many.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count("*").alias("c")).collect()
     total, least = 0, 64
     for r in sorted(sizes, key=lambda r: -r["k"]):  # at most 64 rows
@@ -160,28 +199,55 @@ def frequent(docs: DataFrame, percent: int, most: int) -> Order:
         if total > most:
             break
         least = r["k"]
-    got = many.where(F.col("n") >= 2**least).toArrow() if least < 63 else None
+    got = many.where(F.col("n") >= 2**least).toArrow() if least < 63 else None  # at most ``most`` rows
     if got is None or not got.num_rows:
         return Order(np.zeros(0, np.uint64), np.zeros(0, np.int64))
     return Order(got["shingle"].to_numpy().view(np.uint64), got["n"].to_numpy())
 
 
+def shared(docs: DataFrame, bits: int, map_bits: int, order: Order, percent: int) -> np.ndarray:
+    """A bit map of the prefix shingles that several sets have, by their first bits.
+
+    Shingles of one set only make no pairs; most are left out of the lists by this map
+    of fixed size, and some stay when their bit is another's.
+    """
+
+    def reduced(part: int, x: np.ndarray, n: np.ndarray):
+        held = np.zeros(1 << (map_bits - bits), dtype=bool)
+        held[(x[n > 1] >> np.uint64(64 - map_bits)).astype(np.int64) - (part << (map_bits - bits))] = True
+        return [part], [np.packbits(held).tobytes()]
+
+    got = counted_in_parts(
+        docs, bits, lambda x: order.prefix(x, prefix_length(len(x), percent))[0], reduced, list(BLOBS)
+    ).toArrow()  # 2**map_bits bits in all
+    out = np.zeros((1 << map_bits) // 8, dtype=np.uint8)
+    size = len(out) >> bits
+    for part, blob in zip(got["part"].to_pylist(), got["blob"].to_pylist(), strict=True):
+        out[part * size : (part + 1) * size] = np.frombuffer(blob, np.uint8)
+    return out
+
+
 ENTRY = [long("shingle"), T.StructField("salt", T.IntegerType()), long("n"), long("place"), long("s")]
 
 
-def index(docs: DataFrame, order: Order, percent: int, list_size: int) -> DataFrame:
+def index(
+    docs: DataFrame, order: Order, held: np.ndarray, map_bits: int, percent: int, list_size: int
+) -> DataFrame:
     """Entries of the index lists; a list longer than ``list_size`` is salted by the set."""
 
     def work(batches):
+        several = np.unpackbits(held).astype(bool)
         for part in pieces(fresh_sets(batches, Shingler())):
             cols: list[list] = [[], [], [], [], []]
             for s, x in part:
                 own, count = order.prefix(x, prefix_length(len(x), percent))
+                place = np.flatnonzero(several[(own >> np.uint64(64 - map_bits)).astype(np.int64)])
+                own, count = own[place], count[place]
                 salts = count // list_size + 1
                 cols[0].append(signed(own))
                 cols[1].append(np.where(salts > 1, (s & 0x7FFFFFFF) % salts, -1).astype(np.int32))
                 cols[2].append(np.full(len(own), len(x)))
-                cols[3].append(np.arange(len(own)))
+                cols[3].append(place)
                 cols[4].append(np.full(len(own), s))
             yield tuple(np.concatenate(c) for c in cols)
 
@@ -293,9 +359,18 @@ def link_components(
     docs: DataFrame, percent: int = PERCENT, most: int = FREQUENT, list_size: int = LIST
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
-    order = frequent(docs, percent, most)
     own = base.keep(set_numbers(docs))
-    live = base.keep(read_lists(index(docs, order, percent, list_size).repartition("shingle", "salt"), percent))
+    total = own.agg(F.sum("n").alias("n")).first()["n"] or 0
+    bits = 4
+    while total * (100 - percent) // 100 >> bits > PART:
+        bits += 1
+    map_bits = max(bits + 3, 16)
+    while map_bits < MAP_BITS and 1 << map_bits < 2 * total:
+        map_bits += 1
+    order = frequent(docs, bits, percent, most)
+    held = shared(docs, bits, map_bits, order, percent)
+    entries = index(docs, order, held, map_bits, percent, list_size)
+    live = base.keep(read_lists(entries.repartition("shingle", "salt"), percent))
     # firsts of the salted parts of a list meet in a list of their own
     parts = live.where("salt >= 0 and is_first").select(*LIVE).withColumn("salt", F.lit(-2))
     between = read_lists(parts.repartition("shingle"), percent)
