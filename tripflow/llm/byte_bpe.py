@@ -68,41 +68,45 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-#: Two primes whose product is above 2**32, so that a pair is known by its remainders.
-GROUPS, SLOTS = 65_521, 1_048_573
+#: Sizes of the hash of the pairs, two primes, and what ids are multiplied with before.
+GROUPS, SLOTS = 65_521, 262_139
+GROUP_BY, SLOT_BY = (31_337, 7_919), (7_907, 31_847)
 
 
 def literal_pairs(ranks: dict[bytes, int]) -> Column:
     """A literal struct of arrays: ids of bytes, and pairs of ids with the id of the joined piece.
 
-    A pair's number is left * 65536 + right. Its remainder by GROUPS tells a shift,
-    and its remainder by SLOTS, shifted, the slot of the number and the joined id.
+    A pair's group tells a shift, and its place, shifted, the slot that holds the
+    pair's number, left * 65536 + right, and the joined id.
     """
     if max(ranks.values()) >= 1 << 16:
         raise ValueError("ids must be below 65536")
-    pairs = {
-        (ranks[t[:k]] << 16) | ranks[t[k:]]: r
-        for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks
-    }
-    groups: dict[int, list[int]] = {}
-    for key in pairs:
-        groups.setdefault(key % GROUPS, []).append(key)
+    groups: dict[int, list[tuple[int, int]]] = {}
+    for t, r in ranks.items():
+        for k in range(1, len(t)):
+            if t[:k] in ranks and t[k:] in ranks:
+                a, b = ranks[t[:k]], ranks[t[k:]]
+                place = (SLOT_BY[0] * a + SLOT_BY[1] * b) % SLOTS
+                groups.setdefault((GROUP_BY[0] * a + GROUP_BY[1] * b) % GROUPS, []).append((place, (a << 32) | (b << 16) | r))
     shift, slots = [0] * GROUPS, [-1] * SLOTS
-    for g, keys in sorted(groups.items(), key=lambda x: (-len(x[1]), x[0])):
-        own = [key % SLOTS for key in keys]
-        d = next(d for d in range(SLOTS) if all(slots[(x + d) % SLOTS] < 0 for x in own))
+    for g, own in sorted(groups.items(), key=lambda x: (-len(x[1]), x[0])):
+        d = next((d for d in range(SLOTS) if all(slots[(x + d) % SLOTS] < 0 for x, _ in own)), None)
+        if d is None or len({x for x, _ in own}) < len(own):
+            raise ValueError("the pairs do not fit the hash; choose other sizes")
         shift[g] = d
-        for x, key in zip(own, keys, strict=True):
-            slots[(x + d) % SLOTS] = (key << 16) | pairs[key]
+        for x, packed in own:
+            slots[(x + d) % SLOTS] = packed
     held = {"bytes": [ranks[bytes([b])] for b in range(256)], "shift": shift, "slots": slots}
     return F.from_json(F.lit(json.dumps(held)), "bytes array<int>, shift array<int>, slots array<bigint>")
 
 
 def joined(table: Column, left: Column, right: Column) -> Column:
     """Id of two pieces joined, null where there is none."""
-    key = F.shiftleft(left.cast("long"), 16) + right
-    slot = F.get(table["slots"], F.pmod(F.pmod(key, F.lit(SLOTS)) + F.get(table["shift"], F.pmod(key, F.lit(GROUPS)).cast("int")), F.lit(SLOTS)).cast("int"))
-    return F.when(F.shiftright(slot, 16) == key, slot.bitwiseAND(0xFFFF).cast("int"))
+    a, b = left.cast("long"), right.cast("long")
+    group = F.pmod(a * GROUP_BY[0] + b * GROUP_BY[1], F.lit(GROUPS)).cast("int")
+    place = F.pmod(a * SLOT_BY[0] + b * SLOT_BY[1] + F.get(table["shift"], group), F.lit(SLOTS)).cast("int")
+    slot = F.get(table["slots"], place)
+    return F.when(F.shiftright(slot, 16) == F.shiftleft(a, 16) + b, slot.bitwiseAND(0xFFFF).cast("int"))
 
 
 def pair_ranks(ids: Column, table: Column) -> Column:
