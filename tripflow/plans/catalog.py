@@ -69,10 +69,10 @@ def _rounded_trips(spark: SparkSession, sf_dir: str, **fleet) -> DataFrame:
 
 
 def _edge_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips whose last segment is late, or lasts six hours longer, or goes 222 km on, by the start time."""
+    """Trips whose last segment is early or late, or lasts six hours longer, or goes 222 km on, by the start time."""
     kind = F.pmod(trips.first_segment()["start_ts"], F.lit(4))
     end = trips.last_segment()
-    late, longer = F.when(kind == 1, 1000).otherwise(0), F.when(kind == 2, 21600).when(kind == 3, 7200).otherwise(0)
+    late, longer = F.when(kind == 1, 1000).when(kind == 0, -400).otherwise(0), F.when(kind == 2, 21600).when(kind == 3, 7200).otherwise(0)
     moved = end.withField("start_ts", end["start_ts"] + late).withField("end_ts", end["end_ts"] + late + longer)
     moved = moved.withField("end_lat", end["end_lat"] + F.when(kind == 3, 2.0).otherwise(0.0))
     before = F.slice("segments", F.lit(1), F.size("segments") - 1)
@@ -299,7 +299,7 @@ def trip_quality(spark, sf_dir):
 
 
 def trip_quality_edges(spark, sf_dir):
-    """Trips with gaps of more than ten minutes, of six hours, and of more than 200 km."""
+    """Trips with gaps of more than ten minutes and below none, of six hours, and of more than 200 km."""
     measured = metrics.trip_metrics(_edge_trips(spark, sf_dir))
     return measured.select(
         "vehicle_id", "start_ts", "end_ts", F.size("segments").alias("n_segments"), "reject_reason"

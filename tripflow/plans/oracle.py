@@ -327,8 +327,8 @@ kinds AS (
     pos = max(pos) OVER (PARTITION BY vehicle_id, trip_seq) AS is_last FROM tseg),
 edges AS (
   SELECT * REPLACE (
-    start_ts + CASE WHEN is_last AND kind = 1 THEN 1000 ELSE 0 END AS start_ts,
-    end_ts + CASE WHEN NOT is_last THEN 0 WHEN kind = 1 THEN 1000 WHEN kind = 2 THEN 21600
+    start_ts + CASE WHEN NOT is_last THEN 0 WHEN kind = 1 THEN 1000 WHEN kind = 0 THEN -400 ELSE 0 END AS start_ts,
+    end_ts + CASE WHEN NOT is_last THEN 0 WHEN kind = 1 THEN 1000 WHEN kind = 0 THEN -400 WHEN kind = 2 THEN 21600
       WHEN kind = 3 THEN 7200 ELSE 0 END AS end_ts,
     end_lat + CASE WHEN is_last AND kind = 3 THEN CAST(2 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS end_lat)
   FROM kinds)"""
