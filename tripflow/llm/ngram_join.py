@@ -23,9 +23,9 @@ frequent, travel to the tasks; any choice of them gives the same links. Then the
 prefixes of that order are counted, and shingles of one set only are left out of
 the lists, by a bit map of fixed size.
 
-Set numbers, lists and links stay in Spark tables. Shingles of sets that are in
-a list with others are made a second time from the texts, when their number is
-in a bit map of fixed size, instead of being shuffled from the start.
+Set numbers, shingles, lists and links stay in Spark tables. A pair is first judged
+by what its two prefixes share; whole sets are shuffled only for pairs that remain,
+found by their numbers in a bit map of fixed size.
 
 Defined cases: null, empty and blank texts have 0 shingles and are alone; a text of
 fewer words than a shingle has one; rows of one doc_id are one node of the
@@ -106,31 +106,37 @@ def map_arrays(df: DataFrame, work, fields: list[T.StructField]) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def set_numbers(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, s): size and number of each document's set."""
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, s, shingles): size, number and bytes of each document's set.
+
+    A task gives the bytes of a set once, as a rule; its repetitions have null.
+    """
 
     def work(batches):
         shingler = Shingler()
+        seen: set[int] = set()
         for b in batches:
-            sets = [shingler.of(t) for t in b.column(1).to_pylist()]
-            yield b.column(0), [len(x) for x in sets], [set_number(x) if len(x) else None for x in sets]
+            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for a in range(0, len(ids), 1000):
+                sets = [shingler.of(t) for t in texts[a : a + 1000]]
+                numbers = [set_number(x) if len(x) else None for x in sets]
+                blobs = []
+                for s, x in zip(numbers, sets, strict=True):
+                    blobs.append(None if s is None or s in seen else x.tobytes())
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(s)
+                yield ids[a : a + 1000], [len(x) for x in sets], numbers, blobs
 
-    return map_arrays(docs.select(F.col("doc_id").cast("long"), "text"), work, [long("doc_id"), long("n"), long("s")])
+    fields = [long("doc_id"), long("n"), long("s"), T.StructField("shingles", T.BinaryType())]
+    return map_arrays(docs.select(F.col("doc_id").cast("long"), "text"), work, fields)
 
 
-def fresh_sets(batches, shingler: Shingler, wanted=None):
-    """(number, shingles) of the sets of a task's texts, most repetitions left out."""
-    seen: set[int] = set()
+def fresh_sets(batches):
+    """(number, shingles) of the rows (s, shingles) of a task."""
     for b in batches:
-        for text in b.column(0).to_pylist():
-            x = shingler.of(text)
-            if len(x):
-                s = set_number(x)
-                if s not in seen and (wanted is None or wanted(s)):
-                    if len(seen) > 200_000:
-                        seen.clear()
-                    seen.add(s)
-                    yield s, x
+        for s, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            yield s, np.frombuffer(blob, dtype="<u8")
 
 
 def pieces(rows, size: int = 4000):
@@ -148,7 +154,7 @@ def pieces(rows, size: int = 4000):
 BLOBS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("blob", T.BinaryType())])
 
 
-def counted_in_parts(docs: DataFrame, bits: int, prefix, reduced, fields: list[T.StructField]) -> DataFrame:
+def counted_in_parts(sets: DataFrame, bits: int, prefix, reduced, fields: list[T.StructField]) -> DataFrame:
     """Counts of the shingles ``prefix(set)`` over all documents, worked out part by part.
 
     A part holds the shingles that begin with the same ``bits`` bits: 2**bits is
@@ -159,8 +165,8 @@ def counted_in_parts(docs: DataFrame, bits: int, prefix, reduced, fields: list[T
     """
 
     def work(batches):
-        for sets in pieces(fresh_sets(batches, Shingler()), 20_000):
-            x, n = np.unique(np.concatenate([prefix(x) for _, x in sets]), return_counts=True)
+        for some in pieces(fresh_sets(batches), 20_000):
+            x, n = np.unique(np.concatenate([prefix(x) for _, x in some]), return_counts=True)
             cuts = np.searchsorted(x, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
             cuts = np.append(cuts, len(x))
             for k in np.flatnonzero(np.diff(cuts)).tolist():
@@ -178,11 +184,11 @@ def counted_in_parts(docs: DataFrame, bits: int, prefix, reduced, fields: list[T
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
 
     kind = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in fields])
-    blobs = map_arrays(docs.select("text"), work, list(BLOBS))
+    blobs = map_arrays(sets, work, list(BLOBS))
     return blobs.groupBy("part").applyInArrow(reduce, T.StructType(fields))
 
 
-def frequent(docs: DataFrame, bits: int, percent: int, most: int) -> Order:
+def frequent(sets: DataFrame, bits: int, percent: int, most: int) -> Order:
     """The order: shingles that many prefixes hold, counted over all documents."""
     low = LEAST_COUNT
 
@@ -190,7 +196,7 @@ def frequent(docs: DataFrame, bits: int, percent: int, most: int) -> Order:
         return signed(x[n >= low]), n[n >= low]
 
     many = base.keep(counted_in_parts(
-        docs, bits, lambda x: x[: prefix_length(len(x), percent)], reduced, [long("shingle"), long("n")]
+        sets, bits, lambda x: x[: prefix_length(len(x), percent)], reduced, [long("shingle"), long("n")]
     ))
     sizes = many.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count("*").alias("c")).collect()
     total, least = 0, 64
@@ -205,7 +211,7 @@ def frequent(docs: DataFrame, bits: int, percent: int, most: int) -> Order:
     return Order(got["shingle"].to_numpy().view(np.uint64), got["n"].to_numpy())
 
 
-def shared(docs: DataFrame, bits: int, map_bits: int, order: Order, percent: int) -> np.ndarray:
+def shared(sets: DataFrame, bits: int, map_bits: int, order: Order, percent: int) -> np.ndarray:
     """A bit map of the prefix shingles that several sets have, by their first bits.
 
     Shingles of one set only make no pairs; most are left out of the lists by this map
@@ -218,7 +224,7 @@ def shared(docs: DataFrame, bits: int, map_bits: int, order: Order, percent: int
         return [part], [np.packbits(held).tobytes()]
 
     got = counted_in_parts(
-        docs, bits, lambda x: order.prefix(x, prefix_length(len(x), percent))[0], reduced, list(BLOBS)
+        sets, bits, lambda x: order.prefix(x, prefix_length(len(x), percent))[0], reduced, list(BLOBS)
     ).toArrow()  # 2**map_bits bits in all
     out = np.zeros((1 << map_bits) // 8, dtype=np.uint8)
     size = len(out) >> bits
@@ -231,13 +237,13 @@ ENTRY = [long("shingle"), T.StructField("salt", T.IntegerType()), long("n"), lon
 
 
 def index(
-    docs: DataFrame, order: Order, held: np.ndarray, map_bits: int, percent: int, list_size: int
+    sets: DataFrame, order: Order, held: np.ndarray, map_bits: int, percent: int, list_size: int
 ) -> DataFrame:
     """Entries of the index lists; a list longer than ``list_size`` is salted by the set."""
 
     def work(batches):
         several = np.unpackbits(held).astype(bool)
-        for part in pieces(fresh_sets(batches, Shingler())):
+        for part in pieces(fresh_sets(batches)):
             cols: list[list] = [[], [], [], [], []]
             for s, x in part:
                 own, count = order.prefix(x, prefix_length(len(x), percent))
@@ -251,7 +257,7 @@ def index(
                 cols[4].append(np.full(len(own), s))
             yield tuple(np.concatenate(c) for c in cols)
 
-    return map_arrays(docs.select("text"), work, ENTRY)
+    return map_arrays(sets, work, ENTRY)
 
 
 LIVE = ["shingle", "salt", "n", "place", "s"]
@@ -291,8 +297,8 @@ def may_link(n0: Column, place0: Column, n: Column, place: Column, percent: int)
     return (n0 * 100 >= n * percent) & (overlap * (100 + percent) >= (n0 + n) * percent)
 
 
-def shingle_sets(docs: DataFrame, numbers: DataFrame) -> DataFrame:
-    """(s, shingles) of the sets in ``numbers`` (s), and of some others, made from the texts again."""
+def sets_in(sets: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(s, shingles) of the sets in ``numbers`` (s), and of some others, as arrays."""
     count = numbers.count()
     bits = 1 << 16
     while bits < min(MOST_BITS, 16 * count):
@@ -305,15 +311,27 @@ def shingle_sets(docs: DataFrame, numbers: DataFrame) -> DataFrame:
     held[words["word"].to_numpy()] = words["mask"].to_numpy()
 
     def work(batches):
-        def wanted(s: int) -> bool:
-            k = s & (bits - 1)
-            return bool((int(held[k >> 6]) >> (k & 63)) & 1)
-
-        for part in pieces(fresh_sets(batches, Shingler(), wanted), 500):
+        wanted = ((s, x) for s, x in fresh_sets(batches) if (int(held[(s & (bits - 1)) >> 6]) >> (s & 63)) & 1)
+        for part in pieces(wanted, 500):
             yield [s for s, _ in part], [signed(x).tolist() for _, x in part]
 
     fields = [long("s"), T.StructField("shingles", T.ArrayType(T.LongType()))]
-    return map_arrays(docs.select("text"), work, fields).groupBy("s").agg(F.first("shingles").alias("shingles"))
+    return map_arrays(sets, work, fields).groupBy("s").agg(F.first("shingles").alias("shingles"))
+
+
+def may_still_link(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose prefixes have enough in common for a link.
+
+    Of two sets take the one whose prefix ends earlier in the order. What the sets
+    share is in both prefixes, or behind the end of that one's prefix.
+    """
+    left = heads.select(F.col("s").alias("a"), F.col("n").alias("na"), F.col("head").alias("x"))
+    right = heads.select(F.col("s").alias("b"), F.col("n").alias("nb"), F.col("head").alias("y"))
+    behind = F.ceil(F.greatest("na", "nb") * percent / 100) - 1
+    most = F.size(F.array_intersect("x", "y")) + behind
+    return pairs.join(right, "b").join(left, "a").where(
+        most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    ).select("a", "b")
 
 
 def links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -327,6 +345,13 @@ def links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(F.col("common") * 100 >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select("a", "b")
 
 
+def verified(pairs: DataFrame, heads: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link. Whole sets are fetched only for pairs that their prefixes leave."""
+    left = base.keep(may_still_link(pairs, heads, percent))
+    numbers = left.select(F.col("a").alias("s")).unionByName(left.select(F.col("b").alias("s"))).distinct()
+    return base.keep(links_of(left, sets_in(sets, numbers), percent))
+
+
 def ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -359,7 +384,9 @@ def link_components(
     docs: DataFrame, percent: int = PERCENT, most: int = FREQUENT, list_size: int = LIST
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
-    own = base.keep(set_numbers(docs))
+    made = base.keep(shingle_sets(docs))
+    own = made.select("doc_id", "n", "s")
+    sets = made.where("shingles is not null").select("s", "shingles")
     total = own.agg(F.sum("n").alias("n")).first()["n"] or 0
     bits = 4
     while total * (100 - percent) // 100 >> bits > PART:
@@ -367,9 +394,9 @@ def link_components(
     map_bits = max(bits + 3, 16)
     while map_bits < MAP_BITS and 1 << map_bits < 2 * total:
         map_bits += 1
-    order = frequent(docs, bits, percent, most)
-    held = shared(docs, bits, map_bits, order, percent)
-    entries = index(docs, order, held, map_bits, percent, list_size)
+    order = frequent(sets, bits, percent, most)
+    held = shared(sets, bits, map_bits, order, percent)
+    entries = index(sets, order, held, map_bits, percent, list_size)
     live = base.keep(read_lists(entries.repartition("shingle", "salt"), percent))
     # firsts of the salted parts of a list meet in a list of their own
     parts = live.where("salt >= 0 and is_first").select(*LIVE).withColumn("salt", F.lit(-2))
@@ -378,11 +405,12 @@ def link_components(
     first = near.where("first is not null").select(*ordered("s", "first"))
     before = near.where("before is not null").select(*ordered("s", "before"))
     pairs = base.keep(first.unionByName(before).distinct())
-    sets = base.keep(shingle_sets(docs, live.select("s").distinct()))
-    links = base.keep(links_of(pairs, sets, percent))
+    # a set's prefix, without the shingles that no other set has
+    heads = base.keep(live.groupBy("s").agg(F.max("n").alias("n"), F.collect_list("shingle").alias("head")))
+    links = verified(pairs, heads, sets, percent)
     groups = components(links)
-    rest = base.keep(across(live, groups, percent).join(pairs, ["a", "b"], "left_anti"))
-    more = base.keep(links_of(rest, sets, percent))
+    rest = across(live, groups, percent).join(pairs, ["a", "b"], "left_anti")
+    more = verified(rest, heads, sets, percent)
     if not more.isEmpty():
         groups = components(links.unionByName(more))
     # the same document may stand in several rows: its sets belong together
