@@ -95,6 +95,55 @@ def test_lines_against_sql(spark, tmp_path):
     assert line_dedup.op10_line_templates(spark, sf).count() == 0
 
 
+def plain_line_dedup(rows, least):
+    """Kept text of documents (id, text) of one id each: a leaf's modal template, then linked lines."""
+    lines, leaves, first = {}, defaultdict(set), {}
+    agree = lambda a, b: 100 * sum(x == y for x, y in zip(a, b, strict=True)) >= 80 * len(a)
+    for i, text in rows:
+        for place, line in enumerate(text.split("\n")):
+            t = lines[i, place] = tuple("<*>" if re.search("[0-9]", w) else w for w in line.split())
+            leaves[len(t), t[:3]].add(t)
+    name = {t: t for own in leaves.values() for t in own}
+    for leaf, own in leaves.items():
+        if leaf[0] < least or len(own) < 2:
+            continue
+        modal = [min(Counter(p).items(), key=lambda x: (-x[1], x[0]))[0] for p in zip(*own, strict=True)]
+        near = {t for t in own if agree(t, modal)}
+        left, group = own - near, {}
+        for t in left:
+            joined = {group[u] for u in group if agree(t, u)} | {t}
+            group |= {u: t for u in group if group[u] in joined} | {t: t}
+        name |= dict.fromkeys(near, leaf) | group
+    owners = defaultdict(set)
+    for (i, _), t in lines.items():
+        owners[name[t]].add(i)
+    first = {n: min(ids) for n, ids in owners.items()}
+    return {i: "\n".join(x for p, x in enumerate(text.split("\n")) if first[name[lines[i, p]]] == i) for i, text in rows}
+
+
+def test_a_leaf_holds_several_templates(spark):
+    rnd = random.Random(12)
+    words = [f"w{chr(97 + k)}{chr(97 + j)}" for k in range(20) for j in range(20)]
+    rows = [[k, []] for k in range(40)]
+    for leaf in range(12):
+        n = rnd.randint(10, 30)
+        lead = [rnd.choice(words) for _ in range(3)]
+        shared = [rnd.choice(words) for _ in range(n)]
+        for _ in range(rnd.randint(2, 4)):  # templates of the leaf, equal at some places, with one variable place each
+            own = lead + [shared[p] if rnd.random() < 0.3 else rnd.choice(words) for p in range(3, n)]
+            at = rnd.randrange(3, n)
+            for k in rnd.sample(range(40), 2 if leaf < 6 else rnd.randint(1, 9)):
+                rows[k][1].append(" ".join(own[:at] + [rnd.choice(words)] + own[at + 1 :]))
+    rows = [(k, "\n".join(lines)) for k, lines in rows if lines]
+    got = {r.doc_id: r[OUT].text for r in line_dedup.drop_lines(documents(spark, rows)).collect()}
+    want = plain_line_dedup(rows, 10)
+    assert got == want
+    pair = [f"And reornd atou {a} x {b}" for a, b in (("p q r s t", "u v w y z"), ("c d e f g", "h i j k l"))]
+    rows = [(k, pair[k // 2].replace(" x ", f" {'mn'[k % 2]} ")) for k in range(4)]
+    out = {r.doc_id: r[OUT].n_dropped for r in line_dedup.drop_lines(documents(spark, rows)).collect()}
+    assert out == {0: 0, 1: 1, 2: 0, 3: 1}
+
+
 def test_line_stage(spark):
     df = documents(spark, [(1, "one two three\nfour"), (2, "one two three"), (3, "one two three\nfive"), (4, ""), (5, None)])
     out = {r.doc_id: r for r in line_dedup.line_stage(spark, df, "").collect()}

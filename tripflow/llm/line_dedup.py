@@ -4,17 +4,22 @@ A line is cut into tokens at white space, and a token with a digit becomes the
 variable ``<*>``. The tree has a fixed depth: token count, then ``DEPTH`` leading
 tokens. At a leaf of lines with at least ``LEAST`` tokens, the token most common at
 a place (over the distinct lines of the leaf, ties to the token first in order)
-makes the leaf's template; a line that agrees with it at ``SHARE`` of its places
-or more belongs to the template, whose other places are variable. Every other
+makes the leaf's first template; a line that agrees with it at ``SHARE`` of its
+places or more belongs to the template, whose other places are variable. A leaf
+may hold more templates: of the lines left over, those that agree with each other at
+``SHARE`` of their places are of one template (see ``more_templates``). Every other
 line is its own template.
 
+``ORACLE`` is the older rule of one template a leaf; results differ from it where
+a leaf holds several.
+
 A template recurs if it stands in several documents. It stays in the document
 with the smallest id and is dropped everywhere else.
 
 Lines travel as (document, line number, digests), not as text. Only lines of
 leaves with several distinct lines are read again, found by a bit map of fixed
-size. Nothing is gathered by leaf: places are counted by (leaf, place, token), and
-equal lines are one before that.
+size. Nothing is gathered by leaf: places are counted by (leaf, place, token), lines
+left over meet by runs of equal tokens, and equal lines are one before that.
 
 Defined cases: null text counts as empty and stays null; lines without a token
 are kept; documents are told apart by id, a null id is one of its own before all
@@ -34,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm import base
+from tripflow.llm.components import components
 
 DEPTH, LEAST, SHARE = 3, 10, 0.8
 NO_ID = -(1 << 63)
@@ -141,6 +147,44 @@ def texts_of(docs: DataFrame, held: np.ndarray, least: int) -> DataFrame:
     return base.map_texts(docs.select("text"), work, TEXTS).dropDuplicates(["leaf", "line"])
 
 
+def more_templates(rest: DataFrame, share: float) -> DataFrame:
+    """(node, root) of the lines of ``rest`` (leaf, line, n, masked) that agree with another of their leaf.
+
+    Lines that differ at k places or fewer are equal in one of k + 1 runs of places,
+    so lines meet by (leaf, run, tokens) only. First each line is compared with the
+    least line it meets in each run, which takes the lines of a frequent template at
+    linear cost; then lines that agreed with no lesser one are compared with each
+    other. Lines that agree are linked. As in any log-template tree, a line already
+    linked to a lesser one brings no others into its template.
+    """
+    rest = base.keep(rest.select("leaf", "line", "n", F.split("masked", " ").alias("tokens")))
+    runs = rest.withColumn("k", F.expr(f"cast(n - ceil(n * {share}D - 1e-9D) as int) + 1")).select(
+        "leaf", "line",
+        F.posexplode(F.expr(
+            f"transform(sequence(0, k - 1), i -> xxhash64(array_join(slice(tokens, {DEPTH + 1} + cast(i * (n - {DEPTH}) div k as int),"
+            f" cast((i + 1) * (n - {DEPTH}) div k - i * (n - {DEPTH}) div k as int)), ' ')))"
+        )).alias("run", "key"),
+    )
+    by = ["leaf", "run", "key"]
+    least = runs.groupBy(*by).agg(F.min("line").alias("a"), F.max("line").alias("z")).where("a <> z").select(*by, "a")
+    met = base.keep(runs.join(least, by))
+    links = base.keep(agreeing(met.where("line <> a").select("a", F.col("line").alias("b")).distinct(), rest, share))
+    heads = base.keep(met.join(links.select(F.col("b").alias("line")).distinct(), "line", "left_anti").select(*by, "line"))
+    pairs = (
+        heads.withColumnRenamed("line", "a").join(heads.withColumnRenamed("line", "b"), by)
+        .where("a < b").select("a", "b").distinct()
+    )
+    return components(links.unionByName(agreeing(pairs, rest, share)))
+
+
+def agreeing(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose lines agree at ``share`` of their places."""
+    one = texts.select(F.col("line").alias("a"), "n", F.col("tokens").alias("own"))
+    two = texts.select(F.col("line").alias("b"), F.col("tokens").alias("other"))
+    same = F.size(F.filter(F.zip_with("own", "other", lambda x, y: x == y), lambda x: x))
+    return pairs.join(one, "a").join(two, "b").where(same >= F.ceil(F.col("n") * share - 1e-9)).select("a", "b")
+
+
 def templates(docs: DataFrame, lines: DataFrame, least: int, share: float) -> DataFrame:
     """(line, first): lines whose template recurs, with the smallest id of the template."""
     own = base.keep(lines.groupBy("leaf", "line", "n").agg(F.min("id").alias("first"), F.max("id").alias("last")))
@@ -156,10 +200,14 @@ def templates(docs: DataFrame, lines: DataFrame, least: int, share: float) -> Da
         .groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", "token")))["token"].alias("common"))
     )
     same = F.size(F.filter(F.zip_with(F.split("masked", " "), "common", lambda a, b: a == b), lambda x: x))
-    near = distinct.join(common, "leaf").where(same >= F.ceil(F.col("n") * share - 1e-9)).select("leaf", "line")
-    grouped = own.join(near.withColumn("near", F.lit(True)), ["leaf", "line"], "left")
-    # a template is a leaf's or, for any other line, the line itself
-    name = F.when(F.col("near"), F.col("leaf")).otherwise(F.col("line"))
+    near = base.keep(
+        distinct.join(common, "leaf").where(same >= F.ceil(F.col("n") * share - 1e-9)).select("leaf", "line")
+    )
+    rest = distinct.join(near, ["leaf", "line"], "left_anti")
+    groups = more_templates(rest, share).withColumnRenamed("node", "line")
+    grouped = own.join(near.withColumn("near", F.lit(True)), ["leaf", "line"], "left").join(groups, "line", "left")
+    # a template is a leaf's first, a further one by its least line or, for any other line, the line itself
+    name = F.when(F.col("near"), F.col("leaf")).otherwise(F.coalesce("root", "line"))
     named = base.keep(grouped.select("line", name.alias("name"), "first", "last"))
     recurring = (
         named.groupBy("name").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first <> last")
