@@ -144,6 +144,15 @@ def test_a_leaf_holds_several_templates(spark):
     assert out == {0: 0, 1: 1, 2: 0, 3: 1}
 
 
+def test_short_lines_have_templates(spark):
+    names = ["alice", "bob", "carol", "dave"]
+    forms = ["User logged in from {}", "User ran the job {} here", "now it {} so", "User {} logged in from host"]
+    rows = [(k, "\n".join(f.format(names[k]) for f in forms)) for k in range(4)]
+    out = {r.doc_id: r[OUT] for r in line_dedup.drop_lines(documents(spark, rows)).collect()}
+    assert {i: o.text for i, o in out.items()} == plain_line_dedup(rows, 5)
+    assert [out[k].n_dropped for k in range(4)] == [0, 2, 2, 2]  # lines of 4 tokens are exact, and a leading token tells leaves apart
+
+
 def test_line_stage(spark):
     df = documents(spark, [(1, "one two three\nfour"), (2, "one two three"), (3, "one two three\nfive"), (4, ""), (5, None)])
     out = {r.doc_id: r for r in line_dedup.line_stage(spark, df, "").collect()}

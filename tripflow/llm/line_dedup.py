@@ -2,7 +2,7 @@
 
 A line is cut into tokens at white space, and a token with a digit becomes the
 variable ``<*>``. The tree has a fixed depth: token count, then ``DEPTH`` leading
-tokens. At a leaf of lines with at least ``LEAST`` tokens, the token most common at
+tokens. At a leaf of lines with at least ``SHORTEST`` tokens, the token most common at
 a place (over the distinct lines of the leaf, ties to the token first in order)
 makes the leaf's first template; a line that agrees with it at ``SHARE`` of its
 places or more belongs to the template, whose other places are variable. A leaf
@@ -10,8 +10,8 @@ may hold more templates: of the lines left over, those that agree with each othe
 ``SHARE`` of their places are of one template (see ``more_templates``). Every other
 line is its own template.
 
-``ORACLE`` is the older rule of one template a leaf; results differ from it where
-a leaf holds several.
+``ORACLE`` is the older rule of one template a leaf and none for lines of fewer than
+``LEAST`` tokens; results differ from it where a leaf holds several or shorter ones.
 
 A template recurs if it stands in several documents. It stays in the document
 with the smallest id and is dropped everywhere else.
@@ -42,6 +42,8 @@ from tripflow.llm import base
 from tripflow.llm.components import components
 
 DEPTH, LEAST, SHARE = 3, 10, 0.8
+#: Shortest line of which one place may vary: of 4 tokens 80 % are all 4. LEAST is the floor of ORACLE.
+SHORTEST = 5
 NO_ID = -(1 << 63)
 #: Bits of the map of leaves, 8 MB.
 MOST_BITS = 1 << 26
@@ -215,7 +217,7 @@ def templates(docs: DataFrame, lines: DataFrame, least: int, share: float) -> Da
     return named.select("line", "name").join(recurring.select("name", "first"), "name").select("line", "first")
 
 
-def drop_lines(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
+def drop_lines(docs: DataFrame, least: int = SHORTEST, share: float = SHARE) -> DataFrame:
     """``docs`` with struct column OUT: number of lines, of dropped lines, and the text that stays."""
     lines = base.keep(lines_of(docs))
     gone = (
