@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.common import OUT, clashing, documents, lower_ascii, tables
-from tripflow.llm import base, byte_bpe, components, license_scan, line_dedup, ngram_join, topk
+from tripflow.llm import base, byte_bpe, components, license_scan, license_texts, line_dedup, ngram_join, topk
 
 SF = "/root/testdata/sf0.001"
 
@@ -56,6 +57,30 @@ def test_licences_against_sql_and_cases(spark, tmp_path):
     assert license_scan.scan(df, none).where("license_id is not null or n_notices > 0").count() == 0
 
 
+def test_whole_licences_with_and_without_title(spark):
+    common, rows, want = "/usr/share/common-licenses", [], {}
+    for name, file in (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-3.0", "LGPL-3"),
+                       ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")):
+        with open(f"{license_texts.__file__.rpartition('/')[0]}/licenses/{name}.txt", encoding="utf-8") as f:
+            text = f.read()
+        if os.path.exists(f"{common}/{file}"):
+            with open(f"{common}/{file}", encoding="utf-8") as f:
+                assert f.read() == text
+        lines = [x for x in text.split("\n") if x.strip()]
+        bare = "\n".join(lines[3 if name == "Apache-2.0" else 2 :])
+        terms = text.partition("END OF TERMS AND CONDITIONS")[0]
+        for form in (text, bare, terms, "Copyright 2020 Some One\n\n" + bare.upper().replace("  ", " \t")):
+            want[len(rows)] = name
+            rows.append((len(rows), form))
+    for name in ("ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "MIT"):
+        want[len(rows)] = name
+        rows.append((len(rows), "Copyright (c) 2020, Some One\n\n" + license_texts.TEXTS[name].split("\n", 1)[1]))
+    got = {r.doc_id: r.license_id for r in license_scan.scan(documents(spark, rows)).collect()}
+    assert got == want
+    digests = {r.digest: r.license_id for r in license_scan.scan(documents(spark, [(0, rows[4][1] + " more")])).collect()}
+    assert list(digests.values()) == [None]
+
+
 def test_licences_run_no_python(spark):
     plan = license_scan.op3_license_digests(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

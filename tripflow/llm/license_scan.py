@@ -6,6 +6,8 @@ spellings take one. The SHA-256 of a whole text's form is joined with the digest
 of known licences, and so is that of each line that is not longer than the longest
 known text, for licence notices inside other text.
 
+``ORACLE`` holds the texts of ``known()`` alone, not those of ``whole_texts()``.
+
 Known texts are a parameter. Their table is broadcast if it has at most
 ``SMALL`` rows, which is counted; a larger one is joined by a shuffle on the digest.
 
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm import base
-from tripflow.llm.license_texts import SPELLINGS, known
+from tripflow.llm.license_texts import SPELLINGS, known, whole_texts
 
 #: Rows of known texts up to which they are broadcast.
 SMALL = 10_000
@@ -53,7 +55,7 @@ def scan(df: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     if texts is None:
-        texts = spark.createDataFrame(known(), "license_id string, text string")
+        texts = spark.createDataFrame(known() + whole_texts(), "license_id string, text string")
     table = (
         texts.where("text is not null and license_id is not null")
         .select("license_id", whole(canonical_lines(F.col("text"))).alias("form"))

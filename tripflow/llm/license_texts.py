@@ -1,4 +1,8 @@
-"""Known licence texts and notices. All strings here are fixed values."""
+"""Known licence texts and notices. All strings here and the files in ``licenses`` are fixed values."""
+
+from __future__ import annotations
+
+from pathlib import Path
 
 _AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
 LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
@@ -58,6 +62,16 @@ language governing permissions and limitations under the License.""",
 of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 }
 
+#: Lines of the title of the texts in ``licenses``, without blank lines, and the line after which the terms end.
+FILES = {
+    "Apache-2.0": (3, "END OF TERMS AND CONDITIONS"),
+    "GPL-2.0": (2, "END OF TERMS AND CONDITIONS"),
+    "GPL-3.0": (2, "END OF TERMS AND CONDITIONS"),
+    "LGPL-3.0": (2, None),
+    "MPL-2.0": (2, None),
+    "CC0-1.0": (2, None),
+}
+
 #: Licence names as notices use them.
 NAMES = {
     "MIT": ("the MIT License",),
@@ -100,3 +114,19 @@ def known() -> list[tuple[str, str]]:
     marks = [(name, f"SPDX-License-Identifier: {name}") for name in NAMES]
     lines = [(name, f"{o} {n}.") for name, own in NAMES.items() for n in own for o in OPENINGS]
     return whole + marks + lines
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(licence, text) of whole licences with and without their title, and without what follows their terms."""
+    out = []
+    for name, text in TEXTS.items():
+        if "(" not in name:
+            out.append((name, text.split("\n", 1)[1]))
+    for name, (title, end) in FILES.items():
+        lines = [x for x in Path(__file__).with_name("licenses").joinpath(f"{name}.txt").read_text("utf-8").split("\n") if x.strip()]
+        held = [lines]
+        if end:
+            last = next(k for k, x in enumerate(lines) if x.strip() == end)
+            held += [lines[: last + 1], lines[:last]]
+        out += [(name, "\n".join(x[k:])) for x in held for k in (0, title)]
+    return out
