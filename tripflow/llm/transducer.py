@@ -213,11 +213,11 @@ class Transducer:
         return n
 
     def count_long(self, word: str, at_once: int = 4096) -> int:
-        """Tokens of a long word: chunks run in step, their maps composed by a scan.
+        """Tokens of a long word: chunks run in step from the start state, then joined one after another.
 
-        Every chunk's path is taken from the start state. Entered from another
-        state, a chunk is read again only until the two paths meet, a few
-        characters as a rule; from there on its map is the same.
+        This is no parallel prefix scan: no map from entry to exit states is made.
+        Entered from another state, a chunk is read again only until the two paths
+        meet, a few characters as a rule; where they do not meet, to its end.
         """
         state, total = START, 0
         for a in range(0, len(word), IN_STEP * at_once):
