@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tripflow.functions.shared import keep  # noqa: F401  (used by the operators as base.keep)
+
 #: Name of the struct column that row operators add; input columns of this name are not allowed.
 OUT = "__llm_out"
 
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def struct_of(ddl: str) -> T.StructType:
+    """The type that ``ddl``, struct<...>, names."""
+    return T.DataType.fromDDL(ddl)
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text column, null as empty."""
     return F.coalesce(df[column], F.lit(""))
@@ -72,16 +78,3 @@ def map_texts(
                 )
 
     return df.mapInArrow(run, schema)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset, as in tests, below the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: the lineage is cut, lost executors cost nothing."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,8 +14,11 @@ from tripflow.llm.license_scan import op3_license_digests
 from tripflow.llm.line_dedup import ORACLE as LINE_SQL
 from tripflow.llm.line_dedup import op10_line_templates
 from tripflow.llm.ngram_join import op6_ngram_jaccard_join
+from tripflow.llm.periodic_runs import op11_periodic_runs
 from tripflow.llm.pii import op1_pii_skip_chain
+from tripflow.llm.prefix_trie import op13_rollup_trie
 from tripflow.llm.quality import op5_quality_subword
+from tripflow.llm.sharding import op12_feistel_shards
 from tripflow.llm.token_counts import op7_token_counts
 from tripflow.llm.topk import ORACLE as TOPK_SQL
 from tripflow.llm.topk import op9_topk_uniform_threshold
@@ -33,6 +36,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_topk_uniform_threshold,
         op10_line_templates,
+        op11_periodic_runs,
+        op12_feistel_shards,
+        op13_rollup_trie,
     )
 }
 
