@@ -76,6 +76,63 @@ def test_order_fares_partitions(spark):
     assert len(parts) == 4 and keys == sorted(keys)
 
 
+def test_ordinal_is_the_place_in_the_output(spark, monkeypatch):
+    """A wrong order gives wrong numbers."""
+    from tripflow.operators import fares as fare_operators
+
+    table = catalog.trip_fares(spark, SMALL)
+    rows = fare_operators.number_fares(table, 4).collect()
+    assert [r.ordinal for r in rows] == list(range(1, len(rows) + 1))
+    assert [(r.start_ts, r.end_ts) for r in rows] == sorted((r.start_ts, r.end_ts) for r in rows)
+    monkeypatch.setattr(fare_operators, "FARE_ORDER", ["end_ts", "vehicle_id"])
+    wrong = {(r.start_ts, r.end_ts, r.vehicle_id, r.distance): r.ordinal for r in fare_operators.number_fares(table).collect()}
+    assert any(wrong[r.start_ts, r.end_ts, r.vehicle_id, r.distance] != r.ordinal for r in rows)
+
+
+def test_trip_table_between_the_jobs(spark, raw_path, trip_paths, tmp_path):
+    table = str(tmp_path / "table")
+    jobs.trip_builder(spark, raw_path, table, tz=catalog.HOME_TZ, output_kind=jobs.TABLE)
+    text, typed = str(tmp_path / "text"), str(tmp_path / "typed")
+    jobs.trip_fares(spark, trip_paths["complete", "epoch"], text)
+    jobs.trip_fares(spark, table, typed, input_kind=jobs.TABLE)
+    assert read(spark, text) == read(spark, typed)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    jobs.trip_histogram(spark, trip_paths["complete", "epoch"], a, 0.5, 5.0)
+    jobs.trip_histogram(spark, table, b, 0.5, 5.0, input_kind=jobs.TABLE)
+    assert read(spark, a) == read(spark, b)
+    for bad in (lambda: jobs.trip_builder(spark, raw_path, table, tz="UTC", output_kind="x"),
+                lambda: jobs.trip_histogram(spark, table, str(tmp_path / "c"), 0.5, 5.0, input_kind="x")):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_trip_table_schema_and_clusters(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tripflow.sources.trip_table import read_trip_table, write_trip_table
+
+    path = str(tmp_path / "t")
+    trips = catalog._trips(spark, SMALL)
+    write_trip_table(trips, path)
+    table = read_trip_table(spark, path)
+    assert sorted((r.vehicle_id, r.segments) for r in table.collect()) == sorted((r.vehicle_id, r.segments) for r in trips.collect())
+    per_file = table.select(F.input_file_name().alias("f"), "vehicle_id", "start_ts").collect()
+    for f in {r.f for r in per_file}:
+        own = [(r.vehicle_id, r.start_ts) for r in per_file if r.f == f]
+        assert own == sorted(own)
+    # a further column is left out; a missing one, or one of another type, is refused
+    wide, bad, short = (str(tmp_path / n) for n in ("wide", "bad", "short"))
+    table.withColumn("x", F.lit(1)).write.parquet(wide)
+    assert read_trip_table(spark, wide).columns == table.columns
+    table.withColumn("vehicle_id", F.col("vehicle_id").cast("string")).write.parquet(bad)
+    table.drop("segments").write.parquet(short)
+    for p, word in ((bad, "vehicle_id: bigint expected, string found"), (short, "segments: .* nothing found")):
+        with pytest.raises(ValueError, match=word):
+            read_trip_table(spark, p)
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        write_trip_table(trips, path)
+
+
 def test_histogram_job(spark, trip_paths, tmp_path):
     out = str(tmp_path / "hist")
     jobs.trip_histogram(spark, trip_paths["complete", "epoch"], out, 0.5, 5.0)

@@ -3,7 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tripflow.operators import trips
+from tripflow.operators import survey as surveys
+from tripflow.operators import trip_slices, trips
+from tripflow.operators.bounds import geo_bounds, geo_stats, outlier_filter
+from tripflow.plans.jobs import surveyed_trips
 
 A, B, C, D = (37.61554, -122.38507), (37.61708, -122.38764), (37.62008, -122.39949), (37.63574, -122.40345)
 SCHEMA = (
@@ -85,7 +88,7 @@ def test_hand_cases(spark, split_rows):
         rows += [(v, s, e, p) for s, e, p in case]
         if expected:
             want[v] = expected
-    assert spans(trips.build_trips(segs(spark, rows), split_rows=split_rows)) == want
+    assert spans(trips.build_trips(segs(spark, rows), split_rows=split_rows, least_split=1)) == want
 
 
 def test_equal_start_times_are_ordered_by_end_then_id(spark):
@@ -117,26 +120,98 @@ def test_result_does_not_depend_on_slices_partitions_or_batches(spark):
     rows = fleet(spark)
     want = content(trips.build_trips(rows, split_rows=None, num_partitions=1))
     assert len(want) > 500
-    assert content(trips.build_trips(rows, split_rows=400)) == want
-    assert content(trips.build_trips(rows, split_rows=1500, num_partitions=13)) == want
+    assert content(trips.build_trips(rows, split_rows=400, least_split=1)) == want
+    assert content(trips.build_trips(rows, split_rows=1500, num_partitions=13, least_split=1)) == want
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(key)
     try:
         spark.conf.set(key, "37")
-        assert content(trips.build_trips(rows, split_rows=400, num_partitions=3)) == want
+        assert content(trips.build_trips(rows, split_rows=400, num_partitions=3, least_split=1)) == want
     finally:
         spark.conf.set(key, old)
 
 
+def never_off(df):
+    """The fleet with meters that stay on."""
+    return df.withColumns({"start_status": F.lit("M"), "end_status": F.lit("M")})
+
+
+def test_a_meter_that_never_goes_off(spark, monkeypatch):
+    rows = never_off(fleet(spark))
+    want = content(trips.build_trips(rows, split_rows=None))
+    monkeypatch.setattr(trip_slices, "FAN", 4)
+    built = trips.build_trips(rows, split_rows=150, number=True, least_split=1)
+    assert sorted((r.vehicle_id, [tuple(s) for s in r.segments]) for r in built.collect()) == want
+    numbers = {}
+    for r in sorted(built.collect(), key=lambda r: (r.vehicle_id, r.segments[0].start_ts)):
+        numbers.setdefault(r.vehicle_id, []).append(r.trip_seq)
+    assert all(n == list(range(1, len(n) + 1)) for n in numbers.values())
+
+
+def test_no_task_folds_more_than_a_slice_again(spark):
+    """Heads and tails of a vehicle whose meter never goes off stay in their slices."""
+    rows = never_off(fleet(spark))
+    hot = surveys.hot_vehicles(rows, 500, 1)
+    folded = trips._fold_slices(trips._with_chunks(trips._fold_input(rows), hot), 4)
+    again = folded.where("phase in (2, 3)").groupBy("vehicle_id", "chunk").count()
+    assert again.agg(F.max("count")).first()[0] < 2 * 500
+    assert again.where("vehicle_id = 0").count() > 5
+
+
+def test_each_fold_is_planned_once(spark, monkeypatch):
+    """The first fold is written; what follows reads it, and folds heads by slice once."""
+    kept = []
+    monkeypatch.setattr(trips, "keep", lambda df: kept.append(df) or surveys.keep(df))
+    built = trips.build_trips(fleet(spark), split_rows=400, number=True, least_split=1)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan(k).count("MapInArrow") for k in kept].count(1) == 1
+    assert plan(built).count("MapInArrow") == 0 and plan(built).count("FlatMapGroupsInArrow") == 1
+
+
 def test_hot_vehicle_spreads_over_tasks(spark):
-    rows = trips._fold_input(fleet(spark))
-    # rows bunched in time: half of them start within the first hundredth of it
-    rows = rows.withColumn("start_ts", F.when(F.col("seg_id") % 2 == 0, F.col("start_ts") % 4000).otherwise(F.col("start_ts")))
-    cuts = {r.vehicle_id: r.cuts for r in trips.hot_vehicle_slices(rows, 500).collect()}
-    starts = [r.start_ts for r in rows.where("vehicle_id = 0").collect()]
-    assert len(starts) / 500 - 1 < len(cuts[0]) <= len(starts) / 500 + 1
-    edges = [*cuts[0], 10**9]
-    assert max(sum(a <= s < b for s in starts) for a, b in zip(edges, edges[1:])) < 2 * 500
+    # rows bunched in time: half of them start in a single second
+    rows = fleet(spark)
+    rows = rows.withColumn("start_ts", F.when(F.col("seg_id") % 2 == 0, F.lit(0)).otherwise(F.col("start_ts")))
+    rows = rows.withColumn("end_ts", F.col("start_ts") + 1 + F.col("seg_id") % 50)
+    hot = surveys.hot_vehicles(rows, 500, 1)
+    chunks = trips._with_chunks(trips._fold_input(rows), hot).where("vehicle_id = 0")
+    counts = [r["count"] for r in chunks.groupBy("chunk").count().collect()]
+    assert sum(counts) / 500 - 2 < len(counts) <= sum(counts) / 500 + 2 and max(counts) < 2 * 500
+    want = content(trips.build_trips(rows, split_rows=None))
+    assert content(trips.build_trips(rows, split_rows=500, least_split=1)) == want
+
+
+def test_survey_in_one_pass(spark):
+    """Bounds as by ``geo_bounds``; and input is read twice for trips inside them, not three times."""
+    rows = fleet(spark)
+    known = surveys.survey(rows, 500, 3.0, 1)
+    assert known.hot == surveys.hot_vehicles(rows, 500, 1) and known.hot
+    assert tuple(known.box) == pytest.approx(tuple(geo_bounds(geo_stats(rows), 3.0).first()), rel=1e-12)
+    want = content(trips.build_trips(outlier_filter(rows, 3.0), split_rows=None))
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    counted = rows.mapInArrow(count, rows.schema)
+    built = surveyed_trips(counted, split_rows=500, k=3.0, least_split=1)
+    assert content(built) == want
+    assert read.value == 2 * rows.count()
+    read.value = 0
+    assert len(content(surveyed_trips(counted))) > 500
+    assert read.value == 2 * rows.count()
+
+
+def test_survey_of_nothing(spark):
+    known = surveys.survey(fleet(spark, 0))
+    assert known.hot == [] and tuple(known.box) == (-90.0, 90.0, -180.0, 180.0)
+
+
+def test_small_slices_are_refused(spark):
+    with pytest.raises(ValueError):
+        trips.build_trips(fleet(spark, 10), split_rows=1000)
 
 
 def test_max_trip_length(spark):

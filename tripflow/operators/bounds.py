@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,15 @@ SAMPLE_EVERY = 1000
 DEVIATIONS = 20.0
 
 
+class Box(NamedTuple):
+    """Limits of latitude and longitude, both ends inside."""
+
+    lat_lo: float
+    lat_hi: float
+    lon_lo: float
+    lon_hi: float
+
+
 def systematic_sample(segments: DataFrame, every: int = SAMPLE_EVERY) -> DataFrame:
     """Every ``every``-th segment by ``seg_id``.
 
@@ -82,6 +93,7 @@ def outlier_filter(
     k: float = DEVIATIONS,
     sample_every: int | None = None,
     compat_split_key: Column | None = None,
+    box: Box | None = None,
 ) -> DataFrame:
     """Keep segments whose start and end lie within the bounds.
 
@@ -89,11 +101,15 @@ def outlier_filter(
     takes them from a sample instead, which on small input can be too narrow to
     hold the rows it was not taken from. They reach the scan as one scalar
     subquery, so there is no join. With ``compat_split_key`` the statistics are taken per key and pooled.
+    A ``box`` that is known, as from ``survey``, saves the pass over the segments.
     """
-    stats = geo_stats(segments, sample_every, compat_split_key)
-    if compat_split_key is not None:
-        stats = pooled_geo_stats(stats)
-    box = geo_bounds(stats, k).select(F.struct("*").alias("box")).scalar()
+    if box is not None:
+        box = F.struct(*[F.lit(v).alias(c) for c, v in box._asdict().items()])
+    else:
+        stats = geo_stats(segments, sample_every, compat_split_key)
+        if compat_split_key is not None:
+            stats = pooled_geo_stats(stats)
+        box = geo_bounds(stats, k).select(F.struct("*").alias("box")).scalar()
     inside = lambda axis: (
         F.col(f"start_{axis}").between(box[f"{axis}_lo"], box[f"{axis}_hi"])
         & F.col(f"end_{axis}").between(box[f"{axis}_lo"], box[f"{axis}_hi"])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.functions.numbering import number_rows
 from tripflow.functions.project import select_once
 from tripflow.operators.metrics import ReferencePoint, valid_trips
 
@@ -42,22 +43,16 @@ def fares(
 FARE_ORDER = ["start_ts", "end_ts", "vehicle_id", "distance"]
 
 
-def number_fares(df: DataFrame, seconds: int = 3600) -> DataFrame:
-    """Add ``ordinal``, the fare's place from 1 in the order of ``order_fares``.
+def number_fares(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Fares in the order of ``order_fares``, with ``ordinal``, the place from 1.
 
-    Numbered within ``seconds`` of start time and shifted by the fares of earlier
-    periods, so that only the counts of the periods meet in one task.
+    The place is that of the ordered output: range partitions, the rows of each, and
+    the place inside. The ordered rows are written to the shared folder, so
+    the trips under them are built once.
     """
-    dated = df.withColumn("_period", F.floor(F.col("start_ts") / seconds))
-    earlier = Window.orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
-    before = dated.groupBy("_period").agg(F.count("*").alias("_n")).select(
-        "_period", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    place = F.row_number().over(Window.partitionBy("_period").orderBy(*FARE_ORDER))
-    return (
-        dated.withColumn("_place", place).join(before, "_period")
-        .select(*df.columns, (F.col("_before") + F.col("_place")).alias("ordinal"))
-    )
+    spread = df.repartition("vehicle_id", "start_ts", "end_ts")
+    numbered = number_rows(spread, FARE_ORDER, "ordinal", num_partitions)
+    return numbered.withColumn("ordinal", F.col("ordinal") + 1).orderBy("ordinal")
 
 
 def order_fares(df: DataFrame, num_partitions: int | None = None) -> DataFrame:

@@ -1,22 +1,22 @@
 """Per-task kernel of the trip builder, run by ``mapInArrow``.
 
-Input batches hold rows sorted by (vehicle_id, chunk_start, start_ts, end_ts,
-seg_id). A *run* is one (vehicle_id, chunk_start); it may span batches. Two
-things describe a vehicle at any moment:
+Input batches hold rows sorted by (vehicle_id, chunk, start_ts, end_ts, seg_id). A
+*run* is one (vehicle_id, chunk); it may span batches. Two things describe a
+vehicle at any moment:
 
 ``last``  end time of the segment that opened or extended the current trip, or
           None when the next segment is to be taken as it comes;
 ``trip``  the metered segments collected so far.
 
-A run with a NULL ``chunk_start`` is a vehicle's whole history and starts from
-(None, []). Any other run is a time slice out of the middle of a history, whose
-starting state is not known; the kernel then follows every state it could have
-started from, and treats the run as *settled* once a segment ends the trip in
-all of them. From there to the last trip end in the slice the result is certain.
-The few rows before and after are left over, for a second pass over the
-vehicle's left-over rows alone. That pass sees the certain middle cut out
-between two trip ends, where the state is (None, []) on both sides, so it gives
-exactly the trips the first pass held back.
+A run with a NULL ``chunk`` is a vehicle's whole history and starts from (None, []).
+Any other run is a slice out of the middle of a history, whose starting state is not
+known. What happens to a row depends on ``last`` alone, so a slice is a function from
+the ``last`` at its start to the ``last`` at its end and to what it does to the
+trip that is open at its start; ``trip_slices`` composes these functions. The
+kernel follows all values of ``last`` at once until one is left. From the next segment
+that ends or drops the open trip, everything is certain: trips
+are given out, and at the end the open trip's rows. Only the rows before that point,
+the *head*, are folded once more, slice by slice, when the slice's start is known.
 """
 
 from __future__ import annotations
@@ -38,94 +38,171 @@ MAX_METERED = 3600  # a longer metered segment ends the trip
 
 SEGMENT_FIELDS = ["start_ts", "start_lat", "start_lon", "end_ts", "end_lat", "end_lon"]
 TRIP_COLUMNS = ["vehicle_id", "trip_seq", "segments"]
-ROW_COLUMNS = ["vehicle_id", "chunk_start", "kind", *SEGMENT_FIELDS, "seg_id"]
+ROW_COLUMNS = ["vehicle_id", "chunk", "chunk_start", "kind", *SEGMENT_FIELDS, "seg_id"]
 
+# What a row of the slices' fold is.
+WHOLE_TRIP, CERTAIN_TRIP, HEAD_ROW, TAIL_ROW, FUNCTION = 0, 1, 2, 3, 4
 
-class StartStates:
-    """All values ``last`` may have, for a slice that starts at ``chunk_start``.
+# What happens first to the trip that is open when a stretch of rows begins.
+NOTHING, EMITTED, DROPPED = 0, 1, 2
+# ``last`` None in a function's table, and below every time.
+NO_TIME, LOWEST = -(1 << 63), -(1 << 62)
+# ``last`` stays what it is, in a function's table.
+SAME = NO_TIME + 1
+
+
+def after(kind: int, last: int | None, start: int, end: int) -> tuple[int | None, bool, bool]:
+    """A segment that is taken: the new ``last``; does it end the trip; is it part of the open trip then?"""
+    if kind == METERED:
+        if last is not None and start - last >= SPLIT_GAP:
+            return None, True, True
+        if end - start <= MAX_METERED:
+            return end, False, True
+    return None, True, False
 
-    Before the slice every segment starts earlier than ``chunk_start`` and those
-    that set ``last`` run for at most MAX_METERED, so ``last`` is None or some
-    second below ``chunk_start + MAX_METERED``. The seconds not yet reached stay
-    an interval ``(low, high]``; values set inside the slice are kept one by one
-    in ``known``.
+
+class Stretch:
+    """What a stretch of rows does to the trips: one way through a slice, or a part of several ways.
+
+    ``first`` is what happens first to the trip open at its start, and ``appended``
+    whether rows were added to that trip before; ``open`` and ``count`` tell of what
+    comes later: has the trip open at its end any rows, and how many trips ended.
+    """
+
+    __slots__ = ("first", "appended", "open", "count", "next")
+
+    def __init__(self):
+        self.first, self.appended, self.open, self.count, self.next = NOTHING, False, False, 0, None
+
+    def append(self) -> None:
+        if self.first == NOTHING:
+            self.appended = True
+        else:
+            self.open = True
+
+    def end(self, how: int) -> None:
+        if self.first == NOTHING:
+            self.first = how
+        elif how == EMITTED and self.open:
+            self.count += 1
+        self.open = False
+
+    def effect(self) -> tuple[int, bool, bool, int]:
+        return self.first, self.appended, self.open, self.count
+
+
+def then(a: tuple, b: tuple) -> tuple[int, bool, bool, int]:
+    """The effect of one stretch and of the one behind it."""
+    if a[0] == NOTHING:
+        return (b[0], a[1] or b[1], b[2], b[3])
+    if b[0] == NOTHING:
+        return (a[0], a[1], a[2] or b[1], a[3])
+    return (a[0], a[1], b[2], a[3] + b[3] + (b[0] == EMITTED and (a[2] or b[1])))
+
+
+class StartStates:
+    """All values ``last`` may have in a slice that starts at ``chunk_start``.
+
+    Before the slice every segment starts at ``chunk_start`` at the latest and those
+    that set ``last`` run for at most MAX_METERED, so ``last`` is None or some second
+    up to ``chunk_start + MAX_METERED``. The seconds that no row has reached stay
+    an interval ``(low, high]``. The others are in ``paths``, from the value of
+    ``last`` to the stretch that leads there; ``classes`` are the ways in: the
+    values above a limit, up to the next limit, begin with a stretch.
     """
 
     def __init__(self, chunk_start: int):
-        self.low, self.high = None, chunk_start + MAX_METERED - 1
-        self.known: set[int] = set()
-        self.none = True
-        self.none_is_empty = False  # with last None, is the trip surely empty?
+        self.low, self.high = LOWEST, chunk_start + MAX_METERED
+        start = Stretch()
+        self.paths: dict[int | None, Stretch] = {None: start}
+        self.classes: list[tuple[int, Stretch]] = [(NO_TIME, start)]
+
+    def one(self) -> bool:
+        return self.low >= self.high and len(self.paths) == 1
 
-    def step(self, kind: int, start: int, end: int) -> tuple[bool, bool]:
-        """Apply one row; returns (row had an effect, run is now settled)."""
+    def step(self, kind: int, start: int, end: int) -> bool:
+        """Apply one row; returns whether it had an effect."""
         if kind == METER_ON:
-            if not self.none:
-                return False, False
-            self.none = False
-            self.known.add(end)
-            return True, False
-
-        # Values at or below `start` accept the row, later ones skip it.
-        ends_trip = kind == METER_OFF or end - start > MAX_METERED
+            if None not in self.paths:
+                return False
+            stretch = self.paths.pop(None)
+            stretch.end(DROPPED)
+            self._arrive(end, [stretch])
+            return True
+        taken = [(v, self.paths.pop(v)) for v in [v for v in self.paths if v is None or v <= start]]
         reach = min(start, self.high)
-        taken = {v for v in self.known if v <= start}
-        from_interval = self.low is None or reach > self.low
-        if not (taken or from_interval):
-            if not self.none or (ends_trip and self.none_is_empty):
-                return False, False
-        gap_from = start - SPLIT_GAP
-        splits = kind == METERED and (
-            any(v <= gap_from for v in taken)
-            or (from_interval and (self.low is None or self.low < gap_from))
-        )
-        joins = any(v > gap_from for v in taken) or (from_interval and reach > gap_from)
-        if from_interval:
-            self.low = reach
-        self.known -= taken
-
-        if not ends_trip:
-            if joins or self.none:
-                self.known.add(end)
-            self.none = splits
-            self.none_is_empty = False
-            return True, False
-        # The trip ends in every state that accepts the row, unless a pause
-        # makes this long segment the first of a new trip.
-        self.none = True
-        self.none_is_empty = not splits
-        all_accept = not self.known and self.low is not None and self.low >= self.high
-        return True, all_accept and not splits
+        for low, high in ((self.low, min(reach, start - SPLIT_GAP)), (max(self.low, start - SPLIT_GAP), reach)):
+            if low < high:
+                taken.append((high, Stretch()))
+                self.classes.append((low, taken[-1][1]))
+        self.low = max(self.low, reach)
+        to: dict[int | None, list[Stretch]] = {}
+        for last, stretch in taken:
+            new, ends, part = after(kind, last, start, end)
+            if ends:
+                stretch.end(EMITTED)
+            if part:
+                stretch.append()
+            to.setdefault(new, []).append(stretch)
+        for new, stretches in to.items():
+            self._arrive(new, stretches)
+        return bool(taken)
+
+    def _arrive(self, last: int | None, stretches: list[Stretch]) -> None:
+        if last in self.paths:
+            stretches = [*stretches, self.paths[last]]
+        to = stretches[0]
+        if len(stretches) > 1:
+            to = Stretch()
+            for s in stretches:
+                s.next = to
+        self.paths[last] = to
+
+    def table(self, paths: dict[int | None, Stretch]) -> np.ndarray:
+        """The slice as a function: rows (limit, last at the end, *effect), by limit.
+
+        ``paths`` are the stretches that the slice's end has reached.
+        """
+        known = {id(s): (NO_TIME if last is None else last, s.effect()) for last, s in paths.items()}
+        rows = []
+        for limit, stretch in self.classes:
+            way = []
+            while id(stretch) not in known:
+                way.append(stretch)
+                stretch = stretch.next
+            for s in reversed(way):
+                last, effect = known[id(s.next)]
+                known[id(s)] = (last, then(s.effect(), effect))
+                stretch = s
+            last, effect = known[id(stretch)]
+            rows.append((limit, last, *map(int, effect)))
+        if self.low < self.high:  # values that no row has reached
+            rows.append((self.low, SAME, NOTHING, 0, 0, 0))
+        rows.sort()
+        out = [r for k, r in enumerate(rows) if k < 2 or r[1:] != rows[k - 1][1:]]
+        return np.array(out, dtype=np.int64).reshape(-1, 6)
 
 
 class Run:
-    """State of one (vehicle, slice) while its rows stream by."""
+    """State of one vehicle, or of one slice of it, while its rows stream by."""
 
-    def __init__(self, chunk_start: int | None):
-        self.whole = chunk_start is None
-        self.states = None if self.whole else StartStates(chunk_start)
+    def __init__(self, chunk: int | None, chunk_start: int):
+        self.chunk = chunk
         self.last: int | None = None
         self.trip: list[int] = []
-        self.ready: list[list[int]] = []  # trips waiting for a certain trip end
-        self.loose: list[int] = []  # rows since the last certain trip end
-        self.count = 0  # trips of a whole history so far
+        self.count = 0  # trips that are certain so far
+        # of a slice but the first: all states, until one is left and its open trip has ended
+        self.states = StartStates(chunk_start) if chunk else None
+        self.stretch: Stretch | None = None
+        self.certain = not chunk
 
-    def feed(self, kinds, starts, ends, lo, hi, base, trips, leftovers):
+    def feed(self, kinds, starts, ends, lo, hi, base, trips, heads):
         """Process rows lo..hi of the batch; row i is kept as number base + i."""
         i = lo
-        while i < hi and self.states is not None:
-            touched, settled = self.states.step(kinds[i], starts[i], ends[i])
-            if touched:
-                self.loose.append(base + i)
-            if settled:
-                self.states = None
-                leftovers.extend(self.loose)
-                self.loose = []
-            i += 1
-
+        if not self.certain:
+            i = self._feed_head(kinds, starts, ends, lo, hi, base, heads)
         last, trip = self.last, self.trip
-        slice_ = not self.whole
-        done = self.ready if slice_ else trips
+        before = len(trips)
         while i < hi:
             start = starts[i]
             if last is not None and start < last:
@@ -134,38 +211,76 @@ class Run:
                 i = bisect_left(starts, last, i + 1, hi)
                 continue
             kind = kinds[i]
-            ended = False
             if kind == METER_ON:
-                if last is not None:
-                    i += 1
-                    continue
-                trip, last = [], ends[i]
+                if last is None:
+                    trip, last = [], ends[i]
             elif kind == METERED and last is not None and start - last >= SPLIT_GAP:
                 if trip:
-                    done.append(trip)
+                    trips.append(trip)
                 trip, last = [base + i], None
             elif kind == METERED and ends[i] - start <= MAX_METERED:
                 trip.append(base + i)
                 last = ends[i]
             else:
                 if trip:
-                    done.append(trip)
+                    trips.append(trip)
                 trip, last = [], None
-                ended = True
-            if slice_:
-                if ended:
-                    trips.extend(self.ready)
-                    self.ready.clear()
-                    self.loose = []
-                else:
-                    self.loose.append(base + i)
             i += 1
         self.last, self.trip = last, trip
+        self.count += len(trips) - before
 
-    def finish(self, leftovers):
-        """End of the run: a whole history drops its open trip."""
-        if not self.whole:
-            leftovers.extend(self.loose)
+    def _feed_head(self, kinds, starts, ends, lo, hi, base, heads) -> int:
+        """The rows of a slice up to the one that makes all certain; returns the next."""
+        i = lo
+        while i < hi and self.stretch is None:
+            if self.states.step(kinds[i], starts[i], ends[i]):
+                heads.append(base + i)
+            if self.states.one():
+                (self.last, self.stretch), = self.states.paths.items()
+            i += 1
+        while i < hi:
+            kind, start, end, last = kinds[i], starts[i], ends[i], self.last
+            i += 1
+            if last is not None and (start < last or kind == METER_ON):
+                continue
+            heads.append(base + i - 1)
+            if kind == METER_ON:
+                self.last, ends_trip, part = end, True, False
+                self.stretch.end(DROPPED)
+            else:
+                self.last, ends_trip, part = after(kind, last, start, end)
+                if ends_trip:
+                    self.stretch.end(EMITTED)
+                if part:
+                    self.stretch.append()
+            if ends_trip:
+                self.certain, self.trip = True, [base + i - 1] if part else []
+                return i
+        return i
+
+    def function(self) -> np.ndarray:
+        """A slice's function, at its end."""
+        if not self.chunk:  # the first slice starts from (None, []), like a whole vehicle
+            last = NO_TIME if self.last is None else self.last
+            return np.array([[NO_TIME, last, DROPPED, 0, int(bool(self.trip)), self.count]], dtype=np.int64)
+        if self.stretch is None:
+            return self.states.table(self.states.paths)
+        if self.certain:
+            self.stretch.open = bool(self.trip)
+            self.stretch.count += self.count
+        return self.states.table({self.last: self.stretch})
+
+
+class Folded:
+    """What a batch finishes: trips, with their numbers from 1 in the run, head and tail rows, all as places in ``rows``, and functions."""
+
+    def __init__(self):
+        self.rows: pa.RecordBatch | None = None
+        self.trips: list[list[int]] = []
+        self.numbers: list[int] = []
+        self.heads: list[int] = []
+        self.tails: list[int] = []
+        self.functions: list[tuple] = []
 
 
 class Folder:
@@ -183,48 +298,45 @@ class Folder:
         self.run: Run | None = None
         self.key: tuple | None = None
 
-    def push(self, batch: pa.RecordBatch) -> tuple[pa.RecordBatch | None, list[list[int]], list[int | None], list[int]]:
-        """Returns rows, and the finished trips and left-over rows as indices into them.
-
-        Beside the trips stand their numbers, 1, 2, ... in a whole history and
-        None in a slice.
-        """
+    def push(self, batch: pa.RecordBatch) -> Folded:
+        """Folds one more batch; gives what is finished."""
+        out = Folded()
         trips: list[list[int]] = []
-        numbers: list[int | None] = []
-        leftovers: list[int] = []
         base = self.next
         self.next += batch.num_rows
         kinds, starts, ends = (
             batch.column(c).to_numpy().tolist() for c in ("kind", "start_ts", "end_ts")
         )
         for lo, hi in _run_bounds(batch):
-            key = (batch.column("vehicle_id")[lo].as_py(), batch.column("chunk_start")[lo].as_py())
+            key = (batch.column("vehicle_id")[lo].as_py(), batch.column("chunk")[lo].as_py())
             if key != self.key:
-                if self.run is not None:
-                    self.run.finish(leftovers)
-                self.run, self.key = Run(key[1]), key
-            self.run.feed(kinds, starts, ends, lo, hi, base, trips, leftovers)
-            new = len(trips) - len(numbers)
-            if self.run.whole:
-                numbers.extend(range(self.run.count + 1, self.run.count + new + 1))
-                self.run.count += new
-            else:
-                numbers.extend([None] * new)
+                self._finish(out)
+                self.run, self.key = Run(key[1], batch.column("chunk_start")[lo].as_py()), key
+            before = self.run.count
+            self.run.feed(kinds, starts, ends, lo, hi, base, trips, out.heads)
+            out.numbers.extend(range(before + 1, self.run.count + 1))
         self.parts.append((np.arange(base, self.next), batch))
-        rows, place = self._rows([i for trip in trips for i in trip] + leftovers)
-        cuts = np.cumsum([len(trip) for trip in trips]).tolist()
-        trips = [place[a:b] for a, b in zip([0, *cuts], cuts)]
-        leftovers = place[cuts[-1] if cuts else 0 :]
+        wanted = [i for trip in trips for i in trip]
+        out.rows, place = self._rows(wanted + out.heads + out.tails)
+        cuts = np.cumsum([0, *(len(trip) for trip in trips)]).tolist()
+        out.trips = [place[a:b] for a, b in zip(cuts, cuts[1:])]
+        out.heads, out.tails = place[cuts[-1] : cuts[-1] + len(out.heads)], place[cuts[-1] + len(out.heads) :]
         self._hold(base, batch)
-        return rows, trips, numbers, leftovers
-
-    def close(self) -> pa.RecordBatch | None:
-        """End of input: the last run's left-over rows."""
-        leftovers: list[int] = []
-        if self.run is not None:
-            self.run.finish(leftovers)
-        rows, place = self._rows(leftovers)
-        return rows.take(pa.array(place, pa.int64())) if leftovers else None
+        return out
+
+    def close(self) -> Folded:
+        """End of input: what the last run leaves."""
+        out = Folded()
+        self._finish(out)
+        out.rows, out.tails = self._rows(out.tails)
+        return out
+
+    def _finish(self, out: Folded) -> None:
+        """The run is over: a whole history drops its open trip, a slice gives it out, and its function."""
+        if self.run is not None and self.run.chunk is not None:
+            if self.run.certain:
+                out.tails.extend(self.run.trip)
+            out.functions.append((*self.key, self.run.function().tobytes(), self.run.certain, self.run.count))
 
     def _rows(self, wanted: list[int]) -> tuple[pa.RecordBatch | None, list[int]]:
         """Rows that contain the numbered ones, and where these are."""
@@ -238,14 +350,11 @@ class Folder:
     def _hold(self, base: int, batch: pa.RecordBatch) -> None:
         """Keep what is open of the batch, numbered from ``base``, and the parts still needed."""
         self.parts.pop()
-        oldest, ids = self.next, set()
-        for part in (self.run.trip, self.run.loose, *self.run.ready):
-            if part:  # each ascends
-                oldest = min(oldest, part[0])
-                ids.update(part[bisect_left(part, base) :])
+        open_ = self.run.trip  # ascends
+        oldest = open_[0] if open_ else self.next
         self.parts = [part for part in self.parts if part[0][-1] >= oldest]
-        if ids:
-            own = np.array(sorted(ids))
+        own = np.array(open_[bisect_left(open_, base) :], dtype=np.int64)
+        if len(own):
             self.parts.append((own, batch.take(pa.array(own - base, pa.int64()))))
 
 
@@ -257,73 +366,68 @@ def fold_vehicles(batches: Batches) -> Batches:
     folder = Folder()
     for batch in batches:
         if batch.num_rows:
-            rows, trips, numbers, _ = folder.push(batch)
-            if trips:
-                yield _trip_batch(rows, trips, numbers).select(TRIP_COLUMNS)
+            out = folder.push(batch)
+            if out.trips:
+                yield _trip_batch(out).select(TRIP_COLUMNS)
 
 
 def fold_slices(batches: Batches) -> Batches:
-    """Rows of time slices and of whole vehicles -> certain trips, and left-over rows without a slice."""
+    """Rows of slices and of whole vehicles -> trips, and of slices head and tail rows and their functions."""
     folder = Folder()
     for batch in batches:
         if batch.num_rows:
-            rows, trips, numbers, leftovers = folder.push(batch)
-            if trips:
-                yield _trip_batch(rows, trips, numbers)
-            if leftovers:
-                yield _loose_batch(rows.take(pa.array(leftovers, pa.int64())))
-    rest = folder.close()
-    if rest is not None:
-        yield _loose_batch(rest)
-
-
-def finish_slices(batches: Batches) -> Batches:
-    """Output of ``fold_slices``, sorted again -> all trips."""
-    folder = Folder()
-    for batch in batches:
-        done = batch.column("segments").is_valid()
-        finished = batch.filter(done)
-        if finished.num_rows:
-            yield finished.select(TRIP_COLUMNS)
-        loose = batch.filter(pc.invert(done))
-        if loose.num_rows:
-            rows, trips, _, _ = folder.push(loose.select(ROW_COLUMNS))
-            if trips:
-                # these are some of the vehicle's trips only, so their numbers are not known here
-                yield _trip_batch(rows, trips, [None] * len(trips)).select(TRIP_COLUMNS)
+            yield from _slice_batches(folder.push(batch))
+    yield from _slice_batches(folder.close())
+
+
+def _slice_batches(out: Folded) -> Batches:
+    if out.trips:
+        yield _trip_batch(out)
+    for phase, rows in ((HEAD_ROW, out.heads), (TAIL_ROW, out.tails)):
+        if rows:
+            yield _with_columns(out.rows.take(pa.array(rows, pa.int64())), phase)
+    if out.functions:
+        vehicle, chunk, function, certain, count = zip(*out.functions)
+        rows = pa.RecordBatch.from_pydict({"vehicle_id": pa.array(vehicle, pa.int64()), "chunk": pa.array(chunk, pa.int32())})
+        yield _with_columns(rows, FUNCTION, function=pa.array(function, pa.binary()), certain=pa.array(certain, pa.bool_()), trips=pa.array(count, pa.int64()))
 
 
 def _run_bounds(batch: pa.RecordBatch) -> list[tuple[int, int]]:
     vehicle = batch.column("vehicle_id").to_numpy()
-    chunk = batch.column("chunk_start").fill_null(np.iinfo(np.int64).min).to_numpy()
+    chunk = batch.column("chunk").fill_null(-1).to_numpy()
     new = (vehicle[1:] != vehicle[:-1]) | (chunk[1:] != chunk[:-1])
     edges = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
     return list(zip(edges[:-1], edges[1:]))
 
 
-def _trip_batch(rows: pa.RecordBatch, trips: list[list[int]], numbers: list[int | None]) -> pa.RecordBatch:
-    """One row per trip; of the row columns only vehicle and slice are set."""
+def trip_arrays(rows: pa.RecordBatch, trips: list[list[int]]) -> pa.ListArray:
+    """The segments of trips, given as rows."""
     offsets = np.zeros(len(trips) + 1, np.int32)
     np.cumsum([len(trip) for trip in trips], out=offsets[1:])
     picked = rows.take(pa.array([i for trip in trips for i in trip], pa.int64()))
-    segments = pa.StructArray.from_arrays(
-        [picked.column(c) for c in SEGMENT_FIELDS], names=SEGMENT_FIELDS
-    )
-    first = picked.take(pa.array(offsets[:-1]))
-    columns = {
-        c: first.column(c) if c in ("vehicle_id", "chunk_start") else pa.nulls(len(trips), rows.schema.field(c).type)
-        for c in ROW_COLUMNS
-    }
-    columns["trip_seq"] = pa.array(numbers, pa.int32())
-    columns["segments"] = pa.ListArray.from_arrays(pa.array(offsets), segments)
-    return pa.RecordBatch.from_pydict(columns)
-
-
-def _loose_batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-    """Left-over rows, no longer in a slice and without segments."""
-    columns = {c: rows.column(c) for c in ROW_COLUMNS}
-    columns["chunk_start"] = pa.nulls(rows.num_rows, pa.int64())
-    columns["trip_seq"] = pa.nulls(rows.num_rows, pa.int32())
-    segment = pa.struct([(c, rows.schema.field(c).type) for c in SEGMENT_FIELDS])
-    columns["segments"] = pa.nulls(rows.num_rows, pa.list_(segment))
-    return pa.RecordBatch.from_pydict(columns)
+    segments = pa.StructArray.from_arrays([picked.column(c) for c in SEGMENT_FIELDS], names=SEGMENT_FIELDS)
+    return pa.ListArray.from_arrays(pa.array(offsets), segments)
+
+
+def _trip_batch(out: Folded) -> pa.RecordBatch:
+    """One row per trip; of the row columns only vehicle and chunk are set."""
+    first = out.rows.select(["vehicle_id", "chunk"]).take(pa.array([trip[0] for trip in out.trips], pa.int64()))
+    phase = pc.if_else(first.column("chunk").is_null(), pa.scalar(WHOLE_TRIP, pa.int8()), pa.scalar(CERTAIN_TRIP, pa.int8()))
+    return _with_columns(first, phase, trip_seq=pa.array(out.numbers, pa.int32()), segments=trip_arrays(out.rows, out.trips))
+
+
+SEGMENT_TYPE = pa.struct([(c, pa.int64() if c.endswith("_ts") else pa.float64()) for c in SEGMENT_FIELDS])
+SLICE_TYPES = {
+    "vehicle_id": pa.int64(), "chunk": pa.int32(), "phase": pa.int8(), "kind": pa.int8(),
+    **{c: SEGMENT_TYPE.field(c).type for c in SEGMENT_FIELDS}, "seg_id": pa.int64(),
+    "trip_seq": pa.int32(), "segments": pa.list_(SEGMENT_TYPE),
+    "function": pa.binary(), "certain": pa.bool_(), "trips": pa.int64(),
+}
+
+
+def _with_columns(rows: pa.RecordBatch, phase, **columns: pa.Array) -> pa.RecordBatch:
+    """The columns of SLICE_TYPES, null where neither ``rows`` nor ``columns`` has them."""
+    n = rows.num_rows
+    held = {c: rows.column(c) for c in rows.schema.names} | columns
+    held["phase"] = pa.repeat(pa.scalar(phase, pa.int8()), n) if isinstance(phase, int) else phase
+    return pa.RecordBatch.from_pydict({c: held[c] if c in held else pa.nulls(n, t) for c, t in SLICE_TYPES.items()})

@@ -6,27 +6,29 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.operators import trip_fold
+from tripflow.functions.shared import keep
+from tripflow.operators import trip_fold, trip_slices
+from tripflow.operators.survey import CUT, LEAST_SPLIT, SPLIT_ROWS, VehicleCuts, entering_rows, hot_vehicles
 
-# The only module that runs inside Python workers. It travels with the task, so
+# The only modules that run inside Python workers. They travel with the task, so
 # the package need not be installed on every node.
 cloudpickle.register_pickle_by_value(trip_fold)
+cloudpickle.register_pickle_by_value(trip_slices)
 
 SEGMENT_STRUCT = (
     "struct<start_ts:bigint,start_lat:double,start_lon:double,"
     "end_ts:bigint,end_lat:double,end_lon:double>"
 )
 TRIP_SCHEMA = f"vehicle_id bigint, segments array<{SEGMENT_STRUCT}>"
-ROW_SCHEMA = (
-    "vehicle_id bigint, chunk_start bigint, kind tinyint, start_ts bigint, start_lat double, "
-    "start_lon double, end_ts bigint, end_lat double, end_lon double, seg_id bigint"
-)
 FOLDED_SCHEMA = f"vehicle_id bigint, trip_seq int, segments array<{SEGMENT_STRUCT}>"
-SLICE_SCHEMA = f"{ROW_SCHEMA}, trip_seq int, segments array<{SEGMENT_STRUCT}>"
-FOLD_ORDER = ["vehicle_id", "chunk_start", "start_ts", "end_ts", "seg_id"]
+SLICE_SCHEMA = (
+    "vehicle_id bigint, chunk int, phase tinyint, kind tinyint, start_ts bigint, start_lat double, start_lon double, "
+    "end_ts bigint, end_lat double, end_lon double, seg_id bigint, "
+    f"trip_seq int, segments array<{SEGMENT_STRUCT}>, function binary, certain boolean, trips bigint"
+)
+FOLD_ORDER = ["vehicle_id", "chunk", "start_ts", "end_ts", "seg_id"]
 
 DAY = 86_400
-FIRST_CHUNK = -(1 << 60)  # of rows before a cut vehicle's first cut
 
 
 def first_segment() -> Column:
@@ -41,9 +43,10 @@ def build_trips(
     segments: DataFrame,
     max_trip_length: int | None = None,
     num_partitions: int | None = None,
-    split_rows: int | None = 5_000_000,
-    hot: list | None = None,
+    split_rows: int | None = SPLIT_ROWS,
+    hot: list[VehicleCuts] | None = None,
     number: bool = False,
+    least_split: int = LEAST_SPLIT,
 ) -> DataFrame:
     """Clean segments -> ``trips(vehicle_id, segments)``, one row per trip.
 
@@ -51,37 +54,33 @@ def build_trips(
     a stream that keeps no more than the open trip. Accepted segments of a trip
     do not overlap, so a trip has at most about one segment per second.
 
-    A vehicle with more than ``split_rows`` rows is cut into time slices that
-    are folded in parallel, in one stream with the vehicles that are not cut;
-    only the rows around the cuts go through a second, per-vehicle fold (see
-    ``trip_fold``). Which vehicles are cut, and where, never changes the result.
-    The vehicles are counted first, in a pass over a hashed share of the rows,
-    unless ``hot`` has them (see ``survey``) or ``split_rows`` is None.
+    A vehicle with more than ``split_rows`` rows is cut into slices of about that
+    many, anywhere in its order of start, end and id. They are folded in parallel,
+    in one stream with the vehicles that are not cut, and give functions of
+    their start; once these are composed (``trip_slices``), each slice's head is
+    folded from its real start, again in parallel. No task reads the rows of more than
+    one slice, whether or not the meter ever goes off. Which vehicles are cut, and
+    where, never changes the result. The vehicles are counted first, in a pass
+    over the rows, unless ``hot`` has them (from ``survey``) or ``split_rows`` is
+    None. With a hot vehicle the first fold's result is written to the shared folder.
 
     ``num_partitions`` fixes the number of shuffle partitions; left out, AQE
     sizes them. Trips longer than ``max_trip_length`` seconds are dropped when
-    it is positive. ``number=True`` adds ``trip_seq``, counted before that: it
-    comes out of the fold, but for the vehicles that are cut.
+    it is positive. ``number=True`` adds ``trip_seq``, counted before that. A
+    ``split_rows`` below ``least_split`` is refused: the cuts come to the driver.
     """
-    rows = _fold_input(segments)
     if split_rows is None:
         hot = []
     elif hot is None:
-        hot = hot_vehicle_slices(rows, split_rows).collect()  # see there for the bound
-    if not hot:
-        trips = _fold_vehicles(rows.withColumn("chunk_start", F.lit(None).cast("bigint")), num_partitions)
-        numbered = trips
+        hot = hot_vehicles(segments, split_rows, least_split)
+    rows = _fold_input(segments)
+    if hot:
+        trips = _join_slices(keep(_fold_slices(_with_chunks(rows, hot), num_partitions)))
     else:
-        cuts = segments.sparkSession.createDataFrame([tuple(r) for r in hot], "vehicle_id bigint, cuts array<bigint>")
-        before = F.filter("cuts", lambda c: c <= F.col("start_ts"))
-        # NULL for vehicles that are not cut
-        chunk = F.when(F.col("cuts").isNotNull(), F.coalesce(F.try_element_at(before, F.lit(-1)), F.lit(FIRST_CHUNK)))
-        trips = _fold_slices(rows.join(cuts, "vehicle_id", "left").withColumn("chunk_start", chunk), num_partitions)
-        numbered = None
-        if number:
-            done, rest = trips.where("trip_seq is not null"), trips.where("trip_seq is null").drop("trip_seq")
-            numbered = done.unionByName(number_trips(rest))
-    trips = numbered if number else trips.drop("trip_seq")
+        whole = rows.withColumns({"chunk": F.lit(None).cast("int"), "chunk_start": F.lit(None).cast("bigint")})
+        trips = _sorted_runs(whole, num_partitions).mapInArrow(trip_fold.fold_vehicles, FOLDED_SCHEMA)
+    if not number:
+        trips = trips.drop("trip_seq")
     if max_trip_length is not None and max_trip_length > 0:
         trips = limit_trip_length(trips, max_trip_length)
     return trips
@@ -92,79 +91,100 @@ def limit_trip_length(trips: DataFrame, seconds: int) -> DataFrame:
     return trips.where(last_segment()["end_ts"] - first_segment()["start_ts"] <= seconds)
 
 
-def hot_vehicle_slices(rows: DataFrame, split_rows: int) -> DataFrame:
-    """Vehicles with more than about ``split_rows`` rows, with the times to cut them at.
+def _fold_input(segments: DataFrame) -> DataFrame:
+    """The columns the fold reads, without rows that cannot change anything.
 
-    Cuts follow the rows, not the clock: rows are counted by minute of their
-    start, and a new slice begins after every ``split_rows`` of them. So there are
-    at most ``total rows / split_rows`` vehicles and twice as many cuts: with the
-    default a trillion rows give about 200,000 of each. Row numbers are estimated
-    from a hashed share of the rows; they only decide what runs in parallel.
+    Positions matter only for metered segments; blank ones compress away in the shuffle.
     """
-    every = max(1, min(64, split_rows // 10_000))
-    seen = rows.where(F.pmod(F.xxhash64("seg_id"), F.lit(every)) == 0)
-    minutes = seen.groupBy("vehicle_id", F.floor(F.col("start_ts") / 60).alias("minute")).agg((F.count("*") * every).alias("n"))
-    before = Window.partitionBy("vehicle_id").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        minutes.select(
-            "vehicle_id", "minute",
-            F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / split_rows).alias("slice"),
-            F.sum("n").over(Window.partitionBy("vehicle_id")).alias("rows"),
-        )
-        .where(F.col("rows") > split_rows)
-        .groupBy("vehicle_id", "slice").agg((F.min("minute") * 60).alias("cut"))
-        .groupBy("vehicle_id").agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
+    metered = F.col("kind") == trip_fold.METERED
+    position = lambda c: F.when(metered, F.col(c)).alias(c)
+    return entering_rows(segments).select(
+        "vehicle_id", "kind", "start_ts", position("start_lat"), position("start_lon"),
+        "end_ts", position("end_lat"), position("end_lon"), "seg_id",
     )
 
 
-def _fold_input(segments: DataFrame) -> DataFrame:
-    """The columns the fold reads, without rows that cannot change anything.
+def _with_chunks(rows: DataFrame, hot: list[VehicleCuts]) -> DataFrame:
+    """Add ``chunk``, the number of cuts up to the row, and ``chunk_start``; NULL for vehicles that are not cut.
 
-    Segments that take no time are left out as well: that a segment lasts at
-    least a second is what bounds the size of a trip. Positions matter only for
-    metered segments; blank ones compress away in the shuffle.
+    The cuts of a vehicle lie in groups of about the root of their number, so that a
+    row is compared with one cut of each group, and with those of one group.
     """
-    status = F.concat("start_status", "end_status")
-    kind = (
-        F.when(status == "EM", trip_fold.METER_ON)
-        .when(status == "MM", trip_fold.METERED)
-        .when(status == "ME", trip_fold.METER_OFF)
-        .cast("tinyint")
+    cuts = rows.sparkSession.createDataFrame(
+        [v.grouped() for v in hot], f"vehicle_id bigint, _size int, _groups array<array<{CUT}>>"
     )
-    seconds = F.col("end_ts") - F.col("start_ts")
-    metered = F.col("kind") == trip_fold.METERED
-    position = lambda c: F.when(metered, F.col(c)).alias(c)
-    return (
-        segments.withColumn("kind", kind)
-        .where(F.col("vehicle_id").isNotNull() & F.col("kind").isNotNull() & (seconds > 0))
-        .where((F.col("kind") != trip_fold.METER_ON) | (seconds <= trip_fold.MAX_METER_ON))
-        .select(
-            "vehicle_id", "kind", "start_ts", position("start_lat"), position("start_lon"),
-            "end_ts", position("end_lat"), position("end_lon"), "seg_id",
-        )
+    here = F.struct("start_ts", "end_ts", "seg_id")
+    groups = F.size(F.filter("_groups", lambda g: F.get(g, 0) <= here))
+    marked = rows.join(cuts, "vehicle_id", "left").withColumn("_group", groups - 1)
+    marked = marked.withColumn("_own", F.filter(F.get("_groups", "_group"), lambda c: c <= here))
+    own = F.col("_own")
+    return marked.select(
+        *rows.columns,
+        F.when(
+            F.col("_groups").isNotNull(), F.coalesce(F.col("_group") * F.col("_size") + F.size(own), F.lit(0))
+        ).cast("int").alias("chunk"),
+        F.try_element_at(own, F.lit(-1))["start_ts"].alias("chunk_start"),
     )
 
 
 def _sorted_runs(rows: DataFrame, num_partitions: int | None) -> DataFrame:
-    keys = ["vehicle_id", "chunk_start"]
+    rows, keys = rows.select(*trip_fold.ROW_COLUMNS), ["vehicle_id", "chunk"]
     parts = rows.repartition(num_partitions, *keys) if num_partitions else rows.repartition(*keys)
     return parts.sortWithinPartitions(*FOLD_ORDER)
 
 
-def _fold_vehicles(rows: DataFrame, num_partitions: int | None) -> DataFrame:
-    rows = rows.select(*trip_fold.ROW_COLUMNS)
-    return _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_vehicles, FOLDED_SCHEMA)
+def _fold_slices(rows: DataFrame, num_partitions: int | None) -> DataFrame:
+    return _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_slices, SLICE_SCHEMA)
 
 
-def _fold_slices(rows: DataFrame, num_partitions: int | None) -> DataFrame:
-    """Slices and whole vehicles in parallel, then each cut vehicle's left-over rows.
+def _join_slices(folded: DataFrame) -> DataFrame:
+    """Output of ``_fold_slices``, in files -> all trips, numbered.
+
+    Certain trips are only numbered, by their slice's start. There is one start
+    for each slice, so their number is bounded by rows / ``split_rows`` and they are
+    broadcast.
+    """
+    functions = folded.where(F.col("phase") == trip_fold.FUNCTION).select(
+        "vehicle_id", F.col("chunk").alias("place"), "function", "certain", "trips"
+    )
+    starts = F.broadcast(keep(_starts(functions)).withColumnRenamed("place", "chunk"))
+    done = ["vehicle_id", "trip_seq", "segments"]
+    whole = folded.where(F.col("phase") == trip_fold.WHOLE_TRIP).select(*done)
+    certain = (
+        folded.where(F.col("phase") == trip_fold.CERTAIN_TRIP).select(*done, "chunk")
+        .join(starts.select("vehicle_id", "chunk", "shift"), ["vehicle_id", "chunk"])
+        .withColumn("trip_seq", (F.col("trip_seq") + F.col("shift")).cast("int")).select(*done)
+    )
+    raw = folded.where(F.col("phase").isin(trip_fold.HEAD_ROW, trip_fold.TAIL_ROW)).select(
+        "vehicle_id", "chunk", "phase", "kind", *trip_fold.SEGMENT_FIELDS, "seg_id"
+    )
+    pieces = raw.join(starts, ["vehicle_id", "chunk"]).groupBy("vehicle_id", "chunk").applyInArrow(trip_slices.finish_slice, trip_slices.FINISHED_SCHEMA)
+    ordered = F.sort_array(F.collect_list(F.struct("part", "segments")))
+    joined = pieces.groupBy("vehicle_id", "trip_seq").agg(
+        F.flatten(F.transform(ordered, lambda p: p["segments"])).cast(f"array<{SEGMENT_STRUCT}>").alias("segments")
+    )
+    return whole.unionByName(certain).unionByName(joined)
+
 
-    Certain trips pass through the second shuffle under their slice's key, so
-    they stay spread out; only left-over rows gather by vehicle.
+def _starts(functions: DataFrame) -> DataFrame:
+    """The start of every place of every vehicle, by groups of ``FAN`` places, groups of groups and so on.
+
+    A function of one vehicle's start to end takes it from the empty state; what is
+    open at its end is dropped.
     """
-    rows = rows.select(*trip_fold.ROW_COLUMNS)
-    certain = _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_slices, SLICE_SCHEMA)
-    return _sorted_runs(certain, num_partitions).mapInArrow(trip_fold.finish_slices, FOLDED_SCHEMA)
+    top = functions.agg(F.max("place")).first()[0] or 0
+    group = F.floor(F.col("place") / trip_slices.FAN).cast("int")
+    marked = functions.withColumn("group_place", group)
+    if top < trip_slices.FAN:
+        given = {"last": F.lit(None).cast("bigint"), "open": F.lit(False), "before": F.lit(0).cast("bigint"), "fate": F.lit(trip_fold.DROPPED)}
+        started = marked.withColumns({f"group_{c}": v for c, v in given.items()})
+    else:
+        groups = keep(marked.groupBy("vehicle_id", "group_place").applyInArrow(trip_slices.compose_group, trip_slices.FUNCTION_SCHEMA))
+        above = _starts(groups).select(
+            "vehicle_id", F.col("place").alias("group_place"), *[F.col(c).alias(f"group_{c}") for c in ("last", "open", "before", "fate")]
+        )
+        started = marked.join(above, ["vehicle_id", "group_place"])
+    return started.groupBy("vehicle_id", "group_place").applyInArrow(trip_slices.start_group, trip_slices.START_SCHEMA)
 
 
 def number_trips(trips: DataFrame) -> DataFrame:

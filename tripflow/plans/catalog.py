@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions import geo
+from tripflow.functions.shared import shared_folder
 from tripflow.functions.times import epoch_to_wall_clock
 from tripflow.operators import bounds, clean, fares, histogram, metrics, trips, zones
-from tripflow.sources import raw_segments, trip_lines
+from tripflow.plans import jobs
+from tripflow.sources import raw_segments, trip_lines, trip_table
 from tripflow.sources.event_segments import read_event_segments
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +29,7 @@ FAR_POINT = (37.62131, -122.37896)
 SAMPLE_EVERY, BOUND_DEVIATIONS = 10, 3.0
 MAX_TRIP_SECONDS = 600
 BAND_WIDTH, MAX_DISTANCE = 0.5, 5.0
+CROWD_SECONDS = 20_000
 # A fleet of long segments around a change to summer time.
 SLOW = {"origin": 1_710_028_800, "squeeze": 10}
 ZONES = [
@@ -209,7 +212,22 @@ def build_trips_slow(spark, sf_dir):
 
 def build_trips_sliced(spark, sf_dir):
     """The same trips with every vehicle of more than 40 rows cut into slices."""
-    built = trips.build_trips(_clean(spark, sf_dir), split_rows=40, number=True)
+    built = trips.build_trips(_clean(spark, sf_dir), split_rows=40, number=True, least_split=1)
+    return rounded(trips.trip_segments(built), *POSITIONS)
+
+
+def build_trips_never_off(spark, sf_dir):
+    """Trips of meters that stay on, of vehicles cut into slices: trips end by pauses alone."""
+    on = _clean(spark, sf_dir).withColumns({"start_status": F.lit("M"), "end_status": F.lit("M")})
+    built = trips.build_trips(on, split_rows=40, number=True, least_split=1)
+    return rounded(trips.trip_segments(built), *POSITIONS)
+
+
+def build_trips_one_minute(spark, sf_dir):
+    """Trips of vehicles whose segments crowd into the same minutes, cut inside them."""
+    at = F.col("start_ts") - F.pmod("start_ts", F.lit(CROWD_SECONDS))
+    crowded = _clean(spark, sf_dir).withColumns({"start_ts": at, "end_ts": at + (F.col("end_ts") - F.col("start_ts"))})
+    built = trips.build_trips(crowded, split_rows=16, number=True, least_split=1)
     return rounded(trips.trip_segments(built), *POSITIONS)
 
 
@@ -345,8 +363,26 @@ def trip_fares_near_straight(spark, sf_dir):
 
 
 def trip_fares_ordered(spark, sf_dir):
-    """Fares in order; the number each has is its place."""
-    return fares.order_fares(fares.number_fares(trip_fares(spark, sf_dir)))
+    """Fares in order; the number each has is its place in it."""
+    return fares.number_fares(trip_fares(spark, sf_dir))
+
+
+def _trip_table(spark, sf_dir):
+    """Trips written as a typed table, and read again."""
+    path = shared_folder(spark)
+    trip_table.write_trip_table(_trips(spark, sf_dir), path)
+    return trip_table.read_trip_table(spark, path)
+
+
+def trip_table_fares(spark, sf_dir):
+    """Fares straight from a typed table of trips."""
+    table = _trip_table(spark, sf_dir).drop("start_ts", "end_ts")
+    return rounded(fares.fares(table), "distance", "cost")
+
+
+def trip_table_histogram(spark, sf_dir):
+    table = _trip_table(spark, sf_dir).drop("start_ts", "end_ts")
+    return histogram.distance_histogram(table, BAND_WIDTH, MAX_DISTANCE)
 
 
 def encode_fares(spark, sf_dir):
@@ -411,8 +447,8 @@ _ENDS = ("start_lat", "start_lon", "end_lat", "end_lon")
 def raw_lines_to_fares(spark, sf_dir):
     """All jobs chained: raw text, cleaning, outliers, trips, trip text, fares."""
     parsed = raw_segments.parse_raw(raw_lines(_segments(spark, sf_dir), damaged=False), tz=HOME_TZ)
-    inside = bounds.outlier_filter(clean.clean(parsed))
-    lines = trip_lines.encode_trips(trips.build_trips(inside), trip_lines.COMPLETE)
+    built = jobs.surveyed_trips(clean.clean(parsed))
+    lines = trip_lines.encode_trips(built, trip_lines.COMPLETE)
     table = fares.fares(trip_lines.decode_trips(lines), ref=REFERENCE)
     return fares.order_fares(rounded(table, "distance", "cost"))
 
@@ -422,11 +458,11 @@ QUERIES: dict[str, Query] = {
     for f in (
         parse_raw_segments, parse_raw_segments_slow, status_transition_filter, coordinate_filter, movement_filter,
         assign_timezone, geo_stats, geo_stats_by_split, pooled_geo_stats, outlier_filter,
-        outlier_filter_pooled, build_trips, build_trips_slow, build_trips_sliced, trip_counts, max_trip_length, trip_summary,
+        outlier_filter_pooled, build_trips, build_trips_slow, build_trips_sliced, build_trips_never_off, build_trips_one_minute, trip_counts, max_trip_length, trip_summary,
         encode_trips_complete, encode_trips_summary, format_trip_times,
         format_trip_times_compat, format_trip_times_slow, decode_trip_lines, segment_speed, trip_quality, trip_quality_edges, trip_length,
         trip_length_miles, trip_length_straight, trips_near_point, trips_near_point_compat,
-        trip_fares, trip_fares_near_straight, trip_fares_ordered, encode_fares, distance_histogram, encode_histogram,
+        trip_fares, trip_fares_near_straight, trip_fares_ordered, trip_table_fares, trip_table_histogram, encode_fares, distance_histogram, encode_histogram,
         distance_histogram_edges, distance_histogram_straight, distance_histogram_compat, geo_distance,
         geo_distance_compat, geo_bearing, geo_cross_track, raw_lines_to_fares,
     )

@@ -10,11 +10,25 @@ from tripflow.operators.clean import clean
 from tripflow.operators.fares import CHARGE_PER_KM, START_CHARGE, fares, order_fares
 from tripflow.operators.histogram import distance_histogram
 from tripflow.operators.metrics import ReferencePoint
+from tripflow.operators.survey import survey
 from tripflow.operators.trips import build_trips, first_segment
 from tripflow.operators.zones import assign_timezone
 from tripflow.sources import trip_lines as lines
+from tripflow.sources.trip_table import read_trip_table, write_trip_table
 from tripflow.sources.raw_segments import parse_raw, read_raw
 
+#: Trips between the jobs: lines of text, or a typed table.
+TEXT, TABLE = "text", "table"
+
+
+def read_trips(spark: SparkSession, path: str, kind: str = TEXT) -> DataFrame:
+    """Trips from lines, or from a table."""
+    if kind == TEXT:
+        return lines.read_trip_lines(spark, path)
+    if kind != TABLE:
+        raise ValueError(f"unknown kind of trips: {kind}")
+    return read_trip_table(spark, path).drop("start_ts", "end_ts")
+
 
 def parse_trip_length(text: str, compat: bool = False) -> int:
     """``HH:MM`` -> seconds. ``compat=True`` counts the minutes as seconds."""
@@ -38,6 +52,14 @@ def _with_trip_zone(trips: DataFrame, zones: DataFrame | None) -> DataFrame:
     return assign_timezone(placed, zones, "_lat", "_lon").drop("_lat", "_lon")
 
 
+def surveyed_trips(
+    segments: DataFrame, max_trip_length: int | None = None, num_partitions: int | None = None, **options
+) -> DataFrame:
+    """Clean segments -> trips of those inside the bounds; the segments are computed twice."""
+    known = survey(segments, **options)
+    return build_trips(outlier_filter(segments, box=known.box), max_trip_length, num_partitions, hot=known.hot)
+
+
 def trip_builder(
     spark: SparkSession,
     input_path: str,
@@ -49,14 +71,25 @@ def trip_builder(
     max_trip_length: str | None = None,
     num_partitions: int | None = None,
     compat: bool = False,
+    output_kind: str = TEXT,
 ) -> None:
-    """Raw segment lines -> trip lines. ``compat=True`` takes the outlier bounds from a sample."""
+    """Raw segment lines -> trip lines, or a typed table of trips.
+
+    The input is read twice: for the survey, and for the trips. ``compat=True`` takes
+    the outlier bounds from a sample.
+    """
+    if output_kind not in (TEXT, TABLE):
+        raise ValueError(f"unknown kind of trips: {output_kind}")
     lines.check_paths(input_path, output_path)
     _check_partitions(num_partitions)
     longest = parse_trip_length(max_trip_length, compat) if max_trip_length else None
     parsed = clean(parse_raw(read_raw(spark, input_path), tz, zones))
-    segments = outlier_filter(parsed, sample_every=SAMPLE_EVERY if compat else None)
-    trips = build_trips(segments, longest, num_partitions)
+    if compat:
+        trips = build_trips(outlier_filter(parsed, sample_every=SAMPLE_EVERY), longest, num_partitions)
+    else:
+        trips = surveyed_trips(parsed, longest, num_partitions)
+    if output_kind == TABLE:
+        return write_trip_table(trips, output_path)
     if time_format == lines.ISO and zones is not None:
         trips, tz = _with_trip_zone(trips, zones), F.col("tz")
     lines.write_lines(lines.encode_trips(trips, form, time_format, tz, compat), output_path)
@@ -75,14 +108,15 @@ def trip_fares(
     zones: DataFrame | None = None,
     num_partitions: int | None = None,
     compat: bool = False,
+    input_kind: str = TEXT,
 ) -> None:
-    """Trip lines -> fare lines in time order.
+    """Trip lines, or a table of trips -> fare lines in time order.
 
     ISO times are given in ``tz``, or in the zone of the trip's first position.
     """
     lines.check_paths(input_path, output_path)
     _check_partitions(num_partitions)
-    trips = lines.read_trip_lines(spark, input_path)
+    trips = read_trips(spark, input_path, input_kind)
     keep: tuple[str, ...] = ()
     if time_format == lines.ISO and zones is not None:
         trips, tz, keep = _with_trip_zone(trips, zones), F.col("tz"), ("tz",)
@@ -98,8 +132,9 @@ def trip_histogram(
     max_dist: float,
     straight: bool = False,
     compat: bool = False,
+    input_kind: str = TEXT,
 ) -> None:
-    """Trip lines -> ``label<TAB>count`` lines in band order."""
+    """Trip lines, or a table of trips -> ``label<TAB>count`` lines in band order."""
     lines.check_paths(input_path, output_path)
-    table = distance_histogram(lines.read_trip_lines(spark, input_path), width, max_dist, straight, compat=compat)
+    table = distance_histogram(read_trips(spark, input_path, input_kind), width, max_dist, straight, compat=compat)
     lines.write_lines(lines.encode_histogram(table), output_path)

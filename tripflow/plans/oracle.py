@@ -10,6 +10,7 @@ from tripflow.functions.geo import EARTH_RADIUS
 from tripflow.plans.catalog import (
     BAND_WIDTH,
     BOUND_DEVIATIONS,
+    CROWD_SECONDS,
     FAR_POINT,
     HOME_TZ,
     MAX_DISTANCE,
@@ -395,6 +396,17 @@ GROUP BY s.seg_id""",
         "SELECT vehicle_id, trip_seq, pos, start_ts, start_lat, start_lon, end_ts, end_lat, end_lon FROM tseg6",
         *TRIPS, TSEG6,
     ),
+    "build_trips_never_off": with_(
+        "SELECT vehicle_id, trip_seq, pos, start_ts, start_lat, start_lon, end_ts, end_lat, end_lon FROM tseg6",
+        CLEAN, "metered AS (SELECT * REPLACE ('M' AS start_status, 'M' AS end_status) FROM clean)", trips_sql("metered"), TSEG6,
+    ),
+    "build_trips_one_minute": with_(
+        "SELECT vehicle_id, trip_seq, pos, start_ts, start_lat, start_lon, end_ts, end_lat, end_lon FROM tseg6",
+        CLEAN,
+        f"""crowded AS (SELECT * REPLACE (start_ts - start_ts % {CROWD_SECONDS} AS start_ts,
+  start_ts - start_ts % {CROWD_SECONDS} + end_ts - start_ts AS end_ts) FROM clean)""",
+        trips_sql("crowded"), TSEG6,
+    ),
     "trip_counts": with_(
         "SELECT vehicle_id, count(DISTINCT trip_seq) AS trips FROM tseg GROUP BY vehicle_id", *TRIPS
     ),
@@ -445,6 +457,8 @@ FROM judged""",
     "trips_near_point": lengths_sql(**NEAR),
     "trips_near_point_compat": lengths_sql(**NEAR, compat=True),
     "trip_fares": fares_sql(),
+    "trip_table_fares": fares_sql(),
+    "trip_table_histogram": histogram_sql(),
     "trip_fares_near_straight": fares_sql(STRAIGHT, 4.0, 2.25, **NEAR),
     "trip_fares_ordered": f"""SELECT *, row_number() OVER (ORDER BY start_ts, end_ts, vehicle_id, distance) AS ordinal
 FROM ({fares_sql()})""",
