@@ -29,7 +29,7 @@ FAR_POINT = (37.62131, -122.37896)
 SAMPLE_EVERY, BOUND_DEVIATIONS = 10, 3.0
 MAX_TRIP_SECONDS = 600
 BAND_WIDTH, MAX_DISTANCE = 0.5, 5.0
-CROWD_SECONDS = 20_000
+CROWD_SECONDS = 60
 # A fleet of long segments around a change to summer time.
 SLOW = {"origin": 1_710_028_800, "squeeze": 10}
 ZONES = [
