@@ -1,4 +1,4 @@
-"""Byte-level BPE with Spark's higher-order functions alone.
+"""Byte-level BPE with Spark's higher-order functions over distinct words.
 
 A text is cut into words by the tokenizer's pattern. A word begins as the ids of its
 bytes, and a fold joins, step by step, the adjacent pair of least rank, leftmost
@@ -9,38 +9,47 @@ so that a look-up is two places read and one comparison; a literal map would be
 searched from end to end. Decoding takes each id's bytes from a literal array and
 concatenates them; ISO-8859-1 stands for one byte a character.
 
-The fold is needed once for each distinct word. Words that are in the rank table
-as a whole, and the ``COMMON`` most frequent other words of ``SAMPLE`` documents, those
-of the smallest hash, have their ids in a second literal; they are folded once,
-in a Spark job of their own. Any other word is folded where it stands. This choice
-bounds the literal and decides time only: every word gives the same ids either way.
-There is no shuffle of texts or words.
+Words are counted over all documents, by task first. Those that recur are folded once,
+in a job of their own, and their ids are broadcast, as flat arrays looked up by
+two 64-bit numbers of the word: at most ``COMMON`` words, the most frequent, of at most
+``LONG`` bytes. Each of the others stands in few places, mostly in one, and is folded
+there, once for a document. Both folds are the same expression; which word goes
+which way decides time only. Texts are cut three times, which is cheap, and never
+shuffled; only counted words are.
 
-Words of more than ``LONG`` bytes join all places of the best pair at one step.
-That is the same, since a joined piece's pairs rank behind the pair itself; it
-keeps the steps to the number of different pairs instead of the number of bytes.
+Words of more than ``LONG`` bytes join all places of the best pair at one step. That
+is the same in a table where every piece is what the fold makes of its own bytes, as in
+any trained one (the tests check it for the table in use): a joined piece that
+ranked before the pair would have been made before. It keeps the steps to the
+number of different pairs instead of the number of bytes.
 
 Defined cases: null is the empty text, without ids, and decodes to nothing;
-equal rows give equal results; an empty table gives an empty result; other
-columns are kept by ``encode_texts`` and ignored by the query. White space, letters
-and numbers are those of the Java runtime's Unicode version.
+very long texts and words are cut and folded like any other, in one task; equal rows
+give equal results; an empty table gives an empty result; other columns are kept by
+``encode_texts``, which refuses its own names, and ignored by the query. White space,
+letters and numbers are those of the tokenizer's library.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-import zlib
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tripflow.functions.project import select_once
 from tripflow.llm import base
+from tripflow.llm.word_cutter import PATTERN, Cutter, Words, classes, groups
 
-#: Words with ready ids, and the documents they are counted in.
-COMMON, SAMPLE = 100_000, 4000
-#: Hash values of the table of words, and bytes of a long word.
-BUCKETS, LONG = 1 << 16, 48
+#: Words whose ids are broadcast, at most; bytes of a long word; distinct words that a task counts before it ships them.
+COMMON, LONG, HELD = 1_500_000, 48, 400_000
+#: Columns that ``encode_texts`` adds on the way.
+RARE, RARE_IDS = "__llm_rare", "__llm_rare_ids"
 LATIN = "ISO-8859-1"
 
 
@@ -50,19 +59,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
 
 
-def literal_table(entries: dict[str, object], kind: str) -> Column:
-    """A literal array of maps: entry k holds the keys whose crc32 is k modulo BUCKETS."""
-    held: list[dict] = [{} for _ in range(BUCKETS)]
-    for key, value in entries.items():
-        held[zlib.crc32(key.encode("utf-8")) % BUCKETS][key] = value
-    return F.from_json(F.lit(json.dumps(held)), f"array<map<string,{kind}>>")
-
-
-def look_up(table: Column, key: Column) -> Column:
-    bucket = F.crc32(key.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")
-    return F.try_element_at(F.get(table, bucket), key)
-
-
 def bound(value: Column, body) -> Column:
     """``body(value)`` with the value worked out, or a literal held, once."""
     return F.get(F.transform(F.array(value), body), 0)
@@ -163,40 +159,136 @@ def folded_ids(word: Column, table: Column) -> Column:
     ).otherwise(fold(ids, table, join_all)))
 
 
-def words_of(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit("(?U)" + pattern), F.lit(0))
+@dataclass
+class Ready:
+    """Ids of words, by two numbers of each: sorted by the first."""
+
+    h1: np.ndarray
+    h2: np.ndarray
+    cuts: np.ndarray
+    ids: np.ndarray
+
+    def places(self, words: Words) -> np.ndarray:
+        """The place of each distinct word in the table, -1 if it is not there."""
+        if not len(self.h1) or not len(words):
+            return np.full(len(words), -1, dtype=np.int64)
+        k = np.searchsorted(self.h1, words.h1)
+        out = np.full(len(words), -1, dtype=np.int64)
+        # more than one word of the table may have the first number
+        for step in range(self.same):
+            at = np.minimum(k + step, len(self.h1) - 1)
+            hit = (self.h1[at] == words.h1) & (self.h2[at] == words.h2)
+            out[hit] = at[hit]
+        return out
+
+    @property
+    def same(self) -> int:
+        """How many words of the table share a first number, at most."""
+        runs = np.diff(np.flatnonzero(np.concatenate([[True], self.h1[1:] != self.h1[:-1], [True]])))
+        return int(runs.max())
+
+
+def counted_words(df: DataFrame, cutter: tuple[str, bytes], column: str) -> DataFrame:
+    """(word, n) of the distinct words of all texts."""
+
+    def work(batches):
+        cut, held = Cutter(*cutter), {}
+        for (texts,) in batches:
+            for a, b in groups(texts):
+                words = cut.cut(texts[a:b])
+                for k, n in enumerate(np.bincount(words.codes, minlength=len(words)).tolist()):
+                    word = words.word(k)
+                    held[word] = held.get(word, 0) + n
+                if len(held) > HELD:
+                    yield list(held.items())
+                    held.clear()
+        yield list(held.items())
+
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+    parts = base.map_texts(df.select(base.text_of(df, column).alias("text")), work, schema)
+    return parts.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def ready_words(df: DataFrame, cutter: tuple[str, bytes], table: Column, column: str, most: int = COMMON) -> Ready:
+    """The words that recur, up to ``most`` by classes of their counts, folded once each."""
+    several = base.keep(counted_words(df, cutter, column).where((F.col("n") > 1) & (F.octet_length("word") <= LONG)))
+    sizes = several.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count("*").alias("c")).collect()
+    total, least = 0, 64
+    for r in sorted(sizes, key=lambda r: -r["k"]):  # at most 64 rows
+        total += r["c"]
+        if total > most:
+            break
+        least = r["k"]
+    if least == 64:
+        none = np.zeros(0, dtype=np.uint64)
+        return Ready(none, none, np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32))
+    slots = 4 * df.sparkSession.sparkContext.defaultParallelism
+    chosen = several.where(F.col("n") >= 2**least).select("word").repartition(slots)
+    got = chosen.select("word", bound(table, lambda t: folded_ids(F.col("word"), t)).alias("ids")).toArrow()  # ``most`` rows
+    # each word as a text of its own: its numbers, in the order of the rows
+    words = Cutter(*cutter).numbered(got["word"].to_pylist())
+    lists = got["ids"].combine_chunks()
+    order = np.argsort(words[0], kind="stable")
+    lists = lists.take(pa.array(order))
+    return Ready(
+        words[0][order], words[1][order], np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]),
+        lists.flatten().to_numpy().astype(np.int32),
+    )
 
 
-def common_words(df: DataFrame, ranks: dict[bytes, int], table: Column, pattern: str, column: str) -> dict[str, list[int]]:
-    """Ids of the pieces that are words, and of the most frequent other words of a sample."""
-    known = {}
-    for piece, rank in ranks.items():
-        try:
-            known[piece.decode("utf-8")] = [rank]
-        except UnicodeDecodeError:
-            continue
-    few = df.select(F.xxhash64(column).alias("h"), F.col(column)).orderBy("h").limit(SAMPLE)
-    counts = (
-        few.select(F.explode(words_of(base.text_of(few, column), pattern)).alias("word"))
-        .groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(2 * COMMON)
-    )
-    others = [r["word"] for r in counts.collect() if r["word"] not in known][:COMMON]  # bounded by the parameter
-    spark = df.sparkSession
-    listed = spark.createDataFrame([(w,) for w in others], "word string").repartition(16)
-    ids = listed.select("word", bound(table, lambda t: folded_ids(F.col("word"), t)).alias("ids")).collect()
-    return known | {r["word"]: list(r["ids"]) for r in ids}
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start .. start + size - 1 of each, one after another."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
 
 
-def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "text") -> DataFrame:
+def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "text", most: int = COMMON) -> DataFrame:
     """``df`` with array column OUT: the ids of every text."""
-    ranks = read_ranks(rank_path)
-    table = literal_pairs(ranks)
-    ready = literal_table(common_words(df, ranks, table, pattern, column), "array<int>")
-    words = words_of(base.text_of(df, column), pattern)
-    coded = bound(ready, lambda r: bound(table, lambda t: F.transform(
-        words, lambda w: F.coalesce(look_up(r, w), folded_ids(w, t))
-    )))
-    return df.withColumn(base.OUT, F.flatten(coded))
+    for name in (base.OUT, RARE, RARE_IDS):
+        if name in df.columns:
+            raise ValueError(f"a column {name} is not allowed")
+    table = literal_pairs(read_ranks(rank_path))
+    cutter = (pattern, classes() if pattern == PATTERN else b"")
+    shared = df.sparkSession.sparkContext.broadcast(ready_words(df, cutter, table, column, most))
+
+    @F.arrow_udf("array<string>")
+    def rare_words(column: pa.Array) -> pa.Array:
+        cut, ready, out = Cutter(*cutter), shared.value, []
+        texts = column.to_pylist()
+        for a, b in groups(texts):
+            words = cut.cut(texts[a:b])
+            absent = ready.places(words) < 0
+            for k in range(b - a):
+                own = words.codes[words.cuts[k] : words.cuts[k + 1]]
+                out.append([words.word(w) for w in np.unique(own[absent[own]]).tolist()])
+        return pa.array(out, pa.list_(pa.string()))
+
+    @F.arrow_udf("array<int>")
+    def ids_of(column: pa.Array, rare: pa.Array, rare_ids: pa.Array) -> pa.Array:
+        cut, ready, out = Cutter(*cutter), shared.value, []
+        texts = column.to_pylist()
+        for a, b in groups(texts):
+            words = cut.cut(texts[a:b])
+            at = ready.places(words)
+            own, own_ids = rare.slice(a, b - a).flatten().to_pylist(), rare_ids.slice(a, b - a).flatten()
+            known = dict(zip(own, range(len(own)), strict=True))
+            absent = np.flatnonzero(at < 0)
+            places = np.array([known[words.word(w)] for w in absent.tolist()], dtype=np.int64)
+            sizes = own_ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = np.concatenate([ready.ids, own_ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
+            start = np.where(at >= 0, ready.cuts[np.maximum(at, 0)], 0)
+            size = np.where(at >= 0, ready.cuts[np.maximum(at, 0) + 1] - start, 0) if len(ready.h1) else np.zeros(len(at), dtype=np.int64)
+            start[absent] = len(ready.ids) + (np.cumsum(sizes) - sizes)[places]
+            size[absent] = sizes[places]
+            ids = flat[spread(start[words.codes], size[words.codes])]
+            before = np.concatenate([[0], np.cumsum(size[words.codes])])
+            out.append(pa.ListArray.from_arrays(pa.array(before[words.cuts], pa.int32()), pa.array(ids, pa.int32())))
+        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+
+    marked = df.withColumn(RARE, rare_words(base.text_of(df, column)))
+    folded = F.transform(F.col(RARE), lambda w: bound(table, lambda t: folded_ids(w, t)))
+    # a generator's output: Catalyst would otherwise copy the fold into the second UDF's arguments
+    both = select_once(marked, folded.alias(RARE_IDS), keep=(*df.columns, RARE))
+    return both.withColumn(base.OUT, ids_of(base.text_of(both, column), RARE, RARE_IDS)).drop(RARE, RARE_IDS)
 
 
 def decoded(ids: Column, rank_path: str) -> Column:
