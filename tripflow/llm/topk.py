@@ -3,8 +3,8 @@
 The components of a vector are cut into ``SLICES`` slices, and a score is the sum
 of the slices' local scores.
 
-1. Every task keeps, for each query and slice, a list of its best local scores.
-   The lists are merged per query and slice; the k-th best total among their
+1. Every task keeps, for each query and slice, a list of its best local scores, with
+   every id once. The lists are merged per query and slice; the k-th best total among their
    vectors is a safe cutoff: no better vector has less.
 2. The cutoffs go to the tasks. A vector of the answer has a local score of at
    least cutoff / slices in one slice or another, so tasks collect these entries.
@@ -100,11 +100,33 @@ class Queries:
 def best(scores: np.ndarray, ids: np.ndarray, totals: np.ndarray, k: int):
     """The k best columns of every row: scores, ids, totals."""
     if scores.shape[1] > k:
-        at = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+        at = np.argpartition(scores, scores.shape[1] - k, axis=1)[:, -k:]  # LOW has no negative
         return (np.take_along_axis(a, at, axis=1) for a in (scores, ids, totals))
     return scores, ids, totals
 
 
+def by_id(ids: np.ndarray, *scores: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct ids, and of each the greatest of its columns."""
+    order = np.argsort(ids, kind="stable")
+    own = ids[order]
+    first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+    if len(first) == len(ids):
+        return ids, *scores
+    return own[first], *(np.maximum.reduceat(s[:, order], first, axis=1) for s in scores)
+
+
+def joined(old: tuple, new: tuple) -> tuple[np.ndarray, ...]:
+    """Two lists as one: scores, ids, totals; an id that is in both stands once, with the greater values."""
+    scores, ids, totals = (np.concatenate([a, b], axis=1) for a, b in zip(old, new, strict=True))
+    order = np.argsort(ids, axis=1, kind="stable")
+    scores, ids, totals = (np.take_along_axis(a, order, axis=1) for a in (scores, ids, totals))
+    twice = ids[:, 1:] == ids[:, :-1]
+    for a in (scores, totals):
+        a[:, 1:] = np.where(twice, np.maximum(a[:, 1:], a[:, :-1]), a[:, 1:])
+    scores[:, :-1][twice] = LOW
+    return scores, ids, totals
+
+
 LISTS = "query_id long, slice int, vec_id long, local long, score long"
 FOUND = "query_id long, vec_id long, score long"
 
@@ -117,12 +139,12 @@ def first_lists(vectors: DataFrame, queries: Queries, k: int, slices: int) -> Da
         for ids, x in by_length(batches):
             for qid, local, own in queries.local_scores(ids, x, slices):
                 total = np.where(own, LOW, local.sum(axis=0))
-                wide = np.broadcast_to(ids, total.shape)
+                once, total, *parts = by_id(ids, total, *(np.where(own, LOW, part) for part in local))
+                wide = np.broadcast_to(once, total.shape)
                 for s in range(slices):
-                    new = (np.where(own, LOW, local[s]), wide, total)
+                    new = tuple(best(parts[s], wide, total, k))
                     old = lists.get((x.shape[1], s))
-                    both = new if old is None else [np.concatenate([a, b], axis=1) for a, b in zip(old[1], new, strict=True)]
-                    lists[x.shape[1], s] = (qid, tuple(best(*both, k)))
+                    lists[x.shape[1], s] = (qid, new if old is None else tuple(best(*joined(old[1], new), k)))
         for (_, s), (qid, (local, ids, total)) in lists.items():
             ok = local > LOW
             q = np.broadcast_to(qid[:, None], ids.shape)[ok]
@@ -168,13 +190,15 @@ def top_k(
         rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect()  # about ``block`` rows
         held = Queries([(r["vec_id"], list(r["embedding"])) for r in rows])
         lists = first_lists(vectors, held, k, slices)
+        lists = lists.groupBy("query_id", "slice", "vec_id").agg(F.max("local").alias("local"), F.max("score").alias("score"))
         by_slice = Window.partitionBy("query_id", "slice").orderBy(F.desc("local"), "vec_id")
         merged = lists.withColumn("r", F.row_number().over(by_slice)).where(F.col("r") <= k)
         totals = merged.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         by_query = Window.partitionBy("query_id").orderBy(F.desc("score"))
         cuts = totals.withColumn("r", F.row_number().over(by_query)).where(F.col("r") == k).select("query_id", "score")
         cutoff = {r["query_id"]: r["score"] for r in cuts.collect()}  # one row a query of the block
-        part = base.keep(sufficient(vectors, held, cutoff, slices))
+        enough = sufficient(vectors, held, cutoff, slices)
+        part = base.keep(enough.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
         found = part if found is None else found.unionByName(part)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
