@@ -203,12 +203,12 @@ def plain_hits(text, items, size=10):
     hit, found = set(), set()
     for item, own in items:
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower_ascii(own or ""))
-        for k in range(max(1, len(w) - size + 1) if w and item is not None else 0):
+        for k in range(max(1, len(w) - size + 1) if w else 0):
             window = w[k : k + size]
             for p in range(len(words) - len(window) + 1):
                 if words[p : p + len(window)] == window:
                     hit.update(range(p, p + len(window)))
-                    found.add(str(item))
+                    found.update([str(item)] if item is not None else [])
     return len(words), len(hit), sorted(found)
 
 

@@ -51,9 +51,11 @@ def windows(items: list[tuple], size: int) -> dict[tuple[str, ...], set[str]]:
     out: dict[tuple[str, ...], set[str]] = defaultdict(set)
     for item, text in items:
         words = words_of(text)
-        if words and item is not None:
+        if words:
             for k in range(max(1, len(words) - size + 1)):
-                out[tuple(words[k : k + size])].add(str(item))
+                own = out[tuple(words[k : k + size])]
+                if item is not None:  # a window of no named item is hit, and counts for no item
+                    own.add(str(item))
     return out
 
 
@@ -133,7 +135,7 @@ def hits(
     out = docs
     for b in range(blocks):
         part = benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b) if blocks > 1 else benchmark
-        held = windows([(r["item_id"], r["text"]) for r in part.select("item_id", "text").collect()], window)
+        held = windows([(r["item_id"], r["text"]) for r in part.select("item_id", "text").distinct().collect()], window)
         n = counts(docs, column, frozenset(w for x in held for w in x)) if held else {}
         index = Index(held, n)
         if b:

@@ -199,6 +199,12 @@ def op2_language_hyperdimensional(spark, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents of an identifiable language; ``und`` goes."""
-    found = identify(docs, learn(docs))
+    """Pipeline stage: documents of an identifiable language; texts without a letter go.
+
+    Where no language is known, nothing can be learnt, and documents with a letter stay.
+    """
+    prototypes = learn(docs)
+    if not prototypes:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = identify(docs, prototypes)
     return found.where(F.col(base.OUT)["lang_pred"] != UNDETERMINED).drop(base.OUT)

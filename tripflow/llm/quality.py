@@ -123,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
         return Model(np.zeros(BUCKETS), 0.0 if known is None else (700.0 if known else -700.0))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     few = [labels.where(F.col("label") == y).orderBy(*order).limit(per_label) for y in (0, 1)]
-    sample = F.broadcast(few[0].unionByName(few[1]))  # at most 2 * per_label rows
+    sample = few[0].unionByName(few[1])  # at most 2 * per_label rows
 
     def work(batches):
         for texts, ys in batches:
@@ -133,7 +133,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model
                 rows.append((ids.astype("<i4").tobytes(), counts.astype("<i4").tobytes(), y))
             yield rows
 
-    taken = docs.join(sample, "doc_id").select("text", "label")
+    # many rows may have a sampled id: one text of each id and label, that of the least hash, comes to the driver
+    taken = docs.join(F.broadcast(sample.distinct()), "doc_id").groupBy("doc_id", "label").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")
+    ).select("text", "label")
     got = sorted(zip(*base.map_texts(taken, work, BAGS).toArrow().to_pydict().values(), strict=True))  # tasks end in any order
     bags = []
     for ids, counts, y in got:
