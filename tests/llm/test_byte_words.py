@@ -89,7 +89,7 @@ def test_other_patterns_and_refused_names(spark, coder):
     got = {r.doc_id: list(r[OUT]) for r in byte_bpe.encode_texts(df, path, pattern).collect()}
     assert got == {1: library.encode_ordinary("words and 12 numbers, no marks!"), 2: library.encode_ordinary("words words")}
     with pytest.raises(ValueError):
-        byte_bpe.encode_texts(df.withColumn(byte_bpe.RARE, F.lit(1)), path, pattern)
+        byte_bpe.encode_texts(df.withColumn(byte_bpe.CODED, F.lit(1)), path, pattern)
 
 
 def test_letters_of_late_unicode_versions(spark, coder):

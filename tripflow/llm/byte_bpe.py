@@ -6,15 +6,15 @@ first, until no pair has a rank; the rank of a pair is the id of the joined piec
 After a step only the two pairs beside the new piece are looked up again. Ranks
 are a literal in the expression: flat arrays with a perfect hash over the pairs,
 so that a look-up is two places read and one comparison; a literal map would be
-searched from end to end. Decoding takes each id's bytes from a literal array and
-concatenates them; ISO-8859-1 stands for one byte a character.
+searched from end to end. Decoding takes the bytes of all ids of a batch from one
+table and cuts them by text.
 
 Words are counted over all documents, by task first. Those that recur are folded once,
 in a job of their own, and their ids are broadcast, as flat arrays looked up by
 two 64-bit numbers of the word: at most ``COMMON`` words, the most frequent, of at most
 ``LONG`` bytes. Each of the others stands in few places, mostly in one, and is folded
 there, once for a document. Both folds are the same expression; which word goes
-which way decides time only. Texts are cut three times, which is cheap, and never
+which way decides time only. Texts are cut twice, which is cheap, and never
 shuffled; only counted words are.
 
 Words of more than ``LONG`` bytes join all places of the best pair at one step. That
@@ -47,9 +47,9 @@ from tripflow.llm import base
 from tripflow.llm.word_cutter import PATTERN, Cutter, Words, classes, groups
 
 #: Words whose ids are broadcast, at most; bytes of a long word; distinct words that a task counts before it ships them.
-COMMON, LONG, HELD = 1_500_000, 48, 400_000
+COMMON, LONG, HELD = 1_000_000, 48, 400_000
 #: Columns that ``encode_texts`` adds on the way.
-RARE, RARE_IDS = "__llm_rare", "__llm_rare_ids"
+CODED, RARE_IDS = "__llm_coded", "__llm_rare_ids"
 LATIN = "ISO-8859-1"
 
 
@@ -212,26 +212,32 @@ def counted_words(df: DataFrame, cutter: tuple[str, bytes], column: str) -> Data
 def ready_words(df: DataFrame, cutter: tuple[str, bytes], table: Column, column: str, most: int = COMMON) -> Ready:
     """The words that recur, up to ``most`` by classes of their counts, folded once each."""
     several = base.keep(counted_words(df, cutter, column).where((F.col("n") > 1) & (F.octet_length("word") <= LONG)))
-    sizes = several.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count("*").alias("c")).collect()
-    total, least = 0, 64
-    for r in sorted(sizes, key=lambda r: -r["k"]):  # at most 64 rows
+    kind = F.when(F.col("n") < 64, F.col("n")).otherwise(58 + F.floor(F.log2("n")))
+    sizes = several.groupBy(kind.cast("int").alias("k")).agg(F.count("*").alias("c"), F.min("n").alias("n")).collect()
+    total, least = 0, None
+    for r in sorted(sizes, key=lambda r: -r["k"]):  # at most 128 rows
         total += r["c"]
         if total > most:
             break
-        least = r["k"]
-    if least == 64:
+        least = r["n"]
+    if least is None:
         none = np.zeros(0, dtype=np.uint64)
         return Ready(none, none, np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32))
+
+    @F.arrow_udf("struct<h1: long, h2: long>")
+    def numbers(words: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays([x.view(np.int64) for x in Cutter(*cutter).numbered(words.to_pylist())], ["h1", "h2"])
+
     slots = 4 * df.sparkSession.sparkContext.defaultParallelism
-    chosen = several.where(F.col("n") >= 2**least).select("word").repartition(slots)
-    got = chosen.select("word", bound(table, lambda t: folded_ids(F.col("word"), t)).alias("ids")).toArrow()  # ``most`` rows
-    # each word as a text of its own: its numbers, in the order of the rows
-    words = Cutter(*cutter).numbered(got["word"].to_pylist())
-    lists = got["ids"].combine_chunks()
-    order = np.argsort(words[0], kind="stable")
-    lists = lists.take(pa.array(order))
+    chosen = several.where(F.col("n") >= least).select("word").repartition(slots)
+    got = chosen.select(
+        numbers("word").alias("h"), F.transform(F.array("word"), lambda w: bound(table, lambda t: folded_ids(w, t))).alias("ids")
+    ).select("h.h1", "h.h2", F.get("ids", 0).alias("ids")).toArrow()  # ``most`` rows, some 50 bytes each
+    h1, h2 = (got[c].to_numpy().view(np.uint64) for c in ("h1", "h2"))
+    order = np.argsort(h1, kind="stable")
+    lists = got["ids"].combine_chunks().take(pa.array(order))
     return Ready(
-        words[0][order], words[1][order], np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]),
+        h1[order], h2[order], np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]),
         lists.flatten().to_numpy().astype(np.int32),
     )
 
@@ -243,62 +249,88 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "text", most: int = COMMON) -> DataFrame:
     """``df`` with array column OUT: the ids of every text."""
-    for name in (base.OUT, RARE, RARE_IDS):
+    for name in (base.OUT, CODED, RARE_IDS):
         if name in df.columns:
             raise ValueError(f"a column {name} is not allowed")
     table = literal_pairs(read_ranks(rank_path))
     cutter = (pattern, classes() if pattern == PATTERN else b"")
     shared = df.sparkSession.sparkContext.broadcast(ready_words(df, cutter, table, column, most))
 
-    @F.arrow_udf("array<string>")
-    def rare_words(column: pa.Array) -> pa.Array:
-        cut, ready, out = Cutter(*cutter), shared.value, []
-        texts = column.to_pylist()
-        for a, b in groups(texts):
-            words = cut.cut(texts[a:b])
-            absent = ready.places(words) < 0
-            for k in range(b - a):
-                own = words.codes[words.cuts[k] : words.cuts[k + 1]]
-                out.append([words.word(w) for w in np.unique(own[absent[own]]).tolist()])
-        return pa.array(out, pa.list_(pa.string()))
-
-    @F.arrow_udf("array<int>")
-    def ids_of(column: pa.Array, rare: pa.Array, rare_ids: pa.Array) -> pa.Array:
-        cut, ready, out = Cutter(*cutter), shared.value, []
+    @F.arrow_udf("struct<ids: array<int>, rare: array<string>>")
+    def coded(column: pa.Array) -> pa.Array:
+        """Ids of the words that are ready; of the others of a text, its k-th is -1 - k among the ids."""
+        cut, ready, ids, rare = Cutter(*cutter), shared.value, [], []
         texts = column.to_pylist()
         for a, b in groups(texts):
             words = cut.cut(texts[a:b])
             at = ready.places(words)
-            own, own_ids = rare.slice(a, b - a).flatten().to_pylist(), rare_ids.slice(a, b - a).flatten()
-            known = dict(zip(own, range(len(own)), strict=True))
-            absent = np.flatnonzero(at < 0)
-            places = np.array([known[words.word(w)] for w in absent.tolist()], dtype=np.int64)
-            sizes = own_ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = np.concatenate([ready.ids, own_ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
-            start = np.where(at >= 0, ready.cuts[np.maximum(at, 0)], 0)
-            size = np.where(at >= 0, ready.cuts[np.maximum(at, 0) + 1] - start, 0) if len(ready.h1) else np.zeros(len(at), dtype=np.int64)
-            start[absent] = len(ready.ids) + (np.cumsum(sizes) - sizes)[places]
-            size[absent] = sizes[places]
-            ids = flat[spread(start[words.codes], size[words.codes])]
-            before = np.concatenate([[0], np.cumsum(size[words.codes])])
-            out.append(pa.ListArray.from_arrays(pa.array(before[words.cuts], pa.int32()), pa.array(ids, pa.int32())))
-        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
-
-    marked = df.withColumn(RARE, rare_words(base.text_of(df, column)))
-    folded = F.transform(F.col(RARE), lambda w: bound(table, lambda t: folded_ids(w, t)))
+            start = ready.cuts[np.maximum(at, 0)]
+            size = np.where(at >= 0, ready.cuts[np.minimum(at, len(ready.cuts) - 2) + 1] - start, 1) if len(ready.h1) else np.ones(len(at), dtype=np.int64)
+            own = size[words.codes]
+            before = np.concatenate([[0], np.cumsum(own)])
+            flat = np.empty(int(before[-1]), dtype=np.int32)
+            held = at[words.codes] >= 0
+            flat[spread(before[:-1][held], own[held])] = ready.ids[spread(start[words.codes][held], own[held])]
+            absent = np.flatnonzero(~held)
+            text_of = np.searchsorted(words.cuts, absent, side="right") - 1
+            pairs, which = np.unique(np.stack([text_of, words.codes[absent]]), axis=1, return_inverse=True)
+            first = np.searchsorted(pairs[0], np.arange(b - a))
+            flat[before[absent]] = -1 - (which - first[text_of])
+            ids.append(pa.ListArray.from_arrays(pa.array(before[words.cuts], pa.int32()), pa.array(flat)))
+            names = pa.array([words.word(w) for w in pairs[1].tolist()], pa.string())
+            rare.append(pa.ListArray.from_arrays(pa.array(np.append(first, len(names)), pa.int32()), names))
+        joined = [pa.concat_arrays(x) if x else pa.array([], t) for x, t in ((ids, pa.list_(pa.int32())), (rare, pa.list_(pa.string())))]
+        return pa.StructArray.from_arrays(joined, ["ids", "rare"])
+
+    marked = df.withColumn(CODED, coded(base.text_of(df, column)))
+    folded = F.transform(F.col(CODED)["rare"], lambda w: bound(table, lambda t: folded_ids(w, t)))
     # a generator's output: Catalyst would otherwise copy the fold into the second UDF's arguments
-    both = select_once(marked, folded.alias(RARE_IDS), keep=(*df.columns, RARE))
-    return both.withColumn(base.OUT, ids_of(base.text_of(both, column), RARE, RARE_IDS)).drop(RARE, RARE_IDS)
+    both = select_once(marked, F.col(CODED)["ids"].alias(CODED), folded.alias(RARE_IDS), keep=tuple(df.columns))
+    return both.withColumn(base.OUT, completed(CODED, RARE_IDS)).drop(CODED, RARE_IDS)
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def completed(ids: pa.Array, rare_ids: pa.Array) -> pa.Array:
+    """Lists of ids in which the k-th of each row's further lists stands for -1 - k."""
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    cuts = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+    later = np.flatnonzero(flat < 0)
+    if not len(later):
+        return ids
+    lists = rare_ids.flatten()
+    first = np.concatenate([[0], np.cumsum(rare_ids.value_lengths().to_numpy(zero_copy_only=False))])
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    k = first[np.searchsorted(cuts, later, side="right") - 1] - 1 - flat[later]
+    own = np.ones(len(flat), dtype=np.int64)
+    own[later] = sizes[k]
+    before = np.concatenate([[0], np.cumsum(own)])
+    out = np.empty(int(before[-1]), dtype=np.int32)
+    ready = flat >= 0
+    out[before[:-1][ready]] = flat[ready]
+    out[spread(before[later], sizes[k])] = lists.flatten().to_numpy(zero_copy_only=False)[spread(starts[k], sizes[k])]
+    return pa.ListArray.from_arrays(pa.array(before[cuts], pa.int32()), pa.array(out))
 
 
 def decoded(ids: Column, rank_path: str) -> Column:
     """Bytes of ids: their pieces, concatenated."""
     ranks = read_ranks(rank_path)
-    pieces = [""] * (max(ranks.values()) + 1)
+    pieces = [b""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
-        pieces[rank] = piece.decode(LATIN)
-    table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-    return F.encode(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""), LATIN)
+        pieces[rank] = piece
+    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+    letters = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    starts = np.cumsum(sizes) - sizes
+
+    @F.arrow_udf("binary")
+    def pieces_of(ids: pa.Array) -> pa.Array:
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+        out = letters[spread(starts[flat], sizes[flat])].tobytes()
+        cuts = np.concatenate([[0], np.cumsum(sizes[flat])])[ends].tolist()
+        return pa.array([out[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
+
+    return pieces_of(ids)
 
 
 def round_trip(df: DataFrame, rank_path: str, pattern: str) -> DataFrame:
@@ -308,7 +340,7 @@ def round_trip(df: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     return coded.select(
         "doc_id",
         F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.transform(ids, lambda i: i.cast("string")), ","), 256).alias("ids_sha256"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(decoded(ids, rank_path), 256).alias("decoded_sha256"),
     )
 
