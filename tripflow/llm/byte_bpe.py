@@ -48,6 +48,8 @@ from tripflow.llm.word_cutter import PATTERN, Cutter, Words, classes, groups
 
 #: Words whose ids are broadcast, at most; bytes of a long word; distinct words that a task counts before it ships them.
 COMMON, LONG, HELD = 1_000_000, 48, 400_000
+#: Ids of some texts that are put together at a time.
+AT_ONCE = 200_000
 #: Columns that ``encode_texts`` adds on the way.
 CODED, RARE_IDS = "__llm_coded", "__llm_rare_ids"
 LATIN = "ISO-8859-1"
@@ -194,7 +196,7 @@ def counted_words(df: DataFrame, cutter: tuple[str, bytes], column: str) -> Data
     def work(batches):
         cut, held = Cutter(*cutter), {}
         for (texts,) in batches:
-            for a, b in groups(texts):
+            for a, b in groups([len(t) for t in texts]):
                 words = cut.cut(texts[a:b])
                 for k, n in enumerate(np.bincount(words.codes, minlength=len(words)).tolist()):
                     word = words.word(k)
@@ -261,7 +263,7 @@ def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "tex
         """Ids of the words that are ready; of the others of a text, its k-th is -1 - k among the ids."""
         cut, ready, ids, rare = Cutter(*cutter), shared.value, [], []
         texts = column.to_pylist()
-        for a, b in groups(texts):
+        for a, b in groups([len(t) for t in texts]):
             words = cut.cut(texts[a:b])
             at = ready.places(words)
             start = ready.cuts[np.maximum(at, 0)]
@@ -292,14 +294,21 @@ def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "tex
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
 def completed(ids: pa.Array, rare_ids: pa.Array) -> pa.Array:
     """Lists of ids in which the k-th of each row's further lists stands for -1 - k."""
+    out = [complete(ids.slice(a, b - a), rare_ids.slice(a, b - a)) for a, b in groups(lengths(ids).tolist(), AT_ONCE)]
+    return pa.concat_arrays(out) if out else ids
+
+
+def lengths(lists: pa.Array) -> np.ndarray:
+    return lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def complete(ids: pa.Array, rare_ids: pa.Array) -> pa.Array:
     flat = ids.flatten().to_numpy(zero_copy_only=False)
-    cuts = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+    cuts = np.concatenate([[0], np.cumsum(lengths(ids))])
     later = np.flatnonzero(flat < 0)
-    if not len(later):
-        return ids
     lists = rare_ids.flatten()
-    first = np.concatenate([[0], np.cumsum(rare_ids.value_lengths().to_numpy(zero_copy_only=False))])
-    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(lengths(rare_ids))])
+    sizes = lengths(lists)
     starts = np.cumsum(sizes) - sizes
     k = first[np.searchsorted(cuts, later, side="right") - 1] - 1 - flat[later]
     own = np.ones(len(flat), dtype=np.int64)
@@ -324,11 +333,15 @@ def decoded(ids: Column, rank_path: str) -> Column:
 
     @F.arrow_udf("binary")
     def pieces_of(ids: pa.Array) -> pa.Array:
-        flat = ids.flatten().to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
-        out = letters[spread(starts[flat], sizes[flat])].tobytes()
-        cuts = np.concatenate([[0], np.cumsum(sizes[flat])])[ends].tolist()
-        return pa.array([out[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())
+        done = []
+        for a, b in groups(lengths(ids).tolist(), AT_ONCE):
+            part = ids.slice(a, b - a)
+            flat = part.flatten().to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lengths(part))])
+            out = letters[spread(starts[flat], sizes[flat])].tobytes()
+            cuts = np.concatenate([[0], np.cumsum(sizes[flat])])[ends].tolist()
+            done.append(pa.array([out[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], pa.binary()))
+        return pa.concat_arrays(done) if done else pa.array([], pa.binary())
 
     return pieces_of(ids)
 

@@ -27,7 +27,7 @@ from tripflow.llm.shingles import odd
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Characters of texts that are cut together.
-CHARACTERS = 2_000_000
+CHARACTERS = 500_000
 
 
 @lru_cache(1)
@@ -153,13 +153,13 @@ class Cutter:
         return mixed(np.add.reduceat(value, np.cumsum(size) - size) ^ size.astype(np.uint64))
 
 
-def groups(texts: list[str]):
-    """Slices of a list of texts, of CHARACTERS or a single text each."""
-    low, size = 0, 0
-    for k, t in enumerate(texts):
-        if k > low and size + len(t) > CHARACTERS:
+def groups(sizes, most: int | None = None):
+    """Slices of rows of these sizes: of ``most`` in sum (CHARACTERS), or of a single row each."""
+    most, low, total = CHARACTERS if most is None else most, 0, 0
+    for k, n in enumerate(sizes):
+        if k > low and total + n > most:
             yield low, k
-            low, size = k, 0
-        size += len(t)
-    if low < len(texts):
-        yield low, len(texts)
+            low, total = k, 0
+        total += n
+    if low < len(sizes):
+        yield low, len(sizes)
