@@ -74,6 +74,9 @@ def test_ids_do_not_depend_on_which_words_are_ready(spark, coder, most):
     joined = [p.decode() for p in rnd.sample([p for p in ranks if len(p) > 3 and p.isalpha()], 60)]
     texts = [" ".join(rnd.choice(words) for _ in range(40)) for _ in range(60)] + ["", "".join(PARTS), "".join(joined), "".join(joined) * 3]
     got = byte_bpe.encode_texts(documents(spark, list(enumerate(texts))), path, pattern, most=most).collect()
+    assert {r.doc_id: bytes(r.b).decode() for r in byte_bpe.encode_texts(
+        documents(spark, list(enumerate(texts))), path, pattern, most=most
+    ).select("doc_id", byte_bpe.decoded(byte_bpe.F.col(OUT), path).alias("b")).collect()} == dict(enumerate(texts))
     assert {r.doc_id: list(r[OUT]) for r in got} == {k: library.encode_ordinary(t) for k, t in enumerate(texts)}
 
 

@@ -249,8 +249,8 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
 
 
-def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "text", most: int = COMMON) -> DataFrame:
-    """``df`` with array column OUT: the ids of every text."""
+def coded_rows(df: DataFrame, rank_path: str, pattern: str, column: str, most: int) -> DataFrame:
+    """``df`` with CODED, the ids of each text but for its rare words, and RARE_IDS, theirs."""
     for name in (base.OUT, CODED, RARE_IDS):
         if name in df.columns:
             raise ValueError(f"a column {name} is not allowed")
@@ -287,13 +287,22 @@ def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "tex
     marked = df.withColumn(CODED, coded(base.text_of(df, column)))
     folded = F.transform(F.col(CODED)["rare"], lambda w: bound(table, lambda t: folded_ids(w, t)))
     # a generator's output: Catalyst would otherwise copy the fold into the second UDF's arguments
-    both = select_once(marked, F.col(CODED)["ids"].alias(CODED), folded.alias(RARE_IDS), keep=tuple(df.columns))
-    return both.withColumn(base.OUT, completed(CODED, RARE_IDS)).drop(CODED, RARE_IDS)
+    return select_once(marked, F.col(CODED)["ids"].alias(CODED), folded.alias(RARE_IDS), keep=tuple(df.columns))
+
+
+def encode_texts(df: DataFrame, rank_path: str, pattern: str, column: str = "text", most: int = COMMON) -> DataFrame:
+    """``df`` with array column OUT: the ids of every text."""
+    coded = coded_rows(df, rank_path, pattern, column, most)
+    return coded.withColumn(base.OUT, completed(CODED, RARE_IDS)).drop(CODED, RARE_IDS)
 
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
 def completed(ids: pa.Array, rare_ids: pa.Array) -> pa.Array:
     """Lists of ids in which the k-th of each row's further lists stands for -1 - k."""
+    return complete_all(ids, rare_ids)
+
+
+def complete_all(ids: pa.Array, rare_ids: pa.Array) -> pa.Array:
     out = [complete(ids.slice(a, b - a), rare_ids.slice(a, b - a)) for a, b in groups(lengths(ids).tolist(), AT_ONCE)]
     return pa.concat_arrays(out) if out else ids
 
@@ -321,40 +330,59 @@ def complete(ids: pa.Array, rare_ids: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(before[cuts], pa.int32()), pa.array(out))
 
 
-def decoded(ids: Column, rank_path: str) -> Column:
-    """Bytes of ids: their pieces, concatenated."""
-    ranks = read_ranks(rank_path)
-    pieces = [b""] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece
-    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-    letters = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-    starts = np.cumsum(sizes) - sizes
+class Pieces:
+    """The bytes of the pieces, one after another."""
 
-    @F.arrow_udf("binary")
-    def pieces_of(ids: pa.Array) -> pa.Array:
+    def __init__(self, rank_path: str):
+        ranks = read_ranks(rank_path)
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
+            pieces[rank] = piece
+        self.sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        self.letters = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, ids: pa.Array) -> pa.Array:
+        """The bytes of lists of ids: their pieces, concatenated."""
         done = []
         for a, b in groups(lengths(ids).tolist(), AT_ONCE):
             part = ids.slice(a, b - a)
             flat = part.flatten().to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(lengths(part))])
-            out = letters[spread(starts[flat], sizes[flat])].tobytes()
-            cuts = np.concatenate([[0], np.cumsum(sizes[flat])])[ends].tolist()
+            out = self.letters[spread(self.starts[flat], self.sizes[flat])].tobytes()
+            cuts = np.concatenate([[0], np.cumsum(self.sizes[flat])])[ends].tolist()
             done.append(pa.array([out[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], pa.binary()))
         return pa.concat_arrays(done) if done else pa.array([], pa.binary())
 
-    return pieces_of(ids)
+
+def decoded(ids: Column, rank_path: str) -> Column:
+    """Bytes of ids."""
+    pieces = Pieces(rank_path)
+
+    @F.arrow_udf("binary")
+    def bytes_of(ids: pa.Array) -> pa.Array:
+        return pieces.joined(ids)
+
+    return bytes_of(ids)
 
 
 def round_trip(df: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of ``df`` (doc_id, text)."""
-    coded = encode_texts(df.select("doc_id", "text"), rank_path, pattern)
-    ids = F.col(base.OUT)
-    return coded.select(
+    pieces = Pieces(rank_path)
+
+    @F.arrow_udf("struct<ids: array<int>, bytes: binary>")
+    def both(ids: pa.Array, rare_ids: pa.Array) -> pa.Array:
+        """Ids, and what they decode to: one Python worker a task for the two."""
+        whole = complete_all(ids, rare_ids)
+        return pa.StructArray.from_arrays([whole, pieces.joined(whole)], ["ids", "bytes"])
+
+    coded = coded_rows(df.select("doc_id", "text"), rank_path, pattern, "text", COMMON)
+    out = F.col(base.OUT)
+    return coded.withColumn(base.OUT, both(CODED, RARE_IDS)).select(
         "doc_id",
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(decoded(ids, rank_path), 256).alias("decoded_sha256"),
+        F.size(out["ids"]).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(out["ids"].cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(out["bytes"], 256).alias("decoded_sha256"),
     )
 
 
