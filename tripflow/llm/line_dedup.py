@@ -10,8 +10,7 @@ may hold more templates: of the lines left over, those that agree with each othe
 ``SHARE`` of their places are of one template (see ``more_templates``). Every other
 line is its own template.
 
-``ORACLE`` is the older rule of one template a leaf and none for lines of fewer than
-``LEAST`` tokens; results differ from it where a leaf holds several or shorter ones.
+``ORACLE`` states the same rule as SQL.
 
 A template recurs if it stands in several documents. It stays in the document
 with the smallest id and is dropped everywhere else.
@@ -41,8 +40,8 @@ from pyspark.sql import types as T
 from tripflow.llm import base
 from tripflow.llm.components import components
 
-DEPTH, LEAST, SHARE = 3, 10, 0.8
-#: Shortest line of which one place may vary: of 4 tokens 80 % are all 4. LEAST is the floor of ORACLE.
+DEPTH, SHARE = 3, 0.8
+#: Shortest line of which one place may vary: of 4 tokens 80 % are all 4.
 SHORTEST = 5
 NO_ID = -(1 << 63)
 #: Bits of the map of leaves, 8 MB.
@@ -261,7 +260,7 @@ def line_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 ORACLE = rf"""
-WITH d AS (SELECT doc_id, coalesce(doc_id, {NO_ID}) AS id, text, string_split(text, chr(10)) AS parts FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(doc_id, {NO_ID}) AS id, text, string_split(text, chr(10)) AS parts FROM documents),
 raw AS (
   SELECT id, text, unnest(range(len(parts))) AS place, unnest(parts) AS line FROM (SELECT DISTINCT id, text, parts FROM d)
 ),
@@ -276,7 +275,7 @@ leafed AS (
 ),
 own AS (SELECT n, lead, line, min(id) AS first, max(id) AS last FROM leafed GROUP BY ALL),
 tokens AS (
-  SELECT n, lead, line, unnest(range(n)) AS place, unnest(string_split(line, ' ')) AS token FROM own WHERE n >= {LEAST}
+  SELECT n, lead, line, unnest(range(n)) AS place, unnest(string_split(line, ' ')) AS token FROM own WHERE n >= {SHORTEST}
     AND (n, lead) IN (SELECT (n, lead) FROM own GROUP BY n, lead HAVING count(*) > 1)
 ),
 counted AS (SELECT n, lead, place, token, count(*) AS c FROM tokens GROUP BY ALL),
@@ -288,9 +287,38 @@ near AS (
   SELECT n, lead, line FROM tokens JOIN common USING (n, lead, place) GROUP BY n, lead, line
   HAVING sum(CASE WHEN token = best THEN 1 ELSE 0 END) >= ceil(n * {SHARE} - 1e-9)
 ),
+rest AS (
+  SELECT DISTINCT n, lead, line, md5(line) AS h, string_split(line, ' ') AS t, n - ceil(n * {SHARE} - 1e-9)::INT + 1 AS k
+  FROM tokens WHERE (n, lead, line) NOT IN (SELECT (n, lead, line) FROM near)
+),
+runs AS (
+  SELECT n, lead, line, h, t, run,
+    array_to_string(t[{DEPTH} + 1 + run * (n - {DEPTH}) // k : {DEPTH} + (run + 1) * (n - {DEPTH}) // k], ' ') AS key
+  FROM (SELECT *, unnest(range(k)) AS run FROM rest)
+),
+met AS (SELECT *, arg_min(line, h) OVER g AS a, arg_min(t, h) OVER g AS a_t FROM runs WINDOW g AS (PARTITION BY n, lead, run, key)),
+first_links AS (
+  SELECT DISTINCT a, line AS b FROM met
+  WHERE a <> line AND len(list_filter(list_zip(t, a_t), lambda x: x[1] = x[2])) >= ceil(n * {SHARE} - 1e-9)
+),
+heads AS (SELECT * FROM runs WHERE line NOT IN (SELECT b FROM first_links)),
+links AS (
+  SELECT a, b FROM first_links
+  UNION
+  SELECT x.line, y.line FROM heads x JOIN heads y USING (n, lead, run, key)
+  WHERE x.h < y.h AND len(list_filter(list_zip(x.t, y.t), lambda z: z[1] = z[2])) >= ceil(x.n * {SHARE} - 1e-9)
+),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT DISTINCT a AS line, a AS other FROM both_ways
+  UNION SELECT r.line, e.b FROM reached r JOIN both_ways e ON r.other = e.a
+),
+grouped AS (SELECT line, min(other) AS root FROM reached GROUP BY line),
 named AS (
-  SELECT own.*, CASE WHEN near.line IS NOT NULL THEN 'leaf ' || own.n || ' ' || own.lead ELSE 'line ' || own.line END AS name
+  SELECT own.*, CASE WHEN near.line IS NOT NULL THEN 'leaf ' || own.n || ' ' || own.lead
+    ELSE 'line ' || coalesce(grouped.root, own.line) END AS name
   FROM own LEFT JOIN near ON own.n = near.n AND own.lead = near.lead AND own.line = near.line
+  LEFT JOIN grouped ON own.line = grouped.line
 ),
 recurring AS (SELECT name, min(first) AS owner FROM named GROUP BY name HAVING min(first) <> max(last)),
 gone AS (
