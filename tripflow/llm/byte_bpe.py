@@ -47,9 +47,9 @@ from tripflow.llm import base
 from tripflow.llm.word_cutter import PATTERN, Cutter, Words, classes, groups
 
 #: Words whose ids are broadcast, at most; bytes of a long word; distinct words that a task counts before it ships them.
-COMMON, LONG, HELD = 1_000_000, 48, 400_000
+COMMON, LONG, HELD = 600_000, 48, 100_000
 #: Ids of some texts that are put together at a time.
-AT_ONCE = 200_000
+AT_ONCE = 100_000
 #: Columns that ``encode_texts`` adds on the way.
 CODED, RARE_IDS = "__llm_coded", "__llm_rare_ids"
 LATIN = "ISO-8859-1"
@@ -190,6 +190,12 @@ class Ready:
         return int(runs.max())
 
 
+def shipped(held: dict[str, int]):
+    """The entries, some at a time; they are taken out."""
+    while held:
+        yield [held.popitem() for _ in range(min(len(held), 20_000))]
+
+
 def counted_words(df: DataFrame, cutter: tuple[str, bytes], column: str) -> DataFrame:
     """(word, n) of the distinct words of all texts."""
 
@@ -201,10 +207,9 @@ def counted_words(df: DataFrame, cutter: tuple[str, bytes], column: str) -> Data
                 for k, n in enumerate(np.bincount(words.codes, minlength=len(words)).tolist()):
                     word = words.word(k)
                     held[word] = held.get(word, 0) + n
-                if len(held) > HELD:
-                    yield list(held.items())
-                    held.clear()
-        yield list(held.items())
+                    if len(held) >= HELD:
+                        yield from shipped(held)
+        yield from shipped(held)
 
     schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
     parts = base.map_texts(df.select(base.text_of(df, column).alias("text")), work, schema)

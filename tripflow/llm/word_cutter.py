@@ -27,7 +27,7 @@ from tripflow.llm.shingles import odd
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Characters of texts that are cut together.
-CHARACTERS = 500_000
+CHARACTERS = 250_000
 
 
 @lru_cache(1)
