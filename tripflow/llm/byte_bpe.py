@@ -47,9 +47,9 @@ from tripflow.llm import base
 from tripflow.llm.word_cutter import PATTERN, Cutter, Words, classes, groups
 
 #: Words whose ids are broadcast, at most; bytes of a long word; distinct words that a task counts before it ships them.
-COMMON, LONG, HELD = 600_000, 48, 100_000
+COMMON, LONG, HELD = 1_000_000, 48, 100_000
 #: Ids of some texts that are put together at a time.
-AT_ONCE = 100_000
+AT_ONCE = 200_000
 #: Columns that ``encode_texts`` adds on the way.
 CODED, RARE_IDS = "__llm_coded", "__llm_rare_ids"
 LATIN = "ISO-8859-1"
