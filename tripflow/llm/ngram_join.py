@@ -55,8 +55,8 @@ FREQUENT, LEAST_COUNT = 300_000, 16
 LIST = 50_000
 #: Bits of the map of set numbers, 8 MB, and the power of two of bits in the map of shared shingles.
 MOST_BITS, MAP_BITS = 1 << 26, 26
-#: Shingles that are counted in one task.
-PART = 1_000_000
+#: Shingles that are counted in one task, and sets that a task counts together.
+PART, TOGETHER = 1_000_000, 20_000
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -154,19 +154,20 @@ def pieces(rows, size: int = 4000):
 BLOBS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("blob", T.BinaryType())])
 
 
-def counted_in_parts(sets: DataFrame, bits: int, prefix, reduced, fields: list[T.StructField]) -> DataFrame:
-    """Counts of the shingles ``prefix(set)`` over all documents, worked out part by part.
+def counted_in_parts(sets: DataFrame, bits: int, counted, reduced, fields: list[T.StructField]) -> DataFrame:
+    """Counts of shingles over all documents, worked out part by part.
 
-    A part holds the shingles that begin with the same ``bits`` bits: 2**bits is
-    chosen so that a part is about ``PART`` shingles. Tasks count first and ship
-    (shingle, count) as bytes, without the weight of rows; a shingle of very many
-    sets is one entry for every 20,000 of them. ``reduced`` makes columns of a
-    part's number, shingles and counts.
+    ``counted`` makes ascending shingles and their counts of a list of sets, the
+    sets that a task has met together. A part holds the shingles that begin with
+    the same ``bits`` bits: 2**bits is chosen so that a part is about ``PART``
+    shingles. Tasks count first and ship (shingle, count) as bytes, without the
+    weight of rows; a shingle of very many sets is one entry for every ``TOGETHER``
+    of them. ``reduced`` makes columns of a part's number, shingles and counts.
     """
 
     def work(batches):
-        for some in pieces(fresh_sets(batches), 20_000):
-            x, n = np.unique(np.concatenate([prefix(x) for _, x in some]), return_counts=True)
+        for some in pieces(fresh_sets(batches), TOGETHER):
+            x, n = counted([x for _, x in some])
             cuts = np.searchsorted(x, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
             cuts = np.append(cuts, len(x))
             for k in np.flatnonzero(np.diff(cuts)).tolist():
@@ -189,15 +190,25 @@ def counted_in_parts(sets: DataFrame, bits: int, prefix, reduced, fields: list[T
 
 
 def frequent(sets: DataFrame, bits: int, percent: int, most: int) -> Order:
-    """The order: shingles that many prefixes hold, counted over all documents."""
+    """The order: shingles that many sets hold, counted over all documents.
+
+    A shingle counts in the sets where it is among the first by number, and wherever
+    a task meets it in several sets at once: the shingles of large groups all do,
+    and those of one set alone, most of them, need not be shipped.
+    """
     low = LEAST_COUNT
 
+    def counted(some: list[np.ndarray]):
+        x, n = np.unique(np.concatenate(some), return_counts=True)
+        first = np.unique(np.concatenate([x[: prefix_length(len(x), percent)] for x in some]))
+        kept = n > 1
+        kept[np.searchsorted(x, first)] = True
+        return x[kept], n[kept]
+
     def reduced(_: int, x: np.ndarray, n: np.ndarray):
         return signed(x[n >= low]), n[n >= low]
 
-    many = base.keep(counted_in_parts(
-        sets, bits, lambda x: x[: prefix_length(len(x), percent)], reduced, [long("shingle"), long("n")]
-    ))
+    many = base.keep(counted_in_parts(sets, bits, counted, reduced, [long("shingle"), long("n")]))
     sizes = many.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count("*").alias("c")).collect()
     total, least = 0, 64
     for r in sorted(sizes, key=lambda r: -r["k"]):  # at most 64 rows
@@ -223,9 +234,11 @@ def shared(sets: DataFrame, bits: int, map_bits: int, order: Order, percent: int
         held[(x[n > 1] >> np.uint64(64 - map_bits)).astype(np.int64) - (part << (map_bits - bits))] = True
         return [part], [np.packbits(held).tobytes()]
 
-    got = counted_in_parts(
-        sets, bits, lambda x: order.prefix(x, prefix_length(len(x), percent))[0], reduced, list(BLOBS)
-    ).toArrow()  # 2**map_bits bits in all
+    def counted(some: list[np.ndarray]):
+        own = [order.prefix(x, prefix_length(len(x), percent))[0] for x in some]
+        return np.unique(np.concatenate(own), return_counts=True)
+
+    got = counted_in_parts(sets, bits, counted, reduced, list(BLOBS)).toArrow()  # 2**map_bits bits in all
     out = np.zeros((1 << map_bits) // 8, dtype=np.uint8)
     size = len(out) >> bits
     for part, blob in zip(got["part"].to_pylist(), got["blob"].to_pylist(), strict=True):
