@@ -12,16 +12,18 @@ Skipping by answers: equal sets are one set from the start. Then each list is
 read once, and every entry is compared with its block's first set and with the
 entry before it only: a number of pairs in proportion to the list. Verified links
 make groups. The answers of a group's sets are derived from each other's: two of
-one group need no comparison, since the class of either is known. A second reading
-compares the remaining pairs, those across groups, that the lists' blocks leave.
-So a list of thousands of near copies costs one comparison a set, not one a pair,
-and no link between different groups is lost.
-
-Rarity: prefixes by number alone are counted first; shingles that stand in many
-of them go to the end of the order. At most ``FREQUENT`` such shingles, the most
-frequent, travel to the tasks; any choice of them gives the same links. Then the
-prefixes of that order are counted, and shingles of one set only are left out of
-the lists, by a bit map of fixed size.
+one group need no comparison, since the class of either is known. Only lists in
+which several groups meet are read again: for ``TURNS`` rounds each entry is compared
+with a few of other groups beside it, and groups that link become one. At last all
+pairs across groups are compared that the lists' blocks leave. So a list of thousands
+of near copies costs a few comparisons a set, not one a pair, and no link between
+different groups is lost.
+
+Rarity: shingles are counted in the prefixes by number alone, and wherever a task
+meets one in several sets; those of many sets go to the end of the order. At most
+``FREQUENT`` such shingles, the most frequent, travel to the tasks; any choice of them
+gives the same links. Then the prefixes of that order are counted, and shingles of
+one set only are left out of the lists, by a bit map of fixed size.
 
 Set numbers, shingles, lists and links stay in Spark tables. A pair is first judged
 by what its two prefixes share; whole sets are shuffled only for pairs that remain,
@@ -53,6 +55,8 @@ PERCENT = 80
 FREQUENT, LEAST_COUNT = 300_000, 16
 #: Entries of an index list that go to one task; longer lists are salted.
 LIST = 50_000
+#: Rounds in which neighbours of different groups are compared before all that is left.
+TURNS, BESIDE = 4, 3
 #: Bits of the map of set numbers, 8 MB, and the power of two of bits in the map of shared shingles.
 MOST_BITS, MAP_BITS = 1 << 26, 26
 #: Shingles that are counted in one task, and sets that a task counts together.
@@ -369,19 +373,53 @@ def ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def across(live: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets in one list but of different groups, where sizes and places allow a link.
+def mixed_lists(named: DataFrame) -> DataFrame:
+    """The entries (shingle, salt, n, place, s, g) of lists in which several groups meet."""
+    lists = named.groupBy("shingle").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 <> g1")
+    return named.join(lists.select("shingle"), "shingle")
+
+
+def in_groups(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """``entries`` with the group of their set, ``g``; a set without links is its own."""
+    own = groups.select(F.col("node").alias("s"), "root")
+    return entries.join(own, "s", "left").select("shingle", "salt", "n", "place", "s", F.coalesce("root", "s").alias("g"))
+
+
+def with_main(named: DataFrame) -> DataFrame:
+    """``named`` with the largest group of each list, ``main``."""
+    sizes = named.groupBy("shingle", "g").agg(F.count("*").alias("c"))
+    return named.join(sizes.groupBy("shingle").agg(F.max(F.struct("c", "g"))["g"].alias("main")), "shingle")
+
+
+def neighbours(named: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups: each entry with ``BESIDE`` entries beside it in its list,
+    and with the nearest of the list's largest group.
+
+    Sizes within one factor stand together, in them the places that may link with equal
+    sizes, and there the order changes with ``turn``. So pairs grow with the entries.
+    """
+    block = F.floor(F.log("n") / float(np.log(100 / percent)))
+    late = F.col("place") * (100 + percent) > F.col("n") * (100 - percent)
+    lists = Window.partitionBy("shingle", "salt").orderBy(block, late, F.xxhash64("s", F.lit(turn)), "s")
+    entry = F.struct("s", "g", "n", "place")
+    of_main = F.last(F.when((F.col("g") == F.col("main")) & ~late, entry), ignorenulls=True)
+    beside = [F.lag(entry, k).over(lists) for k in range(1, BESIDE + 1)]
+    beside.append(of_main.over(lists.rowsBetween(Window.unboundedPreceding, -1)))
+    met = with_main(named).select("s", "g", "n", "place", F.array(*beside).alias("beside"))
+    met = met.select("s", "g", "n", "place", F.explode("beside").alias("p")).where("p.g <> g")
+    small = F.col("p.n") <= F.col("n")
+    ends = [
+        F.when(small, F.col(x + c)).otherwise(F.col(y + c)) for x, y in (("p.", ""), ("", "p.")) for c in ("n", "place")
+    ]
+    return met.where(may_link(*ends, percent)).select(*ordered("p.s", "s")).distinct()
+
+
+def across(named: DataFrame, percent: int) -> DataFrame:
+    """All pairs of sets in one list but of different groups, where sizes and places allow a link.
 
     Each list's largest group is met with the others only, never with itself.
     """
-    named = base.keep(
-        live.select("shingle", "n", "place", "s").distinct()
-        .join(groups, F.col("s") == F.col("node"), "left")
-        .select("shingle", "n", "place", "s", F.coalesce("root", "s").alias("g"))
-    )
-    sizes = named.groupBy("shingle", "g").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("shingle").agg(F.max(F.struct("c", "g"))["g"].alias("main"), F.count("*").alias("groups"))
-    lists = named.join(main.where("groups > 1").select("shingle", "main"), "shingle")
+    lists = with_main(named)
     x, y = lists.where("g <> main").alias("x"), lists.alias("y")
     small = F.col("x.n") <= F.col("y.n")
     ends = [F.when(small, F.col(f"{p}.{c}")).otherwise(F.col(f"{q}.{c}")) for p, q in ("xy", "yx") for c in ("n", "place")]
@@ -422,10 +460,21 @@ def link_components(
     heads = base.keep(live.groupBy("s").agg(F.max("n").alias("n"), F.collect_list("shingle").alias("head")))
     links = verified(pairs, heads, sets, percent)
     groups = components(links)
-    rest = across(live, groups, percent).join(pairs, ["a", "b"], "left_anti")
-    more = verified(rest, heads, sets, percent)
+    named = base.keep(mixed_lists(in_groups(live, groups)))
+    for turn in range(TURNS):
+        tested = neighbours(named, turn, percent).join(pairs, ["a", "b"], "left_anti")
+        tested = base.keep(tested)
+        more = verified(tested, heads, sets, percent)
+        pairs = pairs.unionByName(tested)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        groups = components(links)
+        named = base.keep(mixed_lists(in_groups(named, groups)))
+    more = verified(across(named, percent).join(pairs, ["a", "b"], "left_anti"), heads, sets, percent)
     if not more.isEmpty():
-        groups = components(links.unionByName(more))
+        links = links.unionByName(more)
+        groups = components(links)
     # the same document may stand in several rows: its sets belong together
     named = own.where("s is not null").select("doc_id", "s").distinct()
     root = F.coalesce("root", "s")
@@ -435,8 +484,7 @@ def link_components(
     )
     ties = base.keep(ties)
     if not ties.isEmpty():
-        wider = [links, more, ties_of(own, ties)]
-        groups = components(wider[0].unionByName(wider[1]).unionByName(wider[2]))
+        groups = components(links.unionByName(ties_of(own, ties)))
     sets_to = (
         own.where("s is not null").groupBy("s").agg(F.min("doc_id").alias("least"))
         .join(groups, F.col("s") == F.col("node"), "left").select("s", "least", root.alias("g"))
