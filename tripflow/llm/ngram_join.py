@@ -13,7 +13,7 @@ read once, and every entry is compared with its block's first set and with the
 entry before it only: a number of pairs in proportion to the list. Verified links
 make groups. The answers of a group's sets are derived from each other's: two of
 one group need no comparison, since the class of either is known. Only lists in
-which several groups meet are read again: for ``TURNS`` rounds each entry is compared
+which several groups meet are read again: in ``TURNS`` rounds each entry is compared
 with a few of other groups beside it, and groups that link become one. At last all
 pairs across groups are compared that the lists' blocks leave. So a list of thousands
 of near copies costs a few comparisons a set, not one a pair, and no link between
@@ -55,12 +55,12 @@ PERCENT = 80
 FREQUENT, LEAST_COUNT = 300_000, 16
 #: Entries of an index list that go to one task; longer lists are salted.
 LIST = 50_000
-#: Rounds in which neighbours of different groups are compared before all that is left.
-TURNS, BESIDE = 4, 3
+#: Rounds in which neighbours of different groups are compared before all that is left, and entries beside one.
+TURNS, BESIDE = 2, 3
 #: Bits of the map of set numbers, 8 MB, and the power of two of bits in the map of shared shingles.
 MOST_BITS, MAP_BITS = 1 << 26, 26
-#: Shingles that are counted in one task, and sets that a task counts together.
-PART, TOGETHER = 1_000_000, 20_000
+#: Shingles that are counted in one task, and shingles that a task counts together before it ships them.
+PART, TOGETHER = 1_000_000, 1_500_000
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -155,6 +155,19 @@ def pieces(rows, size: int = 4000):
         yield held
 
 
+def counted_together(sets):
+    """Lists of sets with about ``TOGETHER`` shingles in all, at least one set each."""
+    held, total = [], 0
+    for x in sets:
+        held.append(x)
+        total += len(x)
+        if total >= TOGETHER:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 BLOBS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("blob", T.BinaryType())])
 
 
@@ -165,13 +178,13 @@ def counted_in_parts(sets: DataFrame, bits: int, counted, reduced, fields: list[
     sets that a task has met together. A part holds the shingles that begin with
     the same ``bits`` bits: 2**bits is chosen so that a part is about ``PART``
     shingles. Tasks count first and ship (shingle, count) as bytes, without the
-    weight of rows; a shingle of very many sets is one entry for every ``TOGETHER``
-    of them. ``reduced`` makes columns of a part's number, shingles and counts.
+    weight of rows; a shingle of very many sets is one entry for all that a task
+    counts together, sets of about ``TOGETHER`` shingles. ``reduced`` makes columns of a part's number, shingles and counts.
     """
 
     def work(batches):
-        for some in pieces(fresh_sets(batches), TOGETHER):
-            x, n = counted([x for _, x in some])
+        for some in counted_together(x for _, x in fresh_sets(batches)):
+            x, n = counted(some)
             cuts = np.searchsorted(x, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
             cuts = np.append(cuts, len(x))
             for k in np.flatnonzero(np.diff(cuts)).tolist():
