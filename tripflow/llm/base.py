@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,6 +26,14 @@ def struct_of(ddl: str) -> T.StructType:
     return T.DataType.fromDDL(ddl)
 
 
+def give_back() -> None:
+    """Memory that a batch has needed goes back to the system before the next one, as workers are used again."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of most Linux systems has it
+    if trim:
+        trim(0)
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text column, null as empty."""
     return F.coalesce(df[column], F.lit(""))
@@ -49,6 +58,8 @@ def with_rows(
             held = list(zip(*rows, strict=True)) if rows else [()] * len(names)
             arrays = [pa.array(list(v), f.type) for v, f in zip(held, kind, strict=True)]
             yield pa.StructArray.from_arrays(arrays, fields=list(kind))
+            del parts, rows, held, arrays
+            give_back()
 
     def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return run(batches)
@@ -76,5 +87,7 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(v), f.type) for v, f in zip(held, kind, strict=True)], schema=kind
                 )
+                del rows, held
+                give_back()
 
     return df.mapInArrow(run, schema)

@@ -106,6 +106,8 @@ def map_arrays(df: DataFrame, work, fields: list[T.StructField]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind
                 )
+                del columns
+                base.give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -272,12 +274,12 @@ def index(
     """Entries of the index lists; a list longer than ``list_size`` is salted by the set."""
 
     def work(batches):
-        several = np.unpackbits(held).astype(bool)
         for part in pieces(fresh_sets(batches)):
             cols: list[list] = [[], [], [], [], []]
             for s, x in part:
                 own, count = order.prefix(x, prefix_length(len(x), percent))
-                place = np.flatnonzero(several[(own >> np.uint64(64 - map_bits)).astype(np.int64)])
+                bit = (own >> np.uint64(64 - map_bits)).astype(np.int64)
+                place = np.flatnonzero((held[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1)
                 own, count = own[place], count[place]
                 salts = count // list_size + 1
                 cols[0].append(signed(own))
