@@ -266,6 +266,7 @@ def coded_rows(df: DataFrame, rank_path: str, pattern: str, column: str, most: i
     @F.arrow_udf("struct<ids: array<int>, rare: array<string>>")
     def coded(column: pa.Array) -> pa.Array:
         """Ids of the words that are ready; of the others of a text, its k-th is -1 - k among the ids."""
+        base.give_back()
         cut, ready, ids, rare = Cutter(*cutter), shared.value, [], []
         texts = column.to_pylist()
         for a, b in groups([len(t) for t in texts]):
@@ -372,16 +373,21 @@ def decoded(ids: Column, rank_path: str) -> Column:
 
 
 def round_trip(df: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of ``df`` (doc_id, text)."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of ``df`` (doc_id, text).
+
+    Ids are written before they are completed and decoded, so that a task has one Python worker at a time.
+    """
     pieces = Pieces(rank_path)
 
     @F.arrow_udf("struct<ids: array<int>, bytes: binary>")
     def both(ids: pa.Array, rare_ids: pa.Array) -> pa.Array:
         """Ids, and what they decode to: one Python worker a task for the two."""
+        base.give_back()
         whole = complete_all(ids, rare_ids)
         return pa.StructArray.from_arrays([whole, pieces.joined(whole)], ["ids", "bytes"])
 
     coded = coded_rows(df.select("doc_id", "text"), rank_path, pattern, "text", COMMON)
+    coded = base.keep(coded.select("doc_id", CODED, RARE_IDS))
     out = F.col(base.OUT)
     return coded.withColumn(base.OUT, both(CODED, RARE_IDS)).select(
         "doc_id",
