@@ -246,6 +246,22 @@ def test_join_of_an_empty_table_and_stage(spark, tmp_path):
     assert sorted(r.doc_id for r in ngram_join.join_stage(spark, df, "").collect()) == [2, 7, 8, 9]
 
 
+def test_join_stage_keeps_one_row_of_a_group(spark):
+    words = [f"w{k}" for k in range(60)]
+    one, near, other = " ".join(words), " ".join([*words[:-1], "x"]), " ".join(reversed(words))
+    df = documents(
+        spark,
+        [(5, one), (5, one), (5, near), (None, one), (7, near), (8, other), (None, "a b"), (None, "a b"), (9, ""), (9, ""), (7, " "), (None, None)],
+    )
+    got = ngram_join.join_stage(spark, clashing(df), "").collect()
+    # group 5: one row; 8; one of the group without ids; rows without words stay
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted(
+        [(5, min(one, near)), (8, other), (0, "a b"), (9, ""), (9, ""), (7, " "), (0, "")]
+    )
+    with pytest.raises(ValueError, match="not allowed"):
+        ngram_join.join_stage(spark, df.withColumn(ngram_join.NODE, F.lit(1)), "")
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(100, 160)] + [(5, k) for k in range(200, 260)] + [(7, 7), (160, 100)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

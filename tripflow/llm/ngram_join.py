@@ -523,8 +523,31 @@ def op6_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return link_components(base.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+#: Column that the stage adds on the way.
+NODE = "__llm_node"
+
+
 def join_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group stays, the one with the smallest id."""
-    found = link_components(docs.select("doc_id", "text"))
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """Pipeline stage: one document of each group stays, the one with the smallest id.
+
+    Texts without words are in no group and stay as they are. Ids are below 2**62: a row
+    without id is known by a larger number made of its text, so it stays only where no
+    row of its group has an id. Of several rows with the id that stays one is left, the
+    first by its columns as JSON.
+    """
+    if NODE in docs.columns or base.OUT in docs.columns:
+        raise ValueError(f"columns {NODE} and {base.OUT} are not allowed")
+    of_text = F.xxhash64("text").bitwiseAND((1 << 62) - 1) + (1 << 62)
+    has_words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    named = docs.withColumn(NODE, F.when(has_words, F.coalesce(F.col("doc_id").cast("long"), of_text)))
+    found = link_components(named.where(F.col(NODE).isNotNull()).select(F.col(NODE).alias("doc_id"), "text"))
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(NODE)).distinct()
+    again = found.where("component_id = doc_id").groupBy(F.col("doc_id").alias(NODE)).count().where("count > 1")
+    again = base.keep(again.select(NODE))
+    left = named.join(gone, NODE, "left_anti")
+    if again.isEmpty():
+        return left.select(docs.columns)
+    row = F.struct(*docs.columns)
+    # partial minima first: many rows of one id are never in one task
+    first = left.join(again, NODE, "left_semi").groupBy(NODE).agg(F.min_by(row, F.to_json(row)).alias(base.OUT))
+    return left.join(again, NODE, "left_anti").select(docs.columns).unionByName(first.select(f"{base.OUT}.*"))
