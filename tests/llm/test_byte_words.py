@@ -101,3 +101,39 @@ def test_letters_of_late_unicode_versions(spark, coder):
     got = byte_bpe.round_trip(documents(spark, list(enumerate(late))), path, pattern)
     want = Counter((k, hashlib.sha256(",".join(map(str, library.encode_ordinary(t))).encode()).hexdigest()) for k, t in enumerate(late))
     assert Counter((r.doc_id, r.ids_sha256) for r in got.collect()) == want
+
+
+def test_rows_of_pairs_hold_every_pair(coder):
+    """The look-up of a pair is two places read, in one flat array."""
+    ranks = coder[3]
+    starts, slots = byte_bpe.pair_rows(ranks)
+    found = 0
+    for piece, rank in ranks.items():
+        for k in range(1, len(piece)):
+            if piece[:k] in ranks and piece[k:] in ranks:
+                left = ranks[piece[:k]]
+                assert slots[starts[left] + ranks[piece[k:]]] & 0xFFFFFFFF == (left << 16) + rank
+                found += 1
+    assert found == sum(v != -1 for v in slots) and len(slots) < 4 << 17
+
+
+def test_starts_and_names_of_words(coder):
+    ranks = coder[3]
+    words = word_cutter.Cutter(word_cutter.PATTERN, word_cutter.classes()).cut(["été été", "", "ab 😀!"])
+    names = words.names(byte_bpe.np.arange(len(words)))
+    assert names.to_pylist() == [words.word(k) for k in range(len(words))]
+    for word, start in zip(names.to_pylist(), byte_bpe.Bytes(ranks).starts(names).to_pylist()):
+        x = word.encode()
+        assert start["ids"] == [ranks[x[k : k + 1]] for k in range(len(x))]
+        assert start["ranks"] == [ranks.get(x[k : k + 2]) for k in range(len(x) - 1)] + [None]
+
+
+def test_classes_take_little_memory_in_the_driver():
+    import tracemalloc
+
+    word_cutter.classes.cache_clear()
+    tracemalloc.start()
+    word_cutter.classes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6

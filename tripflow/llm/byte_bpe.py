@@ -4,9 +4,10 @@ A text is cut into words by the tokenizer's pattern. A word begins as the ids of
 bytes, and a fold joins, step by step, the adjacent pair of least rank, leftmost
 first, until no pair has a rank; the rank of a pair is the id of the joined piece.
 After a step only the two pairs beside the new piece are looked up again. Ranks
-are a literal in the expression: flat arrays with a perfect hash over the pairs,
-so that a look-up is two places read and one comparison; a literal map would be
-searched from end to end. Decoding takes the bytes of all ids of a batch from one
+are a literal in the expression: each left piece has its row of right pieces, and the
+rows are laid over each other in one flat array, so that a look-up is two places read
+and one comparison; a literal map would be searched from end to end. The ids of a word's
+bytes and the ranks of neighbouring bytes, the fold's start, come with the word. Decoding takes the bytes of all ids of a batch from one
 table and cuts them by text.
 
 Words are counted over all documents, by task first. Those that recur are folded once,
@@ -44,15 +45,14 @@ from pyspark.sql import types as T
 
 from tripflow.functions.project import select_once
 from tripflow.llm import base
-from tripflow.llm.word_cutter import PATTERN, Cutter, Words, classes, groups
+from tripflow.llm.word_cutter import PATTERN, Cutter, Words, classes, groups, spread
 
-#: Words whose ids are broadcast, at most; bytes of a long word; distinct words that a task counts before it ships them.
-COMMON, LONG, HELD = 1_000_000, 48, 100_000
+#: Words whose ids are broadcast, at most; bytes of a long word; counted words that a task holds before it adds and ships them.
+COMMON, LONG, HELD = 1_000_000, 48, 600_000
 #: Ids of some texts that are put together at a time.
 AT_ONCE = 200_000
 #: Columns that ``encode_texts`` adds on the way.
 CODED, RARE_IDS = "__llm_coded", "__llm_rare_ids"
-LATIN = "ISO-8859-1"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -66,45 +66,90 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-#: Sizes of the hash of the pairs, two primes, and what ids are multiplied with before.
-GROUPS, SLOTS = 65_521, 262_139
-GROUP_BY, SLOT_BY = (31_337, 7_919), (7_907, 31_847)
+#: Row of a piece that begins no pair: every look-up is before the first slot.
+NO_ROW = -(1 << 20)
+#: Places tried at a time.
+BLOCK = 2048
+#: How a fold begins: ids of a word's bytes, and the rank of each with the next one.
+START = pa.struct([("ids", pa.list_(pa.int32())), ("ranks", pa.list_(pa.int32()))])
 
 
-def literal_pairs(ranks: dict[bytes, int]) -> Column:
-    """A literal struct of arrays: ids of bytes, and pairs of ids with the id of the joined piece.
+def pair_rows(ranks: dict[bytes, int]) -> tuple[list[int], list[int]]:
+    """Rows of joined ids by left id, laid over each other: row starts, and slots.
 
-    A pair's group tells a shift, and its place, shifted, the slot that holds the
-    pair's number, left * 65536 + right, and the joined id.
+    The slot at a row's start plus the right id holds left * 65536 + joined id, as a signed
+    32-bit number; -1 is none. Rows with many pairs are laid first, each at the first place
+    behind the row before where all its slots are free.
     """
-    if max(ranks.values()) >= 1 << 16:
-        raise ValueError("ids must be below 65536")
-    groups: dict[int, list[tuple[int, int]]] = {}
+    if max(ranks.values()) >= (1 << 16) - 1:
+        raise ValueError("ids must be below 65535")
+    own: dict[int, dict[int, int]] = {}
     for t, r in ranks.items():
         for k in range(1, len(t)):
-            if t[:k] in ranks and t[k:] in ranks:
-                a, b = ranks[t[:k]], ranks[t[k:]]
-                place = (SLOT_BY[0] * a + SLOT_BY[1] * b) % SLOTS
-                groups.setdefault((GROUP_BY[0] * a + GROUP_BY[1] * b) % GROUPS, []).append((place, (a << 32) | (b << 16) | r))
-    shift, slots = [0] * GROUPS, [-1] * SLOTS
-    for g, own in sorted(groups.items(), key=lambda x: (-len(x[1]), x[0])):
-        d = next((d for d in range(SLOTS) if all(slots[(x + d) % SLOTS] < 0 for x, _ in own)), None)
-        if d is None or len({x for x, _ in own}) < len(own):
-            raise ValueError("the pairs do not fit the hash; choose other sizes")
-        shift[g] = d
-        for x, packed in own:
-            slots[(x + d) % SLOTS] = packed
-    held = {"bytes": [ranks[bytes([b])] for b in range(256)], "shift": shift, "slots": slots}
-    return F.from_json(F.lit(json.dumps(held)), "bytes array<int>, shift array<int>, slots array<bigint>")
+            a, b = ranks.get(t[:k]), ranks.get(t[k:])
+            if a is not None and b is not None:
+                own.setdefault(a, {})[b] = r
+    starts = np.full(max(ranks.values()) + 1, NO_ROW, dtype=np.int64)
+    slots = np.full(4 << 16, -1, dtype=np.int64)
+    free = np.ones(len(slots), dtype=bool)
+    low, length = 0, 65
+    for a, row in sorted(own.items(), key=lambda x: (-len(x[1]), x[0])):
+        right = np.array(sorted(row), dtype=np.int64)
+        beside = right[1:] - right[0]
+        if len(row) < length:  # short rows fit where longer ones did not
+            low, length = int(np.argmax(free)), len(row)
+        at = None
+        while at is None:
+            if low + BLOCK + right[-1] >= len(slots):
+                slots = np.append(slots, np.full(len(slots), -1, dtype=np.int64))
+                free = np.append(free, np.ones(len(free), dtype=bool))
+            places = low + np.flatnonzero(free[low : low + BLOCK])
+            for b in beside.tolist():
+                places = places[free[places + b]]
+                if len(places) <= 4:
+                    break
+            at = next((p for p in places.tolist() if free[p + beside].all()), None)
+            low = low + BLOCK if at is None else at
+        starts[a] = at - right[0]
+        free[starts[a] + right] = False
+        slots[starts[a] + right] = (a << 16) + np.array([row[b] for b in right.tolist()], dtype=np.int64)
+    slots = slots[: int(np.flatnonzero(~free).max(initial=0)) + 1].astype(np.uint32).view(np.int32)
+    return starts.tolist(), slots.tolist()
+
+
+def literal_pairs(ranks: dict[bytes, int]) -> Column:
+    """A literal struct of arrays: the rows of ``pair_rows``."""
+    starts, slots = pair_rows(ranks)
+    return F.from_json(F.lit(json.dumps({"starts": starts, "slots": slots}, separators=(",", ":"))), "starts array<int>, slots array<int>")
 
 
 def joined(table: Column, left: Column, right: Column) -> Column:
     """Id of two pieces joined, null where there is none."""
-    a, b = left.cast("long"), right.cast("long")
-    group = F.pmod(a * GROUP_BY[0] + b * GROUP_BY[1], F.lit(GROUPS)).cast("int")
-    place = F.pmod(a * SLOT_BY[0] + b * SLOT_BY[1] + F.get(table["shift"], group), F.lit(SLOTS)).cast("int")
-    slot = F.get(table["slots"], place)
-    return F.when(F.shiftright(slot, 16) == F.shiftleft(a, 16) + b, slot.bitwiseAND(0xFFFF).cast("int"))
+    slot = F.get(table["slots"], F.get(table["starts"], left) + right)
+    return F.when(F.shiftrightunsigned(slot, 16) == left, slot.bitwiseAND(0xFFFF))
+
+
+class Bytes:
+    """Ids of single bytes, and of two bytes joined (-1: none)."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.one = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.two = np.full(1 << 16, -1, dtype=np.int32)
+        for t, r in ranks.items():
+            if len(t) == 2:
+                self.two[t[0] * 256 + t[1]] = r
+
+    def starts(self, words: pa.StringArray) -> pa.StructArray:
+        """How the fold of each word begins, as START."""
+        cuts = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int32)
+        held = words.buffers()[2] if len(words) else None
+        x = np.frombuffer(held, np.uint8)[cuts[0] : cuts[-1]] if held is not None else np.zeros(0, np.uint8)
+        cuts = cuts - cuts[0]
+        ranks = np.append(self.two[x[:-1].astype(np.int32) * 256 + x[1:]], np.int32(-1))[: len(x)]
+        ranks[cuts[1:][np.diff(cuts) > 0] - 1] = -1
+        ends = pa.array(cuts, pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, v) for v in (pa.array(self.one[x]), pa.array(ranks, mask=ranks < 0))]
+        return pa.StructArray.from_arrays(lists, fields=list(START))
 
 
 def pair_ranks(ids: Column, table: Column) -> Column:
@@ -145,20 +190,19 @@ def begin(ids: Column, table: Column) -> Column:
     return bound(pair_ranks(ids, table), lambda r: F.struct(ids.alias("ids"), r.alias("ranks"), best_place(r).alias("at")))
 
 
-def fold(ids: Column, table: Column, join) -> Column:
-    """Ids of a word's bytes after all merges."""
-    steps = F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1)))
+def fold(start: Column, table: Column, join) -> Column:
+    """Ids of a word after all merges, from its start."""
+    steps = F.sequence(F.lit(1), F.greatest(F.size(start["ids"]) - 1, F.lit(1)))
+    first = F.struct(start["ids"].alias("ids"), start["ranks"].alias("ranks"), best_place(start["ranks"]).alias("at"))
     step = lambda state, _: F.when(state["at"].isNull(), state).otherwise(join(state, table))
-    return F.aggregate(steps, begin(ids, table), step, lambda state: state["ids"])
+    return F.aggregate(steps, first, step, lambda state: state["ids"])
 
 
-def folded_ids(word: Column, table: Column) -> Column:
-    """Ids of a word by the fold."""
-    letters = F.split(F.decode(word.cast("binary"), LATIN), "")
-    start = F.transform(letters, lambda c: F.get(table["bytes"], F.ascii(c)))
-    return bound(start, lambda ids: F.when(
-        F.size(ids) <= LONG, fold(ids, table, join_first)
-    ).otherwise(fold(ids, table, join_all)))
+def folded_ids(start: Column, table: Column) -> Column:
+    """Ids of a word by the fold; ``start`` is one of ``Bytes.starts``."""
+    return F.when(
+        F.size(start["ids"]) <= LONG, fold(start, table, join_first)
+    ).otherwise(fold(start, table, join_all))
 
 
 @dataclass
@@ -190,33 +234,45 @@ class Ready:
         return int(runs.max())
 
 
-def shipped(held: dict[str, int]):
-    """The entries, some at a time; they are taken out."""
-    while held:
-        yield [held.popitem() for _ in range(min(len(held), 20_000))]
+def added(held: list[tuple]) -> pa.RecordBatch:
+    """Words and their counts, from (number, count, word) of several groups of texts.
+
+    Two words of one number would be counted as the first: that may only make a word rare.
+    """
+    numbers, first, which = np.unique(np.concatenate([h for h, _, _ in held]), return_index=True, return_inverse=True)
+    n = np.zeros(len(numbers), dtype=np.int64)
+    np.add.at(n, which, np.concatenate([n for _, n, _ in held]))
+    return pa.RecordBatch.from_arrays([pa.concat_arrays([w for _, _, w in held]).take(pa.array(first)), pa.array(n)], ["word", "n"])
 
 
 def counted_words(df: DataFrame, cutter: tuple[str, bytes], column: str) -> DataFrame:
     """(word, n) of the distinct words of all texts."""
 
     def work(batches):
-        cut, held = Cutter(*cutter), {}
-        for (texts,) in batches:
-            for a, b in groups([len(t) for t in texts]):
-                words = cut.cut(texts[a:b])
-                for k, n in enumerate(np.bincount(words.codes, minlength=len(words)).tolist()):
-                    word = words.word(k)
-                    held[word] = held.get(word, 0) + n
-                    if len(held) >= HELD:
-                        yield from shipped(held)
-        yield from shipped(held)
-
-    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
-    parts = base.map_texts(df.select(base.text_of(df, column).alias("text")), work, schema)
+        cut, held, size = Cutter(*cutter), [], 0
+        for b in batches:
+            texts = b.column(0).to_pylist()
+            for low, high in groups([len(t) for t in texts]):
+                words = cut.cut(texts[low:high])
+                if len(words):
+                    held.append((words.h1, np.bincount(words.codes, minlength=len(words)), words.names(np.arange(len(words)))))
+                    size += len(words)
+                if size >= HELD:
+                    yield added(held)
+                    held, size = [], 0
+                    base.give_back()
+        if held:
+            yield added(held)
+        del held
+        base.give_back()
+
+    parts = df.select(base.text_of(df, column).alias("text")).mapInArrow(work, "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def ready_words(df: DataFrame, cutter: tuple[str, bytes], table: Column, column: str, most: int = COMMON) -> Ready:
+def ready_words(
+    df: DataFrame, cutter: tuple[str, bytes], table: Column, letters: Bytes, column: str, most: int = COMMON
+) -> Ready:
     """The words that recur, up to ``most`` by classes of their counts, folded once each."""
     several = base.keep(counted_words(df, cutter, column).where((F.col("n") > 1) & (F.octet_length("word") <= LONG)))
     kind = F.when(F.col("n") < 64, F.col("n")).otherwise(58 + F.floor(F.log2("n")))
@@ -231,27 +287,26 @@ def ready_words(df: DataFrame, cutter: tuple[str, bytes], table: Column, column:
         none = np.zeros(0, dtype=np.uint64)
         return Ready(none, none, np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int32))
 
-    @F.arrow_udf("struct<h1: long, h2: long>")
+    @F.arrow_udf("struct<h1: long, h2: long, start: struct<ids: array<int>, ranks: array<int>>>")
     def numbers(words: pa.Array) -> pa.Array:
-        return pa.StructArray.from_arrays([x.view(np.int64) for x in Cutter(*cutter).numbered(words.to_pylist())], ["h1", "h2"])
+        own = [x.view(np.int64) for x in Cutter(*cutter).numbered(words.to_pylist())]
+        return pa.StructArray.from_arrays([*own, letters.starts(words)], ["h1", "h2", "start"])
 
     slots = 4 * df.sparkSession.sparkContext.defaultParallelism
-    chosen = several.where(F.col("n") >= least).select("word").repartition(slots)
-    got = chosen.select(
-        numbers("word").alias("h"), F.transform(F.array("word"), lambda w: bound(table, lambda t: folded_ids(w, t))).alias("ids")
-    ).select("h.h1", "h.h2", F.get("ids", 0).alias("ids")).toArrow()  # ``most`` rows, some 50 bytes each
+    chosen = several.where(F.col("n") >= least).select("word").repartition(slots).select(numbers("word").alias("h"))
+    ids = F.get(F.transform(F.array("h.start"), lambda w: bound(table, lambda t: folded_ids(w, t))), 0)
+    got = chosen.select("h.h1", "h.h2", ids.alias("ids")).toArrow()  # ``most`` rows, some 50 bytes each
     h1, h2 = (got[c].to_numpy().view(np.uint64) for c in ("h1", "h2"))
     order = np.argsort(h1, kind="stable")
-    lists = got["ids"].combine_chunks().take(pa.array(order))
-    return Ready(
-        h1[order], h2[order], np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]),
-        lists.flatten().to_numpy().astype(np.int32),
-    )
-
-
-def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places start .. start + size - 1 of each, one after another."""
-    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+    sizes = np.concatenate([x.value_lengths().to_numpy() for x in got["ids"].chunks])
+    flat = np.concatenate([x.flatten().to_numpy().astype(np.uint16) for x in got["ids"].chunks])
+    del got
+    h1, h2 = h1[order], h2[order]
+    first, sizes = (np.cumsum(sizes, dtype=np.int64) - sizes)[order], sizes[order]
+    ready = Ready(h1, h2, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), flat[spread(first, sizes)])
+    del flat, first, order, sizes
+    base.give_back()
+    return ready
 
 
 def coded_rows(df: DataFrame, rank_path: str, pattern: str, column: str, most: int) -> DataFrame:
@@ -259,13 +314,16 @@ def coded_rows(df: DataFrame, rank_path: str, pattern: str, column: str, most: i
     for name in (base.OUT, CODED, RARE_IDS):
         if name in df.columns:
             raise ValueError(f"a column {name} is not allowed")
-    table = literal_pairs(read_ranks(rank_path))
+    ranks = read_ranks(rank_path)
+    table, letters = literal_pairs(ranks), Bytes(ranks)
+    del ranks
     cutter = (pattern, classes() if pattern == PATTERN else b"")
-    shared = df.sparkSession.sparkContext.broadcast(ready_words(df, cutter, table, column, most))
+    base.give_back()
+    shared = df.sparkSession.sparkContext.broadcast(ready_words(df, cutter, table, letters, column, most))
 
-    @F.arrow_udf("struct<ids: array<int>, rare: array<string>>")
+    @F.arrow_udf("struct<ids: array<int>, rare: array<struct<ids: array<int>, ranks: array<int>>>>")
     def coded(column: pa.Array) -> pa.Array:
-        """Ids of the words that are ready; of the others of a text, its k-th is -1 - k among the ids."""
+        """Ids of the words that are ready, and the starts of the others; of a text, its k-th is -1 - k among the ids."""
         base.give_back()
         cut, ready, ids, rare = Cutter(*cutter), shared.value, [], []
         texts = column.to_pylist()
@@ -281,13 +339,14 @@ def coded_rows(df: DataFrame, rank_path: str, pattern: str, column: str, most: i
             flat[spread(before[:-1][held], own[held])] = ready.ids[spread(start[words.codes][held], own[held])]
             absent = np.flatnonzero(~held)
             text_of = np.searchsorted(words.cuts, absent, side="right") - 1
-            pairs, which = np.unique(np.stack([text_of, words.codes[absent]]), axis=1, return_inverse=True)
-            first = np.searchsorted(pairs[0], np.arange(b - a))
+            # distinct words of each text, as one number
+            pairs, which = np.unique(text_of * len(words) + words.codes[absent], return_inverse=True)
+            first = np.searchsorted(pairs, np.arange(b - a) * len(words))
             flat[before[absent]] = -1 - (which - first[text_of])
             ids.append(pa.ListArray.from_arrays(pa.array(before[words.cuts], pa.int32()), pa.array(flat)))
-            names = pa.array([words.word(w) for w in pairs[1].tolist()], pa.string())
-            rare.append(pa.ListArray.from_arrays(pa.array(np.append(first, len(names)), pa.int32()), names))
-        joined = [pa.concat_arrays(x) if x else pa.array([], t) for x, t in ((ids, pa.list_(pa.int32())), (rare, pa.list_(pa.string())))]
+            starts = letters.starts(words.names(pairs % max(len(words), 1)))
+            rare.append(pa.ListArray.from_arrays(pa.array(np.append(first, len(starts)), pa.int32()), starts))
+        joined = [pa.concat_arrays(x) if x else pa.array([], t) for x, t in ((ids, pa.list_(pa.int32())), (rare, pa.list_(START)))]
         return pa.StructArray.from_arrays(joined, ["ids", "rare"])
 
     marked = df.withColumn(CODED, coded(base.text_of(df, column)))

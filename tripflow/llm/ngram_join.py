@@ -238,7 +238,10 @@ def frequent(sets: DataFrame, bits: int, percent: int, most: int) -> Order:
     got = many.where(F.col("n") >= 2**least).toArrow() if least < 63 else None  # at most ``most`` rows
     if got is None or not got.num_rows:
         return Order(np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    return Order(got["shingle"].to_numpy().view(np.uint64), got["n"].to_numpy())
+    order = Order(got["shingle"].to_numpy().view(np.uint64), got["n"].to_numpy())
+    del got
+    base.give_back()
+    return order
 
 
 def shared(sets: DataFrame, bits: int, map_bits: int, order: Order, percent: int) -> np.ndarray:
@@ -262,6 +265,8 @@ def shared(sets: DataFrame, bits: int, map_bits: int, order: Order, percent: int
     size = len(out) >> bits
     for part, blob in zip(got["part"].to_pylist(), got["blob"].to_pylist(), strict=True):
         out[part * size : (part + 1) * size] = np.frombuffer(blob, np.uint8)
+    del got
+    base.give_back()
     return out
 
 
@@ -341,6 +346,8 @@ def sets_in(sets: DataFrame, numbers: DataFrame) -> DataFrame:
     ).toArrow()
     held = np.zeros(bits // 64, dtype=np.int64)
     held[words["word"].to_numpy()] = words["mask"].to_numpy()
+    del words
+    base.give_back()
 
     def work(batches):
         wanted = ((s, x) for s, x in fresh_sets(batches) if (int(held[(s & (bits - 1)) >> 6]) >> (s & 63)) & 1)

@@ -19,6 +19,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 from tripflow.llm.language_id import mixed
 from tripflow.llm.shingles import odd
@@ -35,17 +36,24 @@ def classes() -> bytes:
     """The class of every code point, as one byte each."""
     import tiktoken
 
-    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
-    text = "".join(map(chr, points))
+    points = np.arange(0x110000, dtype="<u4")
+    points = points[(points < 0xD800) | (points >= 0xE000)]
     bytes_only = {bytes([b]): b for b in range(256)}
     out = np.zeros(0x110000, dtype=np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
         library = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=bytes_only, special_tokens={})
-        found = bytes(library.encode_ordinary(text)).decode("utf-8")
-        out[np.frombuffer(found.encode("utf-32-le"), dtype=np.uint32)] = kind
+        # some at a time, since this runs in the driver and the library gives a list
+        for a in range(0, len(points), 1 << 14):
+            found = bytes(library.encode_ordinary(points[a : a + (1 << 14)].tobytes().decode("utf-32-le"))).decode("utf-8")
+            out[np.frombuffer(found.encode("utf-32-le"), dtype=np.uint32)] = kind
     return out.tobytes()
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start .. start + size - 1 of each, one after another."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+
+
 class Words:
     """The words of some texts: distinct ones with two numbers each, and which of them each word is."""
 
@@ -63,12 +71,24 @@ class Words:
         i = int(self._first[k])
         return self._text[int(self._start[i]) : int(self._end[i])]
 
+    def names(self, which: np.ndarray) -> pa.StringArray:
+        """The distinct words at these places."""
+        i = self._first[which]
+        a, b, data = self._start[i], self._end[i], self._text.encode("utf-8")
+        x = np.frombuffer(data, dtype=np.uint8)
+        if len(data) > len(self._text):  # from characters to bytes
+            at = np.append(np.flatnonzero((x & 0xC0) != 0x80), len(data))
+            a, b = at[a], at[b]
+        ends = np.concatenate([[0], np.cumsum(b - a)]).astype(np.int32)
+        return pa.StringArray.from_buffers(len(which), pa.py_buffer(ends), pa.py_buffer(x[spread(a, b - a)]))
+
 
 class Cutter:
     def __init__(self, pattern: str, table: bytes):
         self.pattern = pattern
         self.kinds = np.frombuffer(table, dtype=np.uint8)
         self.place = [odd(64, 1 << 42), odd(64, 1 << 43)]
+        self._held: tuple | None = None
         if pattern != PATTERN:
             import regex
 
@@ -147,10 +167,16 @@ class Cutter:
             return np.zeros(0, dtype=np.uint64)
         if size.max() > len(self.place[which]):
             self.place[which] = odd(int(size.max()), (1 << 42) << which)
-        # the characters of the words; their places in ``x``, and in the words
-        inside = np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        value = (x[inside].astype(np.uint64) + np.uint64(1)) * self.place[which][inside - np.repeat(start, size)]
-        return mixed(np.add.reduceat(value, np.cumsum(size) - size) ^ size.astype(np.uint64))
+        first = np.cumsum(size) - size
+        if self._held is None or self._held[0] is not start:  # the places of the characters in the words
+            step = np.ones(int(first[-1] + size[-1]), dtype=np.int64)
+            step[first] = np.concatenate([[0], 1 - size[:-1]])
+            self._held = (start, np.cumsum(step))
+        inside = self._held[1]
+        # words mostly follow each other without gaps
+        own = x if len(x) == len(inside) else x[spread(start, size)]
+        value = (own.astype(np.uint64) + np.uint64(1)) * self.place[which][inside]
+        return mixed(np.add.reduceat(value, first) ^ size.astype(np.uint64))
 
 
 def groups(sizes, most: int | None = None):
