@@ -106,22 +106,38 @@ def _counts(segments: DataFrame, split_rows: int, least_split: int, whole: bool)
     return keep(counts.where((F.col("mark") != VEHICLE) | (F.col("n") * share > split_rows)))
 
 
+def _chosen(counts: DataFrame, split_rows: int, every: int) -> DataFrame:
+    """(vehicle, start, end, id) of the cuts of hot vehicles: every so-manieth sampled row of each."""
+    hot = counts.where(F.col("mark") == VEHICLE).select("vehicle")
+    few = counts.where(F.col("mark") == ROW).join(hot, "vehicle")
+    place = F.row_number().over(Window.partitionBy("vehicle").orderBy(*ORDER))
+    step = max(1, round(split_rows / every))
+    return few.withColumn("_place", place).where(F.col("_place") % step == 0).select("vehicle", *ORDER)
+
+
 def _cuts(counts: DataFrame, split_rows: int, every: int) -> list[VehicleCuts]:
-    """Hot vehicles and their cuts: every so-manieth sampled row of each.
+    """Hot vehicles and their cuts.
 
     There are at most ``rows / split_rows`` vehicles, and about as many cuts in all.
     """
-    hot = counts.where(F.col("mark") == VEHICLE).select("vehicle")
-    few = counts.where(F.col("mark") == ROW).join(F.broadcast(hot), "vehicle")
-    place = F.row_number().over(Window.partitionBy("vehicle").orderBy(*ORDER))
-    step = max(1, round(split_rows / every))
-    chosen = few.withColumn("_place", place).where(F.col("_place") % step == 0)
     cuts: dict[int, list] = {}
-    for r in chosen.select("vehicle", *ORDER).collect():
+    for r in _chosen(counts, split_rows, every).collect():
         cuts.setdefault(r["vehicle"], []).append((r["start_ts"], r["end_ts"], r["seg_id"]))
     return [VehicleCuts(v, tuple(sorted(c))) for v, c in sorted(cuts.items())]
 
 
+def cut_table(segments: DataFrame, split_rows: int = SPLIT_ROWS, least_split: int = LEAST_SPLIT) -> DataFrame:
+    """The hot vehicles as a table (vehicle_id, _size, _groups), a row of ``VehicleCuts.grouped`` each, in the shared
+    folder: one pass over the segments, and no cut comes to the driver."""
+    _, every = sampling_steps(split_rows, least_split)
+    chosen = _chosen(_counts(segments, split_rows, least_split, whole=False), split_rows, every)
+    own = chosen.groupBy(F.col("vehicle").alias("vehicle_id")).agg(F.sort_array(F.collect_list(F.struct(*ORDER))).alias("_cuts"))
+    sized = own.withColumn("_size", F.greatest(F.lit(1), F.floor(F.sqrt(F.size("_cuts")))).cast("int"))
+    number = F.floor((F.size("_cuts") - 1) / F.col("_size")).cast("int")
+    groups = F.transform(F.sequence(F.lit(0), number), lambda k: F.slice("_cuts", k * F.col("_size") + 1, F.col("_size")))
+    return keep(sized.select("vehicle_id", "_size", groups.cast(f"array<array<{CUT}>>").alias("_groups")))
+
+
 def hot_vehicles(segments: DataFrame, split_rows: int = SPLIT_ROWS, least_split: int = LEAST_SPLIT) -> list[VehicleCuts]:
     """Vehicles with more than ``split_rows`` rows, and rows to cut them at: one pass over the segments."""
     _, every = sampling_steps(split_rows, least_split)

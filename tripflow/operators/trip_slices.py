@@ -9,7 +9,7 @@ its members' starts, down to the slices. No row of a slice takes part in this.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -111,37 +111,117 @@ def start_group(group: pa.Table) -> pa.Table:
     return pa.table({c: pa.array([r[c] for r in out], t) for c, t in types.items()})
 
 
+#: Rows of slices that are finished together, at most, unless a slice has more.
+TOGETHER = 65_536
+
+
+def whole_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Batches sorted by (vehicle_id, chunk) -> rows of whole slices, and where each begins, with the end."""
+    parts: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        parts.append(batch)
+        both = [parts[0].slice(0, 1), batch] if len(parts) > 1 else [batch]
+        key = [np.concatenate([b.column(c).to_numpy() for b in both]) for c in ("vehicle_id", "chunk")]
+        new = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])) + 2 - len(both)
+        if len(new):  # the last slice may go on
+            end = int(new[-1])
+            parts[-1] = batch.slice(0, end)
+            yield from _some_slices(pa.concat_batches(parts))
+            parts = [batch.slice(end)]
+    if parts:
+        yield from _some_slices(pa.concat_batches(parts))
+
+
+def _some_slices(rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    vehicle, chunk = (rows.column(c).to_numpy() for c in ("vehicle_id", "chunk"))
+    new = np.flatnonzero((vehicle[1:] != vehicle[:-1]) | (chunk[1:] != chunk[:-1])) + 1
+    low, cuts = 0, [0]
+    for end in [*new.tolist(), rows.num_rows]:
+        if end - low > TOGETHER and cuts[-1] > 0:
+            yield rows.slice(low, cuts[-1]), cuts
+            low, cuts = low + cuts[-1], [0]
+        cuts.append(end - low)
+    if rows.num_rows:
+        yield rows.slice(low), cuts
+
+
 def finish_slice(group: pa.Table) -> pa.Table:
-    """Head and tail rows of one slice, with its start -> its first trips, and its pieces of trips of several slices.
+    """``finish_slices`` for the rows of one slice, in any order."""
+    order = [(c, "ascending") for c in ("phase", "start_ts", "end_ts", "seg_id")]
+    return pa.Table.from_batches(finish_slices(group.sort_by(order).combine_chunks().to_batches()), FINISHED)
+
 
-    Every piece has its trip's number, which is the next one that the vehicle ends;
-    pieces of trips that never end are left out.
+FINISHED = pa.schema({"vehicle_id": pa.int64(), "trip_seq": pa.int32(), "part": pa.int32(), "segments": pa.list_(SEGMENT_TYPE)})
+START_COLUMNS = ["vehicle_id", "chunk", "last", "open", "before", "behind", "fate", "certain"]
+
+
+def finish_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Head and tail rows of slices, each with its slice's start -> the slices' first trips, and their pieces of
+    trips of several slices.
+
+    Rows are sorted by vehicle, chunk, phase and as in the fold. Every piece has its
+    trip's number, which is the next one that the vehicle ends; pieces of trips that never
+    end are left out.
     """
-    rows = group.sort_by([(c, "ascending") for c in ("phase", "start_ts", "end_ts", "seg_id")]).combine_chunks()
-    start = {c: rows[c][0].as_py() for c in ("vehicle_id", "chunk", "last", "open", "before", "behind", "fate", "certain")}
-    heads = rows.num_rows - int(np.count_nonzero(rows["phase"].to_numpy() == TAIL_ROW))
+    for rows, cuts in whole_slices(batches):
+        first = rows.select(START_COLUMNS).take(pa.array(cuts[:-1], pa.int64())).to_pylist()
+        phase, heads = rows.column("phase").to_numpy(), []
+        for low, high in zip(cuts, cuts[1:]):
+            heads.append(low + int(np.count_nonzero(phase[low:high] != TAIL_ROW)))
+        events = _events(rows, cuts, heads)
+        vehicles, numbers, parts, places = [], [], [], []
+        for start, low, end, high, own in zip(first, cuts, heads, cuts[1:], events):
+            for number, place in _pieces(start, own, end, high):
+                vehicles.append(start["vehicle_id"])
+                numbers.append(number)
+                parts.append(start["chunk"])
+                places.append(place)
+        if places:
+            yield pa.RecordBatch.from_pydict({
+                "vehicle_id": pa.array(vehicles, pa.int64()), "trip_seq": pa.array(numbers, pa.int32()),
+                "part": pa.array(parts, pa.int32()), "segments": trip_arrays(rows, places),
+            })
+
+
+def _events(rows: pa.RecordBatch, cuts: list[int], heads: list[int]) -> Iterator[Iterable[tuple]]:
+    """The head rows (place, kind, start, end) of each slice; a long slice's are read some at a time."""
+    names = ("kind", "start_ts", "end_ts")
+
+    def some(low: int, high: int) -> Iterator[tuple]:
+        for a in range(low, high, TOGETHER):
+            part = rows.slice(a, min(TOGETHER, high - a))
+            yield from zip(range(a, high), *(part.column(c).to_pylist() for c in names))
+
+    if rows.num_rows > TOGETHER:
+        yield from (some(low, end) for low, end in zip(cuts, heads))
+        return
+    held = [rows.column(c).to_pylist() for c in names]
+    for low, end in zip(cuts, heads):
+        yield zip(range(low, end), *(c[low:end] for c in held))
+
+
+def _pieces(start: dict, events: Iterable[tuple], heads: int, rows: int) -> list[tuple[int, list[int]]]:
+    """(trip number, places of rows) of one slice's pieces; its tail rows are the places from ``heads`` to ``rows``."""
     last, first, lead, trip = start["last"], NOTHING, [], []
     trips: list[list[int]] = []
-    for low in range(0, heads, 65_536):
-        part = rows.slice(low, min(65_536, heads - low))
-        for i, (kind, begin, end) in enumerate(
-            zip(*(part[c].to_pylist() for c in ("kind", "start_ts", "end_ts"))), low
-        ):
-            if last is not None and (begin < last or kind == METER_ON):
-                continue
-            if kind == METER_ON:
-                last, ends, part_of, how = end, True, False, DROPPED
-            else:
-                last, ends, part_of = after(kind, last, begin, end)
-                how = EMITTED
-            if ends:
-                if first == NOTHING:
-                    first, lead, trip = how, trip, []
-                elif trip and how == EMITTED:
-                    trips.append(trip)
-                trip = []
-            if part_of:
-                trip.append(i)
+    for i, kind, begin, end in events:
+        if last is not None and (begin < last or kind == METER_ON):
+            continue
+        if kind == METER_ON:
+            last, ends, part_of, how = end, True, False, DROPPED
+        else:
+            last, ends, part_of = after(kind, last, begin, end)
+            how = EMITTED
+        if ends:
+            if first == NOTHING:
+                first, lead, trip = how, trip, []
+            elif trip and how == EMITTED:
+                trips.append(trip)
+            trip = []
+        if part_of:
+            trip.append(i)
     pieces, number = [], start["before"] + 1
     if first == NOTHING and not start["certain"]:
         if trip and start["fate"] == EMITTED:
@@ -152,13 +232,7 @@ def finish_slice(group: pa.Table) -> pa.Table:
             number += 1
         pieces.extend(enumerate(trips, number))
         if start["certain"]:
-            trip = list(range(heads, rows.num_rows))
+            trip = list(range(heads, rows))
         if trip and start["fate"] == EMITTED:
             pieces.append((start["behind"] + 1, trip))
-    n = len(pieces)
-    numbers, places = zip(*pieces) if pieces else ((), ())
-    segments = trip_arrays(rows.to_batches()[0], list(places)) if pieces else pa.array([], pa.list_(SEGMENT_TYPE))
-    return pa.table({
-        "vehicle_id": pa.array([start["vehicle_id"]] * n, pa.int64()), "trip_seq": pa.array(numbers, pa.int32()),
-        "part": pa.array([start["chunk"]] * n, pa.int32()), "segments": segments,
-    })
+    return pieces

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.shared import keep
 from tripflow.operators import trip_fold, trip_slices
-from tripflow.operators.survey import CUT, LEAST_SPLIT, SPLIT_ROWS, VehicleCuts, entering_rows, hot_vehicles
+from tripflow.operators.survey import CUT, LEAST_SPLIT, SPLIT_ROWS, VehicleCuts, cut_table, entering_rows
 
 # The only modules that run inside Python workers. They travel with the task, so
 # the package need not be installed on every node.
@@ -67,15 +67,17 @@ def build_trips(
     ``num_partitions`` fixes the number of shuffle partitions; left out, AQE
     sizes them. Trips longer than ``max_trip_length`` seconds are dropped when
     it is positive. ``number=True`` adds ``trip_seq``, counted before that. A
-    ``split_rows`` below ``least_split`` is refused: the cuts come to the driver.
+    ``split_rows`` below ``least_split`` is refused: every slice has its own start to be found.
     """
-    if split_rows is None:
-        hot = []
-    elif hot is None:
-        hot = hot_vehicles(segments, split_rows, least_split)
-    rows = _fold_input(segments)
+    cuts = None
     if hot:
-        trips = _join_slices(keep(_fold_slices(_with_chunks(rows, hot), num_partitions)))
+        cuts = _given_cuts(segments.sparkSession, hot)
+    elif hot is None and split_rows is not None:
+        cuts = cut_table(segments, split_rows, least_split)
+        cuts = None if cuts.isEmpty() else cuts
+    rows = _fold_input(segments)
+    if cuts is not None:
+        trips = _join_slices(keep(_fold_slices(_cut_at(rows, cuts), num_partitions)))
     else:
         whole = rows.withColumns({"chunk": F.lit(None).cast("int"), "chunk_start": F.lit(None).cast("bigint")})
         trips = _sorted_runs(whole, num_partitions).mapInArrow(trip_fold.fold_vehicles, FOLDED_SCHEMA)
@@ -104,15 +106,20 @@ def _fold_input(segments: DataFrame) -> DataFrame:
     )
 
 
+def _given_cuts(spark: SparkSession, hot: list[VehicleCuts]) -> DataFrame:
+    return spark.createDataFrame([v.grouped() for v in hot], f"vehicle_id bigint, _size int, _groups array<array<{CUT}>>")
+
+
 def _with_chunks(rows: DataFrame, hot: list[VehicleCuts]) -> DataFrame:
+    return _cut_at(rows, _given_cuts(rows.sparkSession, hot))
+
+
+def _cut_at(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     """Add ``chunk``, the number of cuts up to the row, and ``chunk_start``; NULL for vehicles that are not cut.
 
     The cuts of a vehicle lie in groups of about the root of their number, so that a
     row is compared with one cut of each group, and with those of one group.
     """
-    cuts = rows.sparkSession.createDataFrame(
-        [v.grouped() for v in hot], f"vehicle_id bigint, _size int, _groups array<array<{CUT}>>"
-    )
     here = F.struct("start_ts", "end_ts", "seg_id")
     groups = F.size(F.filter("_groups", lambda g: F.get(g, 0) <= here))
     marked = rows.join(cuts, "vehicle_id", "left").withColumn("_group", groups - 1)
@@ -141,13 +148,12 @@ def _join_slices(folded: DataFrame) -> DataFrame:
     """Output of ``_fold_slices``, in files -> all trips, numbered.
 
     Certain trips are only numbered, by their slice's start. There is one start
-    for each slice, so their number is bounded by rows / ``split_rows`` and they are
-    broadcast.
+    for each slice, about rows / ``split_rows``; Spark chooses the join by their size.
     """
     functions = folded.where(F.col("phase") == trip_fold.FUNCTION).select(
         "vehicle_id", F.col("chunk").alias("place"), "function", "certain", "trips"
     )
-    starts = F.broadcast(keep(_starts(functions)).withColumnRenamed("place", "chunk"))
+    starts = keep(_starts(functions)).withColumnRenamed("place", "chunk")
     done = ["vehicle_id", "trip_seq", "segments"]
     whole = folded.where(F.col("phase") == trip_fold.WHOLE_TRIP).select(*done)
     certain = (
@@ -158,7 +164,10 @@ def _join_slices(folded: DataFrame) -> DataFrame:
     raw = folded.where(F.col("phase").isin(trip_fold.HEAD_ROW, trip_fold.TAIL_ROW)).select(
         "vehicle_id", "chunk", "phase", "kind", *trip_fold.SEGMENT_FIELDS, "seg_id"
     )
-    pieces = raw.join(starts, ["vehicle_id", "chunk"]).groupBy("vehicle_id", "chunk").applyInArrow(trip_slices.finish_slice, trip_slices.FINISHED_SCHEMA)
+    # one call for the slices of a batch: a call for each would cost more than the work in it
+    own = raw.join(starts, ["vehicle_id", "chunk"]).repartition("vehicle_id", "chunk")
+    own = own.sortWithinPartitions("vehicle_id", "chunk", "phase", "start_ts", "end_ts", "seg_id")
+    pieces = own.mapInArrow(trip_slices.finish_slices, trip_slices.FINISHED_SCHEMA)
     ordered = F.sort_array(F.collect_list(F.struct("part", "segments")))
     joined = pieces.groupBy("vehicle_id", "trip_seq").agg(
         F.flatten(F.transform(ordered, lambda p: p["segments"])).cast(f"array<{SEGMENT_STRUCT}>").alias("segments")
