@@ -148,9 +148,10 @@ def _some_slices(rows: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[in
 
 
 def finish_slice(group: pa.Table) -> pa.Table:
-    """``finish_slices`` for the rows of one slice, in any order."""
-    order = [(c, "ascending") for c in ("phase", "start_ts", "end_ts", "seg_id")]
-    return pa.Table.from_batches(finish_slices(group.sort_by(order).combine_chunks().to_batches()), FINISHED)
+    """``finish_slices`` for the rows of some slices of a vehicle, in any order."""
+    order = [(c, "ascending") for c in ("chunk", "phase", "start_ts", "end_ts", "seg_id")]
+    rows = group.select([c for c in group.column_names if c != "some"]).sort_by(order).combine_chunks()
+    return pa.Table.from_batches(finish_slices(rows.to_batches()), FINISHED)
 
 
 FINISHED = pa.schema({"vehicle_id": pa.int64(), "trip_seq": pa.int32(), "part": pa.int32(), "segments": pa.list_(SEGMENT_TYPE)})

@@ -77,7 +77,7 @@ def build_trips(
         cuts = None if cuts.isEmpty() else cuts
     rows = _fold_input(segments)
     if cuts is not None:
-        trips = _join_slices(keep(_fold_slices(_cut_at(rows, cuts), num_partitions)))
+        trips = _join_slices(keep(_fold_slices(_cut_at(rows, cuts), num_partitions)), max(1, trip_slices.TOGETHER // split_rows) if split_rows else 1)
     else:
         whole = rows.withColumns({"chunk": F.lit(None).cast("int"), "chunk_start": F.lit(None).cast("bigint")})
         trips = _sorted_runs(whole, num_partitions).mapInArrow(trip_fold.fold_vehicles, FOLDED_SCHEMA)
@@ -144,7 +144,7 @@ def _fold_slices(rows: DataFrame, num_partitions: int | None) -> DataFrame:
     return _sorted_runs(rows, num_partitions).mapInArrow(trip_fold.fold_slices, SLICE_SCHEMA)
 
 
-def _join_slices(folded: DataFrame) -> DataFrame:
+def _join_slices(folded: DataFrame, per_call: int = 1) -> DataFrame:
     """Output of ``_fold_slices``, in files -> all trips, numbered.
 
     Certain trips are only numbered, by their slice's start. There is one start
@@ -164,10 +164,9 @@ def _join_slices(folded: DataFrame) -> DataFrame:
     raw = folded.where(F.col("phase").isin(trip_fold.HEAD_ROW, trip_fold.TAIL_ROW)).select(
         "vehicle_id", "chunk", "phase", "kind", *trip_fold.SEGMENT_FIELDS, "seg_id"
     )
-    # one call for the slices of a batch: a call for each would cost more than the work in it
-    own = raw.join(starts, ["vehicle_id", "chunk"]).repartition("vehicle_id", "chunk")
-    own = own.sortWithinPartitions("vehicle_id", "chunk", "phase", "start_ts", "end_ts", "seg_id")
-    pieces = own.mapInArrow(trip_slices.finish_slices, trip_slices.FINISHED_SCHEMA)
+    # one call for neighbouring small slices: a call for each would cost more than the work in it
+    some = F.floor(F.col("chunk") / per_call).alias("some")
+    pieces = raw.join(starts, ["vehicle_id", "chunk"]).groupBy("vehicle_id", some).applyInArrow(trip_slices.finish_slice, trip_slices.FINISHED_SCHEMA)
     ordered = F.sort_array(F.collect_list(F.struct("part", "segments")))
     joined = pieces.groupBy("vehicle_id", "trip_seq").agg(
         F.flatten(F.transform(ordered, lambda p: p["segments"])).cast(f"array<{SEGMENT_STRUCT}>").alias("segments")
