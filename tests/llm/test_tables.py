@@ -238,6 +238,22 @@ def test_join_against_brute_force(spark, seed, most, list_size, monkeypatch):
     assert Counter(tuple(r) for r in got.collect()) == plain_components(rows)
 
 
+def test_sets_around_the_threshold_are_met_by_a_few(spark, monkeypatch):
+    rng, words, rows = random.Random(3), [f"w{k}" for k in range(150)], []
+    for k in range(400):
+        own = list(words)
+        for _ in range(rng.randrange(9)):
+            at = rng.randrange(len(own))
+            own[at : at + 1] = [] if rng.random() < 0.5 else [f"x{k}y{at}"]
+        rows.append((k, " ".join(own)))
+    met, whole = [], ngram_join.verified
+    monkeypatch.setattr(ngram_join, "verified", lambda pairs, *rest: (met.append(pairs.count()), whole(pairs, *rest))[1])
+    got = ngram_join.link_components(documents(spark, rows))
+    assert Counter(tuple(r) for r in got.collect()) == plain_components(rows)
+    # pairs left at last: 275; 2,112 where entries meet the set of least size first
+    assert len(met) <= 4 and met[-1] < len(rows)
+
+
 def test_join_of_an_empty_table_and_stage(spark, tmp_path):
     sf = tables(spark, tmp_path, documents=documents(spark, [(1, "a")]).limit(0))
     assert ngram_join.op6_ngram_jaccard_join(spark, sf).count() == 0

@@ -9,9 +9,11 @@ Skipping inside a list: entries whose sizes differ too much, or whose places
 leave too few shingles for the overlap needed, are passed over as blocks.
 
 Skipping by answers: equal sets are one set from the start. Then each list is
-read once, and every entry is compared with its block's first set and with the
-entry before it only: a number of pairs in proportion to the list. Verified links
-make groups. The answers of a group's sets are derived from each other's: two of
+read once, and every entry is compared with its block's central set and with the
+entry before it only: a number of pairs in proportion to the list. Central is the set
+with the fewest shingles before the list's own: what near copies have in common is more
+frequent than what sets them apart, so that is the set most of them link with, also
+those that link with few others. Verified links make groups. The answers of a group's sets are derived from each other's: two of
 one group need no comparison, since the class of either is known. Only lists in
 which several groups meet are read again: in ``TURNS`` rounds each entry is compared
 with a few of other groups beside it, and groups that link become one. At last all
@@ -301,10 +303,10 @@ LIVE = ["shingle", "salt", "n", "place", "s"]
 
 
 def read_lists(entries: DataFrame, percent: int) -> DataFrame:
-    """Entries of lists with several sets, with ``first`` and ``before``: the sets to compare each with.
+    """Entries of lists with several sets, with ``central`` and ``before``: the sets to compare each with.
 
-    A block holds sizes within one factor, so its first set may link with all of
-    it; the entry before is compared only if sizes and places allow a link. Null
+    A block holds sizes within one factor; its central set is the one of the least
+    place. Either is compared only if sizes and places allow a link. Null
     where there is nothing to compare. An entry of a salted list comes back even
     if it is alone there.
     """
@@ -316,15 +318,18 @@ def read_lists(entries: DataFrame, percent: int) -> DataFrame:
     ).where("s0 is not null or s1 is not null or salt >= 0")
     block = F.floor(F.log("n") / float(np.log(100 / percent))).alias("block")
     rows = rows.withColumn("block", block)
-    blocks = Window.partitionBy("shingle", "salt", "block").orderBy("n", "place", "s")
-    first = F.first("s").over(blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    may = may_link(F.col("n0"), F.col("place0"), F.col("n"), F.col("place"), percent)
-    rows = rows.withColumn("first", first)
+    blocks = Window.partitionBy("shingle", "salt", "block").orderBy("place", "n", "s")
+    central = F.first(F.struct("s", "n", "place")).over(blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("c", central)
+    before = may_link(F.col("n0"), F.col("place0"), F.col("n"), F.col("place"), percent)
+    from_central = F.when(
+        F.col("c.n") <= F.col("n"), may_link(F.col("c.n"), F.col("c.place"), F.col("n"), F.col("place"), percent)
+    ).otherwise(may_link(F.col("n"), F.col("place"), F.col("c.n"), F.col("c.place"), percent))
     return rows.select(
         *LIVE,
-        F.when(F.col("first") != F.col("s"), F.col("first")).alias("first"),
-        F.when(may & (F.col("s0") != F.col("s")), F.col("s0")).alias("before"),
-        (F.col("first") == F.col("s")).alias("is_first"),
+        F.when(from_central & (F.col("c.s") != F.col("s")), F.col("c.s")).alias("central"),
+        F.when(before & (F.col("s0") != F.col("s")), F.col("s0")).alias("before"),
+        (F.col("c.s") == F.col("s")).alias("is_central"),
     )
 
 
@@ -407,6 +412,16 @@ def in_groups(entries: DataFrame, groups: DataFrame) -> DataFrame:
     return entries.join(own, "s", "left").select("shingle", "salt", "n", "place", "s", F.coalesce("root", "s").alias("g"))
 
 
+def regrouped(named: DataFrame, old: DataFrame, groups: DataFrame) -> DataFrame:
+    """``named`` in the groups that ``old`` ones, and sets that had no links, have become."""
+    was = old.select("node", F.col("root").alias("was"))
+    moved = groups.join(was, "node", "left").select(F.coalesce("was", "node").alias("g"), "root").where("g <> root")
+    # few rows as a rule, so the entries need not be shuffled
+    return named.join(base.keep(moved.distinct()), "g", "left").select(
+        "shingle", "salt", "n", "place", "s", F.coalesce("root", "g").alias("g")
+    )
+
+
 def with_main(named: DataFrame) -> DataFrame:
     """``named`` with the largest group of each list, ``main``."""
     sizes = named.groupBy("shingle", "g").agg(F.count("*").alias("c"))
@@ -471,13 +486,13 @@ def link_components(
     held = shared(sets, bits, map_bits, order, percent)
     entries = index(sets, order, held, map_bits, percent, list_size)
     live = base.keep(read_lists(entries.repartition("shingle", "salt"), percent))
-    # firsts of the salted parts of a list meet in a list of their own
-    parts = live.where("salt >= 0 and is_first").select(*LIVE).withColumn("salt", F.lit(-2))
+    # central sets of the salted parts of a list meet in a list of their own
+    parts = live.where("salt >= 0 and is_central").select(*LIVE).withColumn("salt", F.lit(-2))
     between = read_lists(parts.repartition("shingle"), percent)
     near = live.unionByName(between)
-    first = near.where("first is not null").select(*ordered("s", "first"))
+    central = near.where("central is not null").select(*ordered("s", "central"))
     before = near.where("before is not null").select(*ordered("s", "before"))
-    pairs = base.keep(first.unionByName(before).distinct())
+    pairs = base.keep(central.unionByName(before).distinct())
     # a set's prefix, without the shingles that no other set has
     heads = base.keep(live.groupBy("s").agg(F.max("n").alias("n"), F.collect_list("shingle").alias("head")))
     links = verified(pairs, heads, sets, percent)
@@ -488,11 +503,11 @@ def link_components(
         tested = base.keep(tested)
         more = verified(tested, heads, sets, percent)
         pairs = pairs.unionByName(tested)
-        if more.isEmpty():
-            break
+        if more.isEmpty():  # another order may still bring one
+            continue
         links = links.unionByName(more)
-        groups = components(links)
-        named = base.keep(mixed_lists(in_groups(named, groups)))
+        old, groups = groups, components(links)
+        named = base.keep(mixed_lists(regrouped(named, old, groups)))
     more = verified(across(named, percent).join(pairs, ["a", "b"], "left_anti"), heads, sets, percent)
     if not more.isEmpty():
         links = links.unionByName(more)
